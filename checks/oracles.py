@@ -362,7 +362,7 @@ ORACLES: dict[str, str] = {
     "onehot_max_change": block(onehot_values(CHANGE, 6, "cata", stats="cs")),
     "missing_count": block(missing_value(0)),
     "missing_onehot": block(missing_bin(6)),
-    "missing_one_month": f"""{BASE} select u as "user", dist,
+    "missing_one_month": f"""{BASE} select u as "user", cast(dist as int) as dist,
         round((5000 - count(*) filter (f not in {CATEGORY}) - 10) / 4990.0::double, 6) as value from obs group by u, dist""",
     "profile_onehot": block(profile()),
     "profile_numeric": block(profile_numbers()),

@@ -68,13 +68,12 @@ def _indexed(rows: DataFrame, fields: DataFrame) -> DataFrame:
 
 
 def _values(rows: DataFrame, value: Column) -> DataFrame:
-    return rows.select("user", "idx", value.alias("value"))
+    return rows.select("user", F.col("idx").cast("int").alias("idx"), value.alias("value"))
 
 
 def _one_hot(rows: DataFrame, value: Column) -> DataFrame:
-    return rows.select(
-        "user", (F.col("idx") * BINS + five_bin(value)).alias("idx"), F.lit(1.0).alias("value")
-    )
+    place = F.col("idx").cast("int") * BINS + five_bin(value)
+    return rows.select("user", place.alias("idx"), F.lit(1.0).alias("value"))
 
 
 def tree_block(

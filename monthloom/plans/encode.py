@@ -145,8 +145,9 @@ class _FieldRow:
         part = F.struct(F.lit(b).alias("block"), F.col(f"i{b}").alias("idx"), x.alias("x"))
         return F.when(F.col(f"i{b}").isNotNull() & self.member(b) & x.isNotNull(), part)
 
-    def total(self, b: int) -> Column:
-        return F.sum(F.when(self.member(b), self.trimmed(self.blocks[b])))
+    def towards(self, b: int) -> Column:
+        """What the field adds to the user's total of share block ``b``."""
+        return F.when(self.member(b), self.trimmed(self.blocks[b]))
 
     def seats(self, b: int) -> Column:
         """``(block, idx, side, x)`` for every pair the field is a member of."""
@@ -204,6 +205,12 @@ def _finished_pairs(blocks: list[Block]) -> Column:
     return F.array_compact(F.transform("seats", token))
 
 
+def _profile_tokens(start: int) -> Column:
+    return F.transform(
+        profile_positions(), lambda i: F.struct((i + start).alias("idx"), F.lit(1.0).alias("value"))
+    )
+
+
 def encode_layout(
     users: DataFrame,
     obs: DataFrame,
@@ -242,7 +249,7 @@ def encode_layout(
         columns.append(
             filled(F.concat(*[F.coalesce(row.seats(b), empty) for b in at[LogPairs]])).alias("seats")
         )
-    totals = [F.when(row.member(b), row.trimmed(blocks[b])).alias(f"total{b}") for b in at[Shares]]
+    totals = [row.towards(b).alias(f"total{b}") for b in at[Shares]]
     parts = [
         users.select("user", "label", F.lit(True).alias("listed")),
         fields.select("user", *[f"present{k}" for k in row.windows], *columns, *totals),
@@ -262,12 +269,7 @@ def encode_layout(
         whole = whole.withColumn("seats", F.array_sort("seats"))
         finished.append(_finished_pairs(blocks))
     for b in at[Profile]:
-        finished.append(
-            F.transform(
-                profile_positions(),
-                lambda i, s=starts[b]: F.struct((i + s).alias("idx"), F.lit(1.0).alias("value")),
-            )
-        )
+        finished.append(_profile_tokens(starts[b]))
     for b in at[Missing]:
         left = F.lit(missing_total) - F.coalesce(F.col(f"present{blocks[b].k}"), F.lit(0))
         place, value = F.lit(starts[b]), left.cast("double")
