@@ -62,22 +62,31 @@ class Inputs:
         return selection.catalogue_of(self.field_users.filter(F.col("users") >= share * total))
 
     @cached_property
+    def lists(self) -> DataFrame:
+        """All field catalogues of the layouts in one table, told apart by name."""
+        groups = selection.by_group(self.catalogue()).filter("idx > 0")
+        parts = [
+            self.catalogue(AVERAGE_SHARE).withColumn("list", F.lit("average")),
+            self.catalogue(MAXIMUM_SHARE).withColumn("list", F.lit("maximum")),
+            groups.select("field_id", (F.col("idx") - 1).alias("idx"), F.col("group").alias("list")),
+        ]
+        return materialise(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+    def listed(self, name: str) -> DataFrame:
+        return self.lists.filter(F.col("list") == name).select("field_id", "idx")
+
+    @property
     def average_fields(self) -> DataFrame:
-        return materialise(self.catalogue(AVERAGE_SHARE))
+        return self.listed("average")
 
-    @cached_property
+    @property
     def maximum_fields(self) -> DataFrame:
-        return materialise(self.catalogue(MAXIMUM_SHARE))
+        return self.listed("maximum")
 
-    @cached_property
+    @property
     def rates(self) -> dict[str, DataFrame]:
         """Per group, its fields without the smallest one."""
-        groups = selection.by_group(self.catalogue())
-        later = materialise(groups.filter("idx > 0").select("group", "field_id", F.col("idx") - 1))
-        later = later.toDF("group", "field_id", "idx")
-        return {
-            g.name: later.filter(F.col("group") == g.name).select("field_id", "idx") for g in FIELD_GROUPS
-        }
+        return {g.name: self.listed(g.name) for g in FIELD_GROUPS}
 
     @cached_property
     def importance(self) -> DataFrame:
@@ -94,11 +103,11 @@ class Inputs:
     def log_pairs(self) -> DataFrame:
         """Unordered pairs of the most frequent fields."""
         best = selection.top(self.field_importance, PAIR_FIELDS)
-        return materialise(selection.pair_candidates(best, 0))
+        return selection.pair_candidates(best, 0)
 
     @cached_property
     def ratio_pairs(self) -> DataFrame:
-        return materialise(selection.ratio_pair_candidates(self.field_importance, PAIR_FIELDS))
+        return selection.ratio_pair_candidates(self.field_importance, PAIR_FIELDS)
 
     @cached_property
     def stats(self) -> DataFrame:
@@ -157,7 +166,7 @@ class Inputs:
         """Action records: each month's fields in order, then the smallest id once more with the
         number of fields as its last part, and empty tokens."""
         entry = F.struct("field_id", F.col("value").cast("string").alias("text"))
-        months = self.obs.groupBy("user", "dist").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+        months = self.obs.groupBy("user", "dist").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
         tokens = F.transform("entries", lambda e: F.concat_ws(":", e["field_id"], e["text"]))
         repeat = F.concat_ws(":", F.col("entries")[0]["field_id"], F.lit("7"), F.size("entries"))
         text = F.concat(F.array_join(tokens, ","), F.lit(",,"), repeat, F.lit(","))

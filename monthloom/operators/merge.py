@@ -48,7 +48,7 @@ def explode_actions(actions: DataFrame) -> DataFrame:
     entries = actions.select(*kept, action_entries(F.col("actions")).alias("entries"))
     ids = F.transform("entries", lambda e: e["field_id"])
     repeats = F.size(F.array_distinct(ids)) < F.size("entries")
-    by_id = F.array_sort(
+    by_id = F.sort_array(
         F.transform(
             "entries", lambda e, i: F.struct(e["field_id"].alias("f"), i.alias("i"), e["value"].alias("v"))
         )

@@ -22,7 +22,7 @@ def rows_from_triples(triples: DataFrame, users: DataFrame, feature_size: int) -
     rows = users.select("user", "label").unionByName(triples, allowMissingColumns=True)
     token = F.when(F.col("idx").isNotNull(), F.struct(F.col("idx").cast("int").alias("idx"), "value"))
     gathered = rows.groupBy("user").agg(
-        F.max("label").alias("label"), F.array_sort(F.collect_list(token)).cast(TOKENS).alias("tokens")
+        F.max("label").alias("label"), F.sort_array(F.collect_list(token)).cast(TOKENS).alias("tokens")
     )
     return gathered.filter(F.col("label").isNotNull()).select(
         "user", "label", F.lit(feature_size).alias("feature_size"), "tokens"

@@ -1,21 +1,30 @@
 """All blocks of a layout in one pass over the observations.
 
 The observations are reduced once to one row per (user, field) with an aggregate for every
-window the layout asks for. Each of those rows meets the rulebook, a table with one row per field
-saying where the field goes in every block, and turns into its tokens; one grouping by user joins
-them with the profile codes and the users themselves. That is two shuffles, the first of them
-combined on the map side, and none at all when both inputs are bucketed by user.
+window the layout asks for. Each of those rows meets the rulebook, a table that says what a field
+contributes to which block, and one grouping by user gathers the contributions with the profile
+codes and the users themselves. That is two shuffles, the first of them combined on the map side,
+and none at all when users and observations are bucketed by user.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthloom.functions.scaling import BINS, clamp, five_bin, log_product, min_max, share_of
-from monthloom.operators.blocks import ascending, known_range, pair_sides, scaled
+from monthloom.functions.scaling import (
+    BINS,
+    clamp,
+    five_bin,
+    log_product,
+    min_max,
+    required,
+    share_of,
+)
+from monthloom.operators.blocks import ascending, pair_sides
 from monthloom.operators.merge import without_users
 from monthloom.operators.missing import scaled_missing
 from monthloom.operators.profile import (
@@ -29,13 +38,26 @@ from monthloom.plans.layouts import Block, Changes, LogPairs, Missing, Profile,
 from monthloom.schema import MISSING_TOTAL, in_window, is_present
 from monthloom.sources.scratch import materialise
 
-FIELD_BLOCKS = (Values, Changes, Shares)
+LISTED = (Values, Changes, Shares, LogPairs)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _numbers(blocks: list[Block], *kinds: type) -> list[int]:
+    return [b for b, block in enumerate(blocks) if isinstance(block, kinds)]
+
+
+def _one_hot(blocks: list[Block], *kinds: type) -> list[int]:
+    return [b for b in _numbers(blocks, *kinds) if blocks[b].one_hot]
+
+
+def _among(block: Column, numbers: Iterable[int]) -> Column:
+    numbers = list(numbers)
+    return block.isin(numbers) if numbers else F.lit(False)
+
+
 def _unit(block: Block) -> int:
     return BINS if getattr(block, "one_hot", False) else 1
 
@@ -46,9 +68,8 @@ def block_starts(blocks: list[Block]) -> tuple[list[int], int]:
     One job counts all catalogues; only one number per block comes back.
     """
     lists = {
-        b: block.pairs if isinstance(block, LogPairs) else block.fields
-        for b, block in enumerate(blocks)
-        if isinstance(block, (*FIELD_BLOCKS, LogPairs))
+        b: blocks[b].pairs if isinstance(blocks[b], LogPairs) else blocks[b].fields
+        for b in _numbers(blocks, *LISTED)
     }
     sizes = {}
     if lists:
@@ -66,151 +87,178 @@ def block_starts(blocks: list[Block]) -> tuple[list[int], int]:
     return starts, at - 1
 
 
-def _rulebook(
-    blocks: list[Block], starts: list[int], stats: DataFrame, change_stats: DataFrame | None
+def _rules(block: Block, stats: DataFrame, change_stats: DataFrame | None) -> DataFrame:
+    """Fields of one block with their zero-based ``idx``, ``side`` in a pair, ``lo`` and ``hi``.
+
+    Share blocks also list the fields that only count towards the total; their ``idx`` is null.
+    """
+    ranges = stats.select("field_id", "lo", "hi")
+    if isinstance(block, LogPairs):
+        return pair_sides(ascending(block.pairs)).join(ranges, "field_id", "left")
+    fields = block.fields.select("field_id", "idx")
+    if isinstance(block, Values):
+        return fields.join(ranges, "field_id", "left")
+    if isinstance(block, Shares):
+        if block.group is None:
+            return fields.join(ranges, "field_id")
+        return ranges.filter(block.group.contains()).join(fields, "field_id", "left")
+    if not block.one_hot:
+        return fields
+    if change_stats is None:
+        raise ValueError("a one-hot change block needs change_stats")
+    return fields.join(change_stats.select("field_id", "lo", "hi"), "field_id")
+
+
+def rulebook(
+    blocks: list[Block], starts: list[int], stats: DataFrame, change_stats: DataFrame | None = None
 ) -> DataFrame:
-    """One row per field: its ranges, its index in block b as ``i<b>``, its pairs as ``p<b>``."""
-    parts = [stats.select("field_id", "lo", "hi")]
-    columns = [F.max("lo").alias("lo"), F.max("hi").alias("hi")]
-    if change_stats is not None:
-        parts.append(
-            change_stats.select("field_id", F.col("lo").alias("change_lo"), F.col("hi").alias("change_hi"))
-        )
-        columns += [F.max("change_lo").alias("change_lo"), F.max("change_hi").alias("change_hi")]
-    for b, block in enumerate(blocks):
-        place = (F.lit(starts[b]) + F.col("idx") * _unit(block)).cast("int")
-        if isinstance(block, FIELD_BLOCKS):
-            parts.append(block.fields.select("field_id", place.alias(f"i{b}")))
-            columns.append(F.max(f"i{b}").alias(f"i{b}"))
-        elif isinstance(block, LogPairs):
-            seat = F.struct(place.alias("idx"), "side")
-            parts.append(pair_sides(ascending(block.pairs)).select("field_id", seat.alias(f"p{b}")))
-            columns.append(F.collect_list(f"p{b}").alias(f"p{b}"))
-    return materialise(_union(parts).groupBy("field_id").agg(*columns))
-
-
-class _FieldRow:
-    """Column expressions of one (user, field) row joined with the rulebook."""
-
-    def __init__(self, blocks: list[Block]):
-        self.blocks = blocks
-        wanted = [(block.agg, block.k) for block in blocks if isinstance(block, (*FIELD_BLOCKS, LogPairs))]
-        self.measures = {m: f"m{n}" for n, m in enumerate(dict.fromkeys(wanted))}
-        self.windows = sorted({block.k for block in blocks if isinstance(block, Missing)})
-
-    def aggregates(self) -> list[Column]:
-        value = F.col("value")
-        merged = [
-            agg(F.when(in_window(k), value)).alias(name) for (agg, k), name in self.measures.items()
-        ]
-        present = [
-            F.max(F.when(in_window(k) & is_present(), 1)).alias(f"present{k}") for k in self.windows
+    """``(field_id, block, place, side, lo, hi, leads)``, written out as a table.
+
+    ``place`` is the index in the row. ``leads`` marks one rule per field, to count the field once.
+    """
+    parts = []
+    for b in _numbers(blocks, *LISTED):
+        place = (F.lit(starts[b]) + F.col("idx") * _unit(blocks[b])).cast("int")
+        rules = _rules(blocks[b], stats, change_stats)
+        kept = [c for c in ("side", "lo", "hi") if c in rules.columns]
+        parts.append(rules.select("field_id", F.lit(b).alias("block"), place.alias("place"), *kept))
+    rules = _union(parts)
+    for name, kind in (("side", "int"), ("lo", "double"), ("hi", "double")):
+        if name not in rules.columns:
+            rules = rules.withColumn(name, F.lit(None).cast(kind))
+    first = F.row_number().over(Window.partitionBy("field_id").orderBy("block", "place")) == 1
+    return materialise(rules.withColumn("leads", first))
+
+
+def _contribution(blocks: list[Block], measures: dict) -> Column:
+    """Value ``x`` a field adds to the block of the rule at hand; null if it was not observed."""
+    block, lo, hi = F.col("block"), F.col("lo"), F.col("hi")
+    merged = F.coalesce(
+        *[
+            F.when(_among(block, [b for b in _numbers(blocks, *LISTED) if (blocks[b].agg, blocks[b].k) == m]), F.col(name))
+            for m, name in measures.items()
         ]
-        return merged + present
-
-    def reach(self) -> int:
-        return min([k for _, k in self.measures] + self.windows)
-
-    def merged(self, block: Block) -> Column:
-        return F.col(self.measures[(block.agg, block.k)])
-
-    def trimmed(self, block: Block) -> Column:
-        """Null where the field was not observed in the window or has no range."""
-        m = self.merged(block)
-        return F.when(m.isNotNull(), clamp(m, F.col("lo"), F.col("hi")))
-
-    def member(self, b: int) -> Column:
-        """Does the field count towards the total of share block ``b``?"""
-        block = self.blocks[b]
-        return F.col(f"i{b}").isNotNull() if block.group is None else block.group.contains()
-
-    def token(self, b: int) -> Column:
-        """``(idx, value)`` of a value or change block, or null."""
-        block, place, m = self.blocks[b], F.col(f"i{b}"), self.merged(self.blocks[b])
-        if isinstance(block, Changes):
-            lo, hi = F.col("change_lo"), F.col("change_hi")
-            bounded = min_max(clamp(m, lo, hi), lo, hi)
-            x, known = (bounded, lo.isNotNull()) if block.one_hot else (m, F.lit(True))
-        else:
-            x, known = known_range(self.trimmed(block)), F.lit(True)
-            x = scaled(x) if block.one_hot else x
-        if block.one_hot:
-            place, x = place + five_bin(x), F.lit(1.0)
-        there = place.isNotNull() & m.isNotNull() & known
-        return F.when(there, F.struct(place.alias("idx"), x.alias("value")))
-
-    def share(self, b: int) -> Column:
-        """``(block, idx, x)`` still to be divided by the user's total, or null."""
-        x = self.trimmed(self.blocks[b])
-        part = F.struct(F.lit(b).alias("block"), F.col(f"i{b}").alias("idx"), x.alias("x"))
-        return F.when(F.col(f"i{b}").isNotNull() & self.member(b) & x.isNotNull(), part)
-
-    def towards(self, b: int) -> Column:
-        """What the field adds to the user's total of share block ``b``."""
-        return F.when(self.member(b), self.trimmed(self.blocks[b]))
-
-    def seats(self, b: int) -> Column:
-        """``(block, idx, side, x)`` for every pair the field is a member of."""
-        block = self.blocks[b]
-        x = known_range(self.trimmed(block))
-        x = scaled(x) if block.one_hot else x
-        seats = F.transform(
-            f"p{b}",
-            lambda p: F.struct(
-                F.lit(b).alias("block"), p["idx"].alias("idx"), p["side"].alias("side"), x.alias("x")
-            ),
-        )
-        return F.when(self.merged(block).isNotNull() & (F.size(f"p{b}") > 0), seats)
+    )
+    raw = set(_numbers(blocks, Changes)) - set(_one_hot(blocks, Changes))
+    message = F.concat(F.lit("no statistics for field "), F.col("field_id").cast("string"))
+    trimmed = required(clamp(merged, lo, hi), lo.isNotNull(), message)
+    to_scale = _one_hot(blocks, Values, Changes, LogPairs)
+    return F.when(merged.isNull() | _among(block, raw), merged).otherwise(
+        F.when(_among(block, to_scale), min_max(trimmed, lo, hi)).otherwise(trimmed)
+    )
 
 
-def _finished_shares(blocks: list[Block], nan_policy: str) -> Column:
-    totals = F.create_map(
-        *[c for b, block in enumerate(blocks) if isinstance(block, Shares) for c in (F.lit(b), F.col(f"total{b}"))]
-    )
-    binned = [b for b, block in enumerate(blocks) if isinstance(block, Shares) and block.one_hot]
-    one_hot = lambda part: part["block"].isin(*binned) if binned else F.lit(False)
+def _finished_parts(blocks: list[Block], nan_policy: str) -> Column:
+    """Collected ``(block, place, x)`` as tokens: shares are divided by the user's total."""
+    shares, binned = _numbers(blocks, Shares), _one_hot(blocks, Shares)
+    token = lambda place, value: F.struct(place.alias("idx"), value.alias("value"))
+    if not shares:
+        return F.transform("parts", lambda p: token(p["place"], p["x"]))
+    totals = F.create_map(*[c for b in shares for c in (F.lit(b), F.col(f"total{b}"))])
     divided = F.transform(
-        "shares",
-        lambda s: F.struct(
-            s["block"].alias("block"),
-            s["idx"].alias("idx"),
-            share_of(s["x"], F.try_element_at(totals, s["block"]), nan_policy).alias("share"),
+        "parts",
+        lambda p: F.struct(
+            p["block"].alias("block"),
+            p["place"].alias("place"),
+            F.when(
+                _among(p["block"], shares),
+                share_of(p["x"], F.try_element_at(totals, p["block"]), nan_policy),
+            )
+            .otherwise(p["x"])
+            .alias("x"),
         ),
     )
-    kept = F.filter(divided, lambda s: s["share"].isNotNull())
+    kept = F.filter(divided, lambda p: p["x"].isNotNull())
+    if not binned:
+        return F.transform(kept, lambda p: token(p["place"], p["x"]))
     return F.transform(
         kept,
-        lambda s: F.struct(
-            (s["idx"] + F.when(one_hot(s), five_bin(s["share"])).otherwise(0)).alias("idx"),
-            F.when(one_hot(s), 1.0).otherwise(s["share"]).alias("value"),
+        lambda p: token(
+            p["place"] + F.when(_among(p["block"], binned), five_bin(p["x"])).otherwise(0),
+            F.when(_among(p["block"], binned), 1.0).otherwise(p["x"]),
         ),
     )
 
 
-def _finished_pairs(blocks: list[Block]) -> Column:
+def _finished_seats(blocks: list[Block]) -> Column:
     """Seats sorted by pair and side: a left seat followed by its right one makes a token."""
-    binned = [b for b, block in enumerate(blocks) if isinstance(block, LogPairs) and block.one_hot]
-    one_hot = lambda seat: seat["block"].isin(*binned) if binned else F.lit(False)
+    binned = _one_hot(blocks, LogPairs)
 
     def token(seat, i):
         right = F.get("seats", i + 1)
         value = log_product(seat["x"], right["x"])
-        whole = (seat["side"] == 0) & (right["block"] == seat["block"]) & (right["idx"] == seat["idx"])
+        whole = (seat["side"] == 0) & (right["block"] == seat["block"]) & (right["place"] == seat["place"])
+        one_hot = _among(seat["block"], binned)
         made = F.struct(
-            (seat["idx"] + F.when(one_hot(seat), five_bin(value)).otherwise(0)).alias("idx"),
-            F.when(one_hot(seat), 1.0).otherwise(value).alias("value"),
+            (seat["place"] + F.when(one_hot, five_bin(value)).otherwise(0)).alias("idx"),
+            F.when(one_hot, 1.0).otherwise(value).alias("value"),
         )
         return F.when(whole, made)
 
     return F.array_compact(F.transform("seats", token))
 
 
-def _profile_tokens(start: int) -> Column:
+def _finished_profile(start: int) -> Column:
     return F.transform(
         profile_positions(), lambda i: F.struct((i + start).alias("idx"), F.lit(1.0).alias("value"))
     )
 
 
+def _finished_missing(block: Missing, start: int, total: int) -> Column:
+    left = F.lit(total) - F.coalesce(F.col(f"present{block.k}"), F.lit(0))
+    place, value = F.lit(start), left.cast("double")
+    if block.one_hot:
+        place, value = place + five_bin(scaled_missing(left)), F.lit(1.0)
+    return F.array(F.struct(place.alias("idx"), value.alias("value")))
+
+
+def _contributions(
+    obs: DataFrame, blocks: list[Block], starts: list[int], stats: DataFrame, change_stats: DataFrame | None
+) -> tuple[DataFrame, list[Column]]:
+    """One row per (user, field, rule), and the aggregates that gather a user's rows."""
+    windows = sorted({blocks[b].k for b in _numbers(blocks, Missing)})
+    wanted = dict.fromkeys((blocks[b].agg, blocks[b].k) for b in _numbers(blocks, *LISTED))
+    measures = {m: f"m{n}" for n, m in enumerate(wanted)}
+    reach = min([k for _, k in measures] + windows)
+    value = F.col("value")
+    fields = (
+        obs.filter(in_window(reach))
+        .groupBy("user", "field_id")
+        .agg(
+            *[agg(F.when(in_window(k), value)).alias(name) for (agg, k), name in measures.items()],
+            *[F.max(F.when(in_window(k) & is_present(), 1)).alias(f"present{k}") for k in windows],
+        )
+    )
+    # The leading rule speaks for the field; a field without rules has a single row anyway.
+    counted = [
+        F.when(F.coalesce("leads", F.lit(True)), F.col(f"present{k}")).alias(f"present{k}") for k in windows
+    ]
+    gathered = [F.sum(f"present{k}").alias(f"present{k}") for k in windows]
+    if not measures:
+        return fields.select("user", *[f"present{k}" for k in windows]), gathered
+
+    rules = rulebook(blocks, starts, stats, change_stats)
+    rows = fields.join(rules, "field_id", "left").withColumn("x", _contribution(blocks, measures))
+    block, x = F.col("block"), F.col("x")
+    binned = _one_hot(blocks, Values, Changes)
+    here = x.isNotNull() & F.col("place").isNotNull()
+    part = F.struct(
+        block,
+        (F.col("place") + F.when(_among(block, binned), five_bin(x)).otherwise(0)).alias("place"),
+        F.when(_among(block, binned), 1.0).otherwise(x).alias("x"),
+    )
+    seat = F.struct("block", "place", "side", "x")
+    columns = [F.when(here & F.col("side").isNull(), part).alias("parts")]
+    gathered.append(F.collect_list("parts").alias("parts"))
+    if _numbers(blocks, LogPairs):
+        columns.append(F.when(here & F.col("side").isNotNull(), seat).alias("seats"))
+        gathered.append(F.sort_array(F.collect_list("seats")).alias("seats"))
+    for b in _numbers(blocks, Shares):
+        columns.append(F.when(block == b, x).alias(f"total{b}"))
+        gathered.append(F.sum(f"total{b}").alias(f"total{b}"))
+    return rows.select("user", *counted, *columns), gathered
+
+
 def encode_layout(
     users: DataFrame,
     obs: DataFrame,
@@ -225,56 +273,21 @@ def encode_layout(
     if excluded is not None:
         users, obs = without_users(users, excluded), without_users(obs, excluded)
     starts, size = block_starts(blocks)
-    row = _FieldRow(blocks)
-    at = {
-        kind: [b for b, block in enumerate(blocks) if isinstance(block, kind)]
-        for kind in (Values, Changes, Shares, LogPairs, Profile, Missing)
-    }
-
-    rules = _rulebook(blocks, starts, stats, change_stats)
-    fields = obs.filter(in_window(row.reach())).groupBy("user", "field_id").agg(*row.aggregates())
-    fields = fields.join(rules, "field_id", "left")
-
-    def filled(parts: Column) -> Column:
-        return F.when(F.size(parts) > 0, parts)
-
-    pieces = {"tokens": [row.token(b) for b in at[Values] + at[Changes]]}
-    gathered = [F.max("listed").alias("listed"), F.max("label").alias("label")]
-    gathered += [F.sum(f"present{k}").alias(f"present{k}") for k in row.windows]
-    if at[Shares]:
-        pieces["shares"] = [row.share(b) for b in at[Shares]]
-    columns = [filled(F.array_compact(F.array(*parts))).alias(name) for name, parts in pieces.items() if parts]
-    if at[LogPairs]:
-        empty = F.array().cast("array<struct<block:int,idx:int,side:int,x:double>>")
-        columns.append(
-            filled(F.concat(*[F.coalesce(row.seats(b), empty) for b in at[LogPairs]])).alias("seats")
-        )
-    totals = [row.towards(b).alias(f"total{b}") for b in at[Shares]]
-    parts = [
-        users.select("user", "label", F.lit(True).alias("listed")),
-        fields.select("user", *[f"present{k}" for k in row.windows], *columns, *totals),
-    ]
-    lists = [name for name in ("tokens", "shares", "seats") if name in parts[1].columns]
-    gathered += [F.flatten(F.collect_list(name)).alias(name) for name in lists]
-    gathered += [F.sum(f"total{b}").alias(f"total{b}") for b in at[Shares]]
-    if at[Profile]:
+    rows, gathered = _contributions(obs, blocks, starts, stats, change_stats)
+    parts = [users.select("user", "label", F.lit(True).alias("listed")), rows]
+    gathered = [F.max("listed").alias("listed"), F.max("label").alias("label"), *gathered]
+    if _numbers(blocks, Profile):
         parts.append(profile_codes(obs))
         gathered += profile_aggregates()
+    # Users bring their own row, so those without observations need no join.
     whole = _union(parts).groupBy("user").agg(*gathered).filter("listed")
 
-    finished = [F.col("tokens")] if "tokens" in lists else []
-    if "shares" in lists:
-        finished.append(_finished_shares(blocks, nan_policy))
-    if "seats" in lists:
-        whole = whole.withColumn("seats", F.array_sort("seats"))
-        finished.append(_finished_pairs(blocks))
-    for b in at[Profile]:
-        finished.append(_profile_tokens(starts[b]))
-    for b in at[Missing]:
-        left = F.lit(missing_total) - F.coalesce(F.col(f"present{blocks[b].k}"), F.lit(0))
-        place, value = F.lit(starts[b]), left.cast("double")
-        if blocks[b].one_hot:
-            place, value = place + five_bin(scaled_missing(left)), F.lit(1.0)
-        finished.append(F.array(F.struct(place.alias("idx"), value.alias("value"))))
-    tokens = F.array_sort(F.concat(*[part.cast(TOKENS) for part in finished]))
+    finished = []
+    if "parts" in whole.columns:
+        finished.append(_finished_parts(blocks, nan_policy))
+    if "seats" in whole.columns:
+        finished.append(_finished_seats(blocks))
+    finished += [_finished_profile(starts[b]) for b in _numbers(blocks, Profile)]
+    finished += [_finished_missing(blocks[b], starts[b], missing_total) for b in _numbers(blocks, Missing)]
+    tokens = F.sort_array(F.concat(*[f.cast(TOKENS) for f in finished]))
     return whole.select("user", "label", F.lit(size).alias("feature_size"), tokens.alias("tokens"))
