@@ -17,8 +17,9 @@ def value_text(value: Column) -> Column:
 def dense_text(value: Column) -> Column:
     """Cell of a dense row: ``1``, four decimals, or ``0`` when absent."""
     printed = value_text(value).cast("double")
-    cell = F.when(printed == 1.0, "1").otherwise(F.format_string("%1.4f", printed))
-    return F.coalesce(cell, F.lit("0"))
+    return (
+        F.when(value.isNull(), "0").when(printed == 1.0, "1").otherwise(F.format_string("%1.4f", printed))
+    )
 
 
 def token_text(idx: Column, value: Column) -> Column:

@@ -81,6 +81,23 @@ def read_importance(spark: SparkSession, path: str, sep: str = ",") -> DataFrame
     return _delimited(spark, path, schema.IMPORTANCE, sep=sep)
 
 
+def read_encoded(spark: SparkSession, path: str) -> DataFrame:
+    """``user<TAB>size<TAB>label idx:value ...`` lines as rows ``(user, label, feature_size, tokens)``."""
+    parts = F.split("value", "\t", 3)
+    lines = spark.read.text(path).select(
+        parts[0].alias("user"), parts[1].cast("int").alias("feature_size"), F.split(parts[2], " ").alias("texts")
+    )
+    tokens = F.transform(
+        F.slice("texts", 2, F.size("texts")),
+        lambda t: F.struct(
+            F.substring_index(t, ":", 1).cast("int").alias("idx"),
+            F.substring_index(t, ":", -1).cast("double").alias("value"),
+        ),
+    )
+    label = F.col("texts")[0].cast("int").alias("label")
+    return lines.select("user", label, "feature_size", tokens.alias("tokens"))
+
+
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     """Prediction table with a ``user_id,ovd_rate`` header."""
     return _delimited(spark, path, schema.PREDICTION, sep=",", header=True)

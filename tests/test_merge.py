@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import pytest
+
+from monthloom.operators import merge
+from monthloom.plans import jobs
+from monthloom.sources import tables
+
+ACTION = "user string, action_month string, actions string"
+LABEL = "user string, label_month string, label int"
+
+
+def entries(frame, text):
+    df = merge.explode_actions(frame([("u", "2017-01", text)], ACTION))
+    return {r["field_id"]: r["value"] for r in df.collect()}
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("5:1,5:2", {5: 2.0}),
+        ("5:1,6:4,5:2,6:3,5:9", {5: 9.0, 6: 3.0}),
+        ("5", {5: 5.0}),
+        ("5:1:2", {5: 2.0}),
+        ("5:", {5: 5.0}),
+        ("1:2,,", {1: 2.0}),
+        ("", {}),
+        ("9:1,2:3", {9: 1.0, 2: 3.0}),
+    ],
+)
+def test_action_text(frame, text, expected):
+    assert entries(frame, text) == expected
+
+
+def test_text_that_is_no_number_fails(frame):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        entries(frame, "a:1")
+
+
+def merged(frame, labels, actions):
+    users, obs = merge.merge_training(frame(labels, LABEL), frame(actions, ACTION))
+    return (
+        sorted(tuple(r) for r in users.collect()),
+        sorted(tuple(r) for r in obs.collect()),
+    )
+
+
+def test_reach_of_history(frame):
+    _, obs = merged(
+        frame,
+        [("a", "2017-01", 1)],
+        [
+            ("a", "2016-01", "7:1"),
+            ("a", "2015-12", "7:2"),
+            ("a", "2017-01", "7:3"),
+            ("a", "2017-03", "7:4"),
+            ("b", "2016-12", "7:5"),
+            ("a", None, "7:6"),
+        ],
+    )
+    assert obs == [("a", -2, 7, 4.0), ("a", 0, 7, 3.0), ("a", 12, 7, 1.0)]
+    assert merge.before_label(frame(obs, "user string, dist int, field_id int, value double")).count() == 1
+
+
+def test_repeated_records(frame):
+    users, obs = merged(
+        frame,
+        [("a", "2017-02", 0), ("a", "2017-01", 1), ("a", "2017-01", 0)],
+        [("a", "2016-12", "7:1"), ("a", "2016-12", "7:3"), ("a", "2016-12", "7:2,8:1")],
+    )
+    assert users == [("a", "2017-01", 0)]
+    assert obs == [("a", 1, 7, 3.0)]
+
+
+def test_user_without_actions_has_twelve_empty_months(frame):
+    users, obs = merge.merge_training(frame([("a", "2017-01", 1)], LABEL), frame([], ACTION))
+    (row,) = merge.to_profiles(users, obs).collect()
+    assert (row["user"], row["time"], row["label"]) == ("a", "2017-01", 1)
+    assert sorted(row["actions"]) == [f"2016-{m:02d}" for m in range(1, 13)]
+    assert all(fields == {} for fields in row["actions"].values())
+
+
+def test_profiles_round_trip(frame):
+    users, obs = merge.merge_scoring(
+        frame([("a", "2017-05", "1:2,3:4"), ("a", "2016-05", "1:1"), ("b", "2010-01", "1:1")], ACTION), "2017-05"
+    )
+    profiles = merge.to_profiles(users, obs)
+    rows = {r["user"]: r for r in profiles.collect()}
+    assert len(rows["a"]["actions"]) == 13 and len(rows["b"]["actions"]) == 12
+    assert rows["a"]["actions"]["2017-05"] == {1: 2.0, 3: 4.0}
+    again_users, again = merge.from_profiles(profiles)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, obs.collect()))
+    assert sorted(map(tuple, again_users.collect())) == sorted(map(tuple, users.collect()))
+
+
+def test_merge_job_files(spark, tmp_path):
+    (tmp_path / "labels").write_text("a\t2017-01\t1\nb\t2017-02\t0\n")
+    (tmp_path / "actions").write_text("a\t2016-12\t5:1,6:2\nb\t2016-01\t5:1\n")
+    out = str(tmp_path / "profiles")
+    jobs.merge_for_training(spark, str(tmp_path / "labels"), str(tmp_path / "actions"), out)
+    rows = {r["user"]: r for r in tables.read_profiles(spark, out).collect()}
+    assert rows["a"]["actions"]["2016-12"] == {5: 1.0, 6: 2.0}
+    assert all(not f for f in rows["b"]["actions"].values())
+    jobs.merge_for_scoring(spark, str(tmp_path / "actions"), str(tmp_path / "scoring"), "2017-05")
+    rows = {r["user"]: r for r in tables.read_profiles(spark, str(tmp_path / "scoring")).collect()}
+    assert rows["a"]["time"] == "2017-05" and rows["a"]["label"] == 0
+
+
+def test_lines_with_too_few_columns_fail(spark, tmp_path):
+    (tmp_path / "labels").write_text("a\t2017-01\n")
+    with pytest.raises(Exception, match="INVALID_ARRAY_INDEX"):
+        tables.read_labels(spark, str(tmp_path / "labels")).collect()
+
+
+def test_tail_keeps_its_tabs(spark, tmp_path):
+    (tmp_path / "actions").write_text("a\t2017-01\t5:1\t6:1\n")
+    assert tables.read_actions(spark, str(tmp_path / "actions")).head()["actions"] == "5:1\t6:1"
