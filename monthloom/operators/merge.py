@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthloom.functions.months import month_before, month_distance
+from monthloom.operators.gather import for_listed
 from monthloom.schema import HISTORY_MONTHS
 
 ENTRY = "array<struct<field_id:int,value:double>>"
@@ -108,17 +109,16 @@ def to_profiles(users: DataFrame, obs: DataFrame) -> DataFrame:
     Needs at most one value per (user, month, field), which both merges guarantee.
     """
     months = profile_months(users, obs)
-    rows = months.unionByName(
-        users.select("user", "label_month", "label"), allowMissingColumns=True
-    )
     entry = F.when(F.col("dist").isNotNull(), F.struct("dist", "fields"))
-    gathered = rows.groupBy("user").agg(
-        F.max("label_month").alias("time"), F.max("label").alias("label"), F.collect_list(entry).alias("months")
+    gathered = for_listed(
+        users.select("user", "label_month", "label"),
+        [months],
+        [F.max("label_month").alias("time"), F.max("label").alias("label"), F.collect_list(entry).alias("months")],
     )
     named = F.transform(
         "months", lambda m: F.struct(month_before(F.col("time"), m["dist"]), m["fields"])
     )
-    return gathered.filter(F.col("time").isNotNull()).select(
+    return gathered.select(
         "user", "time", F.map_from_entries(named).alias("actions"), "label"
     )
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthloom.functions.scaling import five_bin, min_max
+from monthloom.operators.gather import for_listed
 from monthloom.schema import MISSING_RANGE, MISSING_TOTAL, in_window, is_category, is_present
 
 
-def scaled_missing(missing):
+def scaled_missing(missing: Column) -> Column:
     lo, hi = MISSING_RANGE
     return min_max(missing.cast("double"), F.lit(lo), F.lit(hi))
 
@@ -17,11 +18,7 @@ def scaled_missing(missing):
 def _missing(users: DataFrame, obs: DataFrame, k: int, total: int) -> DataFrame:
     """``total`` less the number of fields present in the window, for every user."""
     present = obs.filter(in_window(k) & is_present()).select("user", "field_id").distinct()
-    rows = users.select("user", F.lit(True).alias("listed")).unionByName(present, allowMissingColumns=True)
-    counted = rows.groupBy("user").agg(
-        F.max("listed").alias("listed"), (F.lit(total) - F.count("field_id")).alias("missing")
-    )
-    return counted.filter("listed").select("user", "missing")
+    return for_listed(users.select("user"), [present], [(F.lit(total) - F.count("field_id")).alias("missing")])
 
 
 def missing_count(users: DataFrame, obs: DataFrame, k: int = 0, total: int = MISSING_TOTAL) -> DataFrame:

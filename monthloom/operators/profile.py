@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from monthloom.functions.codes import age_band, phone_model_code, place_code
 from monthloom.functions.scaling import index_below
+from monthloom.operators.gather import for_listed
 from monthloom.schema import is_category
 
 
@@ -100,17 +101,11 @@ def profile_positions() -> Column:
     return F.concat(F.col("profile"), F.array_compact(F.array(*single, *empty)))
 
 
-def _with_users(users: DataFrame, rows: DataFrame) -> DataFrame:
-    """Adds one marked row per user, so that users without codes keep a group."""
-    return users.select("user", F.lit(True).alias("listed")).unionByName(rows, allowMissingColumns=True)
-
-
 def profile_onehot(users: DataFrame, obs: DataFrame) -> DataFrame:
     """One-hot profile of 432 positions as ``(user, idx, value)``."""
-    rows = _with_users(users, profile_codes(obs))
-    gathered = rows.groupBy("user").agg(F.max("listed").alias("listed"), *profile_aggregates())
+    gathered = for_listed(users.select("user"), [profile_codes(obs)], profile_aggregates())
     positions = F.explode(profile_positions()).alias("idx")
-    return gathered.filter("listed").select("user", positions).withColumn("value", F.lit(1.0))
+    return gathered.select("user", positions, F.lit(1.0).alias("value"))
 
 
 def profile_numeric(users: DataFrame, obs: DataFrame) -> DataFrame:
@@ -121,13 +116,11 @@ def profile_numeric(users: DataFrame, obs: DataFrame) -> DataFrame:
     code = _band(F.col("value").cast("int"))
     rows = obs.filter(is_category()).select("user", "field_id", code.alias("code"), "dist")
     counted = ("province", "city")
-    gathered = _with_users(users, rows).groupBy("user").agg(
-        F.max("listed").alias("listed"),
-        *[F.min_by(F.when(_of(s), F.col("code")), _recency(s)).alias(s.name) for s in SLOTS],
-        *[F.count(F.when(_of(s), 1)).alias(f"{s.name}_count") for s in SLOTS if s.name in counted],
-    )
+    latest = [F.min_by(F.when(_of(s), F.col("code")), _recency(s)).alias(s.name) for s in SLOTS]
+    counts = [F.count(F.when(_of(s), 1)).alias(f"{s.name}_count") for s in SLOTS if s.name in counted]
+    gathered = for_listed(users.select("user"), [rows], latest + counts)
     names = []
     for slot in SLOTS:
         names += [slot.name, f"{slot.name}_count"] if slot.name in counted else [slot.name]
     values = F.array(*[F.coalesce(F.col(n).cast("double"), F.lit(0.0)) for n in names])
-    return gathered.filter("listed").select("user", F.posexplode(values).alias("idx", "value"))
+    return gathered.select("user", F.posexplode(values).alias("idx", "value"))

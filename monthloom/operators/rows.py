@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthloom.functions.text import dense_text, is_significant, token_text
+from monthloom.operators.gather import for_listed
 from monthloom.sources.scratch import materialise
 
 TOKENS = "array<struct<idx:int,value:double>>"
@@ -19,14 +20,10 @@ TOKENS = "array<struct<idx:int,value:double>>"
 
 def rows_from_triples(triples: DataFrame, users: DataFrame, feature_size: int) -> DataFrame:
     """Gathers ``(user, idx, value)`` with ``idx`` from 1; users without triples get empty rows."""
-    rows = users.select("user", "label").unionByName(triples, allowMissingColumns=True)
     token = F.when(F.col("idx").isNotNull(), F.struct(F.col("idx").cast("int").alias("idx"), "value"))
-    gathered = rows.groupBy("user").agg(
-        F.max("label").alias("label"), F.sort_array(F.collect_list(token)).cast(TOKENS).alias("tokens")
-    )
-    return gathered.filter(F.col("label").isNotNull()).select(
-        "user", "label", F.lit(feature_size).alias("feature_size"), "tokens"
-    )
+    tokens = F.sort_array(F.collect_list(token)).cast(TOKENS).alias("tokens")
+    gathered = for_listed(users.select("user", "label"), [triples], [F.max("label").alias("label"), tokens])
+    return gathered.select("user", "label", F.lit(feature_size).alias("feature_size"), "tokens")
 
 
 def to_triples(rows: DataFrame) -> DataFrame:

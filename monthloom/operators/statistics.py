@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthloom.operators.gather import for_listed
 from monthloom.operators.ranking import order_statistics
 from monthloom.schema import FIELD_UNIVERSE, is_present
 from monthloom.sources.scratch import materialise
@@ -68,15 +69,9 @@ def column_presence(
 
 def row_presence(users: DataFrame, obs: DataFrame, n_fields: int = FIELD_UNIVERSE) -> DataFrame:
     """Share of the field universe each user has, fullest users first."""
-    rows = users.select("user", F.lit(True).alias("listed")).unionByName(
-        _present_pairs(obs), allowMissingColumns=True
-    )
-    counted = rows.groupBy("user").agg(F.max("listed").alias("listed"), F.count("field_id").alias("have"))
-    return (
-        counted.filter("listed")
-        .select("user", (F.col("have") / F.lit(n_fields)).alias("presence"))
-        .orderBy(F.desc("presence"), "user")
-    )
+    share = F.count("field_id") / F.lit(n_fields)
+    counted = for_listed(users.select("user"), [_present_pairs(obs)], [share.alias("presence")])
+    return counted.orderBy(F.desc("presence"), "user")
 
 
 def latest_value(obs: DataFrame, field: int) -> DataFrame:

@@ -10,8 +10,6 @@ and none at all when users and observations are bucketed by user.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +23,7 @@ from monthloom.functions.scaling import (
     share_of,
 )
 from monthloom.operators.blocks import ascending, pair_sides
+from monthloom.operators.gather import for_listed, union_all
 from monthloom.operators.merge import without_users
 from monthloom.operators.missing import scaled_missing
 from monthloom.operators.profile import (
@@ -41,10 +40,6 @@ from monthloom.sources.scratch import materialise
 LISTED = (Values, Changes, Shares, LogPairs)
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
 def _numbers(blocks: list[Block], *kinds: type) -> list[int]:
     return [b for b, block in enumerate(blocks) if isinstance(block, kinds)]
 
@@ -73,7 +68,7 @@ def block_starts(blocks: list[Block]) -> tuple[list[int], int]:
     }
     sizes = {}
     if lists:
-        tagged = _union([df.select(F.lit(b).alias("block")) for b, df in lists.items()])
+        tagged = union_all([df.select(F.lit(b).alias("block")) for b, df in lists.items()])
         sizes = {r["block"]: r["count"] for r in tagged.groupBy("block").count().collect()}
     starts, at = [], 1
     for b, block in enumerate(blocks):
@@ -122,7 +117,7 @@ def rulebook(
         rules = _rules(blocks[b], stats, change_stats)
         kept = [c for c in ("side", "lo", "hi") if c in rules.columns]
         parts.append(rules.select("field_id", F.lit(b).alias("block"), place.alias("place"), *kept))
-    rules = _union(parts)
+    rules = union_all(parts)
     for name, kind in (("side", "int"), ("lo", "double"), ("hi", "double")):
         if name not in rules.columns:
             rules = rules.withColumn(name, F.lit(None).cast(kind))
@@ -274,13 +269,11 @@ def encode_layout(
         users, obs = without_users(users, excluded), without_users(obs, excluded)
     starts, size = block_starts(blocks)
     rows, gathered = _contributions(obs, blocks, starts, stats, change_stats)
-    parts = [users.select("user", "label", F.lit(True).alias("listed")), rows]
-    gathered = [F.max("listed").alias("listed"), F.max("label").alias("label"), *gathered]
+    parts, gathered = [rows], [F.max("label").alias("label"), *gathered]
     if _numbers(blocks, Profile):
         parts.append(profile_codes(obs))
         gathered += profile_aggregates()
-    # Users bring their own row, so those without observations need no join.
-    whole = _union(parts).groupBy("user").agg(*gathered).filter("listed")
+    whole = for_listed(users.select("user", "label"), parts, gathered)
 
     finished = []
     if "parts" in whole.columns:
