@@ -17,7 +17,7 @@ from monthloom.operators import blocks, evaluation, merge, missing, model, profi
 from monthloom.plans.encode import encode_layout
 from monthloom.plans.layouts import LAYOUTS, Catalogues
 from monthloom.schema import FIELD_GROUPS, FIELD_UNIVERSE, in_window, is_category
-from monthloom.sources.retail import retail_obs, retail_users
+from monthloom.sources.retail import read_table, retail_obs, retail_users
 from monthloom.sources.scratch import materialise
 from monthloom.sources.tables import drop_constant, field_range
 
@@ -120,7 +120,7 @@ class Inputs:
     @cached_property
     def excluded(self) -> DataFrame:
         """Users with a high balance stand in for the list of users to leave out."""
-        customer = self.spark.read.parquet(f"{self.folder}/customer.parquet")
+        customer = read_table(self.spark, self.folder, "customer")
         return customer.filter("c_acctbal >= 9900").select(F.col("c_custkey").alias("user"))
 
     @cached_property
@@ -189,7 +189,7 @@ def _query(build: Callable[[Inputs], DataFrame]) -> Query:
 
 
 def month_arithmetic(i: Inputs) -> DataFrame:
-    orders = i.spark.read.parquet(f"{i.folder}/orders.parquet")
+    orders = read_table(i.spark, i.folder, "orders")
     month = F.date_format("o_orderdate", "yyyy-MM")
     back = (F.col("o_orderkey") % 12 + 1).cast("int")
     return orders.select(

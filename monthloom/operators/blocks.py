@@ -151,11 +151,17 @@ def onehot_topn_rate(
     return _one_hot(_indexed(_shares(rows, nan_policy), fields), F.col("share"))
 
 
-def pair_sides(pairs: DataFrame) -> DataFrame:
-    """Each pair as two rows, one per member: ``(field_id, idx, side)``."""
+def pair_sides(pairs: DataFrame, met: Column | None = None) -> DataFrame:
+    """Each pair as two rows, one per member: ``(field_id, idx, side)``.
+
+    Where ``met`` does not hold, the pair keeps its number but names no fields.
+    """
+    left, right = F.col("left_id"), F.col("right_id")
+    if met is not None:
+        left, right = F.when(met, left), F.when(met, right)
     sides = F.array(
-        F.struct(F.col("left_id").alias("field_id"), F.lit(0).alias("side")),
-        F.struct(F.col("right_id").alias("field_id"), F.lit(1).alias("side")),
+        F.struct(left.alias("field_id"), F.lit(0).alias("side")),
+        F.struct(right.alias("field_id"), F.lit(1).alias("side")),
     )
     return pairs.select("idx", F.inline(sides))
 

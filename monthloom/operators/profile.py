@@ -58,19 +58,18 @@ def _recency(slot: Slot) -> Column:
 
 
 def profile_codes(obs: DataFrame) -> DataFrame:
-    """Distinct recoded codes per (user, field) with the nearest month of each.
-
-    At most one row per code, so a user with many months stays small.
-    """
+    """Recoded category observations, ready to be aggregated per user."""
     code = _band(F.col("value").cast("int"))
     code = F.when(F.col("field_id") == 3, phone_model_code(code)).otherwise(code)
     code = F.when(F.col("field_id").isin(18, 19), place_code(code)).otherwise(code)
-    rows = obs.filter(is_category()).select("user", "field_id", code.alias("code"), "dist")
-    return rows.groupBy("user", "field_id", "code").agg(F.min("dist").alias("dist"))
+    return obs.filter(is_category()).select("user", "field_id", code.alias("code"), "dist")
 
 
 def profile_aggregates() -> list[Column]:
-    """Aggregates over a user's :func:`profile_codes` that :func:`profile_positions` reads."""
+    """Aggregates over a user's :func:`profile_codes` that :func:`profile_positions` reads.
+
+    All of them combine before the shuffle, and the set holds at most one entry per position.
+    """
     every = [s for s in SLOTS if s.pick == "every"]
     position = F.coalesce(
         *[F.when(_of(s), STARTS[s.name] + index_below(F.col("code"), s.width, s.name)) for s in every]

@@ -2,9 +2,9 @@
 
 The observations are reduced once to one row per (user, field) with an aggregate for every
 window the layout asks for. Each of those rows meets the rulebook, a table that says what a field
-contributes to which block, and one grouping by user gathers the contributions with the profile
-codes and the users themselves. That is two shuffles, the first of them combined on the map side,
-and none at all when users and observations are bucketed by user.
+contributes to which block. The contributions are brought together by user, turned into tokens and
+gathered with the user's label and profile. The numbers are shuffled twice, the first time combined
+on the map side, and not at all when users and observations are bucketed by user.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from monthloom.functions.scaling import (
     required,
     share_of,
 )
-from monthloom.operators.blocks import ascending, pair_sides
+from monthloom.operators.blocks import pair_sides
 from monthloom.operators.gather import for_listed, union_all
 from monthloom.operators.merge import without_users
 from monthloom.operators.missing import scaled_missing
@@ -57,19 +57,72 @@ def _unit(block: Block) -> int:
     return BINS if getattr(block, "one_hot", False) else 1
 
 
-def block_starts(blocks: list[Block]) -> tuple[list[int], int]:
+def _entries(blocks: list[Block]) -> DataFrame:
+    """Catalogue entries of all blocks: ``(field_id, block, idx, side)``.
+
+    Entries a block can never meet, such as pairs a log block does not look up, keep their ``idx``
+    but lose their field, because they still take up room in the row.
+    """
+    field, parts = F.col("field_id"), []
+    for b in _numbers(blocks, *LISTED):
+        block = blocks[b]
+        if isinstance(block, LogPairs):
+            seats = pair_sides(block.pairs, F.col("left_id") < F.col("right_id"))
+            parts.append(seats.withColumn("block", F.lit(b)))
+            continue
+        if isinstance(block, Shares) and block.group is not None:
+            met = F.when(block.group.contains(), field)
+        else:
+            met = field
+        parts.append(block.fields.select(met.alias("field_id"), F.lit(b).alias("block"), "idx"))
+    entries = union_all(parts)
+    return entries if "side" in entries.columns else entries.withColumn("side", F.lit(None).cast("int"))
+
+
+def rulebook(blocks: list[Block], stats: DataFrame, change_stats: DataFrame | None = None) -> DataFrame:
+    """``(field_id, block, idx, side, lo, hi, leads)``, written out as a table.
+
+    Share blocks over a whole group also list the fields that only count towards the total; their
+    ``idx`` is null. ``leads`` marks one rule per field, to count the field once.
+    """
+    entries = _entries(blocks)
+    grouped = [b for b in _numbers(blocks, Shares) if blocks[b].group is not None]
+    if grouped:
+        towards = F.array_compact(
+            F.array(*[F.when(blocks[b].group.contains(), F.lit(b)) for b in grouped])
+        )
+        members = stats.select("field_id", F.explode(towards).alias("block"))
+        # A pair entry is told apart by its number, any other by its field and block.
+        seat = F.when(F.col("side").isNotNull() | F.col("field_id").isNull(), F.col("idx"))
+        entries = (
+            union_all([entries, members])
+            .groupBy("field_id", "block", "side", seat.alias("seat"))
+            .agg(F.max("idx").alias("idx"))
+        )
+    changed = _one_hot(blocks, Changes)
+    if changed and change_stats is None:
+        raise ValueError("a one-hot change block needs change_stats")
+    ranges = stats.select("field_id", F.lit(False).alias("of_change"), "lo", "hi")
+    if changed:
+        ranges = ranges.unionByName(change_stats.select("field_id", F.lit(True).alias("of_change"), "lo", "hi"))
+    rules = entries.withColumn("of_change", _among(F.col("block"), changed)).join(
+        ranges, ["field_id", "of_change"], "left"
+    )
+    first = F.row_number().over(Window.partitionBy("field_id").orderBy("block", "idx")) == 1
+    return materialise(
+        rules.select("field_id", "block", F.col("idx").cast("int").alias("idx"), "side", "lo", "hi", first.alias("leads"))
+    )
+
+
+def block_starts(blocks: list[Block], rules: DataFrame | None) -> tuple[list[int], int]:
     """First index of each block, counted from 1, and the size of the whole row.
 
-    One job counts all catalogues; only one number per block comes back.
+    One number per block comes back to the driver.
     """
-    lists = {
-        b: blocks[b].pairs if isinstance(blocks[b], LogPairs) else blocks[b].fields
-        for b in _numbers(blocks, *LISTED)
-    }
     sizes = {}
-    if lists:
-        tagged = union_all([df.select(F.lit(b).alias("block")) for b, df in lists.items()])
-        sizes = {r["block"]: r["count"] for r in tagged.groupBy("block").count().collect()}
+    if rules is not None:
+        counted = rules.groupBy("block").agg(F.count_distinct("idx").alias("n"))
+        sizes = {r["block"]: r["n"] for r in counted.collect()}
     starts, at = [], 1
     for b, block in enumerate(blocks):
         starts.append(at)
@@ -82,99 +135,29 @@ def block_starts(blocks: list[Block]) -> tuple[list[int], int]:
     return starts, at - 1
 
 
-def _rules(block: Block, stats: DataFrame, change_stats: DataFrame | None) -> DataFrame:
-    """Fields of one block with their zero-based ``idx``, ``side`` in a pair, ``lo`` and ``hi``.
-
-    Share blocks also list the fields that only count towards the total; their ``idx`` is null.
-    """
-    ranges = stats.select("field_id", "lo", "hi")
-    if isinstance(block, LogPairs):
-        return pair_sides(ascending(block.pairs)).join(ranges, "field_id", "left")
-    fields = block.fields.select("field_id", "idx")
-    if isinstance(block, Values):
-        return fields.join(ranges, "field_id", "left")
-    if isinstance(block, Shares):
-        if block.group is None:
-            return fields.join(ranges, "field_id")
-        return ranges.filter(block.group.contains()).join(fields, "field_id", "left")
-    if not block.one_hot:
-        return fields
-    if change_stats is None:
-        raise ValueError("a one-hot change block needs change_stats")
-    return fields.join(change_stats.select("field_id", "lo", "hi"), "field_id")
+def _by_block(choices: dict[int, Column]) -> Column:
+    """The column chosen by the number of the block at hand, or null."""
+    block = F.col("block")
+    return F.coalesce(*[F.when(block == b, choice) for b, choice in choices.items()])
 
 
-def rulebook(
-    blocks: list[Block], starts: list[int], stats: DataFrame, change_stats: DataFrame | None = None
-) -> DataFrame:
-    """``(field_id, block, place, side, lo, hi, leads)``, written out as a table.
+def _contribution(blocks: list[Block], measures: dict) -> Column:
+    """Value a field adds to the block of the rule at hand; null if it has none to add.
 
-    ``place`` is the index in the row. ``leads`` marks one rule per field, to count the field once.
+    A field without statistics fails value and pair blocks, and is left out of the others.
     """
-    parts = []
-    for b in _numbers(blocks, *LISTED):
-        place = (F.lit(starts[b]) + F.col("idx") * _unit(blocks[b])).cast("int")
-        rules = _rules(blocks[b], stats, change_stats)
-        kept = [c for c in ("side", "lo", "hi") if c in rules.columns]
-        parts.append(rules.select("field_id", F.lit(b).alias("block"), place.alias("place"), *kept))
-    rules = union_all(parts)
-    for name, kind in (("side", "int"), ("lo", "double"), ("hi", "double")):
-        if name not in rules.columns:
-            rules = rules.withColumn(name, F.lit(None).cast(kind))
-    first = F.row_number().over(Window.partitionBy("field_id").orderBy("block", "place")) == 1
-    return materialise(rules.withColumn("leads", first))
-
-
-def _contribution(blocks: list[Block], measures: dict) -> Column:
-    """Value ``x`` a field adds to the block of the rule at hand; null if it was not observed."""
     block, lo, hi = F.col("block"), F.col("lo"), F.col("hi")
-    merged = F.coalesce(
-        *[
-            F.when(_among(block, [b for b in _numbers(blocks, *LISTED) if (blocks[b].agg, blocks[b].k) == m]), F.col(name))
-            for m, name in measures.items()
-        ]
-    )
+    merged = _by_block({b: F.col(measures[(blocks[b].agg, blocks[b].k)]) for b in _numbers(blocks, *LISTED)})
     raw = set(_numbers(blocks, Changes)) - set(_one_hot(blocks, Changes))
     message = F.concat(F.lit("no statistics for field "), F.col("field_id").cast("string"))
-    trimmed = required(clamp(merged, lo, hi), lo.isNotNull(), message)
+    known = lo.isNotNull() | _among(block, _numbers(blocks, Shares, Changes))
+    trimmed = required(clamp(merged, lo, hi), known, message)
     to_scale = _one_hot(blocks, Values, Changes, LogPairs)
     return F.when(merged.isNull() | _among(block, raw), merged).otherwise(
         F.when(_among(block, to_scale), min_max(trimmed, lo, hi)).otherwise(trimmed)
     )
 
 
-def _finished_parts(blocks: list[Block], nan_policy: str) -> Column:
-    """Collected ``(block, place, x)`` as tokens: shares are divided by the user's total."""
-    shares, binned = _numbers(blocks, Shares), _one_hot(blocks, Shares)
-    token = lambda place, value: F.struct(place.alias("idx"), value.alias("value"))
-    if not shares:
-        return F.transform("parts", lambda p: token(p["place"], p["x"]))
-    totals = F.create_map(*[c for b in shares for c in (F.lit(b), F.col(f"total{b}"))])
-    divided = F.transform(
-        "parts",
-        lambda p: F.struct(
-            p["block"].alias("block"),
-            p["place"].alias("place"),
-            F.when(
-                _among(p["block"], shares),
-                share_of(p["x"], F.try_element_at(totals, p["block"]), nan_policy),
-            )
-            .otherwise(p["x"])
-            .alias("x"),
-        ),
-    )
-    kept = F.filter(divided, lambda p: p["x"].isNotNull())
-    if not binned:
-        return F.transform(kept, lambda p: token(p["place"], p["x"]))
-    return F.transform(
-        kept,
-        lambda p: token(
-            p["place"] + F.when(_among(p["block"], binned), five_bin(p["x"])).otherwise(0),
-            F.when(_among(p["block"], binned), 1.0).otherwise(p["x"]),
-        ),
-    )
-
-
 def _finished_seats(blocks: list[Block]) -> Column:
     """Seats sorted by pair and side: a left seat followed by its right one makes a token."""
     binned = _one_hot(blocks, LogPairs)
@@ -194,9 +177,7 @@ def _finished_seats(blocks: list[Block]) -> Column:
 
 
 def _finished_profile(start: int) -> Column:
-    return F.transform(
-        profile_positions(), lambda i: F.struct((i + start).alias("idx"), F.lit(1.0).alias("value"))
-    )
+    return F.transform("profile", lambda i: F.struct((i + start).alias("idx"), F.lit(1.0).alias("value")))
 
 
 def _finished_missing(block: Missing, start: int, total: int) -> Column:
@@ -207,16 +188,11 @@ def _finished_missing(block: Missing, start: int, total: int) -> Column:
     return F.array(F.struct(place.alias("idx"), value.alias("value")))
 
 
-def _contributions(
-    obs: DataFrame, blocks: list[Block], starts: list[int], stats: DataFrame, change_stats: DataFrame | None
-) -> tuple[DataFrame, list[Column]]:
-    """One row per (user, field, rule), and the aggregates that gather a user's rows."""
-    windows = sorted({blocks[b].k for b in _numbers(blocks, Missing)})
-    wanted = dict.fromkeys((blocks[b].agg, blocks[b].k) for b in _numbers(blocks, *LISTED))
-    measures = {m: f"m{n}" for n, m in enumerate(wanted)}
-    reach = min([k for _, k in measures] + windows)
+def _fields(obs: DataFrame, blocks: list[Block], measures: dict, windows: list[int]) -> DataFrame:
+    """One row per (user, field): every measure of the layout, and whether the field is present."""
     value = F.col("value")
-    fields = (
+    reach = min([k for _, k in measures] + windows)
+    return (
         obs.filter(in_window(reach))
         .groupBy("user", "field_id")
         .agg(
@@ -224,34 +200,50 @@ def _contributions(
             *[F.max(F.when(in_window(k) & is_present(), 1)).alias(f"present{k}") for k in windows],
         )
     )
+
+
+def _contributions(
+    obs: DataFrame,
+    blocks: list[Block],
+    rules: DataFrame,
+    starts: list[int],
+    measures: dict,
+    windows: list[int],
+    nan_policy: str,
+) -> DataFrame:
+    """One row per (user, field, rule) with its finished ``token``, or its ``seat`` in a pair."""
+    rows = _fields(obs, blocks, measures, windows).join(rules, "field_id", "left")
     # The leading rule speaks for the field; a field without rules has a single row anyway.
     counted = [
         F.when(F.coalesce("leads", F.lit(True)), F.col(f"present{k}")).alias(f"present{k}") for k in windows
     ]
-    gathered = [F.sum(f"present{k}").alias(f"present{k}") for k in windows]
-    if not measures:
-        return fields.select("user", *[f"present{k}" for k in windows]), gathered
-
-    rules = rulebook(blocks, starts, stats, change_stats)
-    rows = fields.join(rules, "field_id", "left").withColumn("x", _contribution(blocks, measures))
-    block, x = F.col("block"), F.col("x")
-    binned = _one_hot(blocks, Values, Changes)
-    here = x.isNotNull() & F.col("place").isNotNull()
-    part = F.struct(
-        block,
-        (F.col("place") + F.when(_among(block, binned), five_bin(x)).otherwise(0)).alias("place"),
-        F.when(_among(block, binned), 1.0).otherwise(x).alias("x"),
+    place = _by_block(
+        {b: F.lit(starts[b]) + F.col("idx") * _unit(blocks[b]) for b in _numbers(blocks, *LISTED)}
+    )
+    rows = rows.select(
+        "user", "block", "side", place.alias("place"), _contribution(blocks, measures).alias("x"), *counted
+    )
+    x, shares = F.col("x"), _numbers(blocks, Shares)
+    if shares:
+        # The totals also bring a user's rows together, once, before anything is collected.
+        user = Window.partitionBy("user")
+        totals = {b: F.sum(F.when(F.col("block") == b, F.col("x"))).over(user) for b in shares}
+        rows = rows.withColumns({f"total{b}": total for b, total in totals.items()})
+        total = _by_block({b: F.col(f"total{b}") for b in shares})
+        x = F.when(_among(F.col("block"), shares), share_of(F.col("x"), total, nan_policy)).otherwise(F.col("x"))
+        # A share of NaN only stands for an observed field.
+        x = F.when(F.col("x").isNotNull(), x)
+    rows = rows.withColumn("x", x).withColumn("here", F.col("x").isNotNull() & F.col("place").isNotNull())
+    binned = _among(F.col("block"), _one_hot(blocks, Values, Changes, Shares))
+    token = F.struct(
+        (F.col("place") + F.when(binned, five_bin(F.col("x"))).otherwise(0)).alias("idx"),
+        F.when(binned, 1.0).otherwise(F.col("x")).alias("value"),
     )
-    seat = F.struct("block", "place", "side", "x")
-    columns = [F.when(here & F.col("side").isNull(), part).alias("parts")]
-    gathered.append(F.collect_list("parts").alias("parts"))
+    columns = [F.when(F.col("here") & F.col("side").isNull(), token).alias("token")]
     if _numbers(blocks, LogPairs):
-        columns.append(F.when(here & F.col("side").isNotNull(), seat).alias("seats"))
-        gathered.append(F.sort_array(F.collect_list("seats")).alias("seats"))
-    for b in _numbers(blocks, Shares):
-        columns.append(F.when(block == b, x).alias(f"total{b}"))
-        gathered.append(F.sum(f"total{b}").alias(f"total{b}"))
-    return rows.select("user", *counted, *columns), gathered
+        seat = F.struct("block", "place", "side", "x")
+        columns.append(F.when(F.col("here") & F.col("side").isNotNull(), seat).alias("seat"))
+    return rows.select("user", *[f"present{k}" for k in windows], *columns)
 
 
 def encode_layout(
@@ -267,20 +259,32 @@ def encode_layout(
     """Rows ``(user, label, feature_size, tokens)`` of a layout, one per user."""
     if excluded is not None:
         users, obs = without_users(users, excluded), without_users(obs, excluded)
-    starts, size = block_starts(blocks)
-    rows, gathered = _contributions(obs, blocks, starts, stats, change_stats)
-    parts, gathered = [rows], [F.max("label").alias("label"), *gathered]
-    if _numbers(blocks, Profile):
-        parts.append(profile_codes(obs))
-        gathered += profile_aggregates()
-    whole = for_listed(users.select("user", "label"), parts, gathered)
-
-    finished = []
-    if "parts" in whole.columns:
-        finished.append(_finished_parts(blocks, nan_policy))
-    if "seats" in whole.columns:
+    windows = sorted({blocks[b].k for b in _numbers(blocks, Missing)})
+    wanted = dict.fromkeys((blocks[b].agg, blocks[b].k) for b in _numbers(blocks, *LISTED))
+    measures = {m: f"m{n}" for n, m in enumerate(wanted)}
+    rules = rulebook(blocks, stats, change_stats) if measures else None
+    starts, size = block_starts(blocks, rules)
+
+    parts, gathered, finished = [], [F.max("label").alias("label")], []
+    if measures:
+        parts.append(_contributions(obs, blocks, rules, starts, measures, windows, nan_policy))
+        gathered.append(F.collect_list("token").alias("gathered_tokens"))
+        finished.append(F.col("gathered_tokens"))
+    elif windows:
+        parts.append(_fields(obs, blocks, measures, windows).drop("field_id"))
+    gathered += [F.sum(f"present{k}").alias(f"present{k}") for k in windows]
+    if _numbers(blocks, LogPairs):
+        gathered.append(F.sort_array(F.collect_list("seat")).alias("seats"))
         finished.append(_finished_seats(blocks))
-    finished += [_finished_profile(starts[b]) for b in _numbers(blocks, Profile)]
+    base = users.select("user", "label")
+    if _numbers(blocks, Profile):
+        known = for_listed(base, [profile_codes(obs)], [F.max("label").alias("label"), *profile_aggregates()])
+        base = known.select("user", "label", profile_positions().alias("profile"))
+        gathered.append(F.first("profile", ignorenulls=True).alias("profile"))
+        finished += [_finished_profile(starts[b]) for b in _numbers(blocks, Profile)]
+    else:
+        base = base.groupBy("user").agg(F.max("label").alias("label"))
     finished += [_finished_missing(blocks[b], starts[b], missing_total) for b in _numbers(blocks, Missing)]
+    whole = for_listed(base, parts, gathered)
     tokens = F.sort_array(F.concat(*[f.cast(TOKENS) for f in finished]))
     return whole.select("user", "label", F.lit(size).alias("feature_size"), tokens.alias("tokens"))

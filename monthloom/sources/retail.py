@@ -13,8 +13,16 @@ from monthloom.functions.months import month_text
 from monthloom.schema import HISTORY_MONTHS
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# The columns in use; a given schema spares a look into every file before planning.
+COLUMNS = {
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_discount double",
+}
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def order_month() -> Column:
@@ -24,11 +32,11 @@ def order_month() -> Column:
 def retail_users(spark: SparkSession, folder: str) -> DataFrame:
     """``(user, label_month, label, label_ordinal)`` of customers with orders."""
     last = (
-        _table(spark, folder, "orders")
+        read_table(spark, folder, "orders")
         .groupBy(F.col("o_custkey").alias("user"))
         .agg(F.max(order_month()).alias("last"))
     )
-    customer = _table(spark, folder, "customer").withColumnRenamed("c_custkey", "user")
+    customer = read_table(spark, folder, "customer").withColumnRenamed("c_custkey", "user")
     user = F.col("user")
     ordinal = F.col("last") + F.when(user % 50 == 7, 24).when(user % 2 == 0, 0).otherwise(1)
     return customer.join(last, "user").select(
@@ -57,10 +65,10 @@ def _measures(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(96052 + 4 * (part % 2))
     )
     quantity = F.when(F.col("l_discount") == 0, 0.0).otherwise(F.col("l_quantity"))
-    lines = _table(spark, folder, "lineitem").select(
+    lines = read_table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), field.cast("int").alias("field_id"), quantity.alias("value")
     )
-    orders = _table(spark, folder, "orders").select(
+    orders = read_table(spark, folder, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("user"), order_month().alias("month")
     )
     joined = lines.join(orders, "o_orderkey")
@@ -70,11 +78,11 @@ def _measures(spark: SparkSession, folder: str) -> DataFrame:
 def _categories(spark: SparkSession, folder: str) -> DataFrame:
     """Category codes per (user, month) with orders."""
     months = (
-        _table(spark, folder, "orders")
+        read_table(spark, folder, "orders")
         .groupBy(F.col("o_custkey").alias("user"), order_month().alias("month"))
         .agg(F.max("o_orderkey").alias("order"))
     )
-    customer = _table(spark, folder, "customer").select(
+    customer = read_table(spark, folder, "customer").select(
         F.col("c_custkey").alias("user"), F.col("c_nationkey").alias("nation")
     )
     user, month, order = F.col("user"), F.col("month"), F.col("order")
