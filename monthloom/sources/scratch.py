@@ -4,23 +4,29 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"monthloom-{application}-")
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``.
+    """This application's part of the shared folder named by ``spark.checkpoint.dir``.
 
     Only a local session may go without the setting; it gets a temporary folder of its own.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="monthloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
+    if folder:
+        return f"{folder.rstrip('/')}/{context.applicationId}"
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    return _own_folder(context.applicationId)
 
 
 def materialise(df: DataFrame, read_as: T.StructType | None = None) -> DataFrame:

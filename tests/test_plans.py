@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from pathlib import Path
+from types import SimpleNamespace
 
 import duckdb
 import pytest
@@ -73,7 +74,7 @@ def test_a_layout_takes_two_shuffles_of_the_observations(inputs):
     assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan
 
 
-@pytest.mark.parametrize("name", list(LAYOUTS))
+@pytest.mark.parametrize("name", ["three_seasons", "year_and_half", "linear"])
 def test_bucketed_inputs_need_no_shuffle(spark, inputs, tmp_path, name):
     users, obs = inputs.tables
     sinks.write_bucketed(users, f"users_{name}", 4, str(tmp_path / "users"))
@@ -133,3 +134,17 @@ def test_scratch_folder_comes_from_the_session(spark):
         assert used.startswith(folder.rstrip("/"))
     table = scratch.materialise(spark.range(3).toDF("n"))
     assert table.inputFiles()[0].removeprefix("file://").startswith(used.removeprefix("file://"))
+
+
+def test_only_local_sessions_may_lack_the_shared_folder():
+    def session(master, folder=None):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: folder),
+            sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
+        )
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.scratch_folder(session("yarn"))
+    assert scratch.scratch_folder(session("yarn", "hdfs:///shared/")) == "hdfs:///shared/app-1"
+    local = scratch.scratch_folder(session("local[2]"))
+    assert Path(local).is_dir() and local == scratch.scratch_folder(session("local[2]"))
