@@ -1,6 +1,7 @@
 """Numeric transforms of a single value, as Column expressions.
 
-Divisions are guarded, so they behave the same with and without ANSI mode.
+Divisions are guarded, so they behave the same with and without ANSI mode. ``greatest`` and
+``least`` skip nulls, so a missing value or bound is tested for before they are used.
 """
 
 from __future__ import annotations
@@ -17,14 +18,18 @@ def soft_sign(x: Column) -> Column:
 
 
 def clamp(x: Column, lo: Column, hi: Column) -> Column:
-    """``x`` trimmed to [lo, hi]; null where a bound is null."""
-    return F.when(lo.isNotNull() & hi.isNotNull(), F.greatest(lo, F.least(hi, x)))
+    """``x`` trimmed to [lo, hi]; null where the value or a bound is null."""
+    given = x.isNotNull() & lo.isNotNull() & hi.isNotNull()
+    return F.when(given, F.greatest(lo, F.least(hi, x)))
 
 
 def min_max(x: Column, lo: Column, hi: Column) -> Column:
-    """``x`` scaled to [0, 1]; a constant range leaves ``x`` as it is."""
+    """``x`` scaled to [0, 1]; a constant range leaves ``x`` as it is.
+
+    Null where the value or a bound is null.
+    """
     share = F.try_divide(x - lo, hi - lo)
-    return F.when(lo == hi, x).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
+    return F.when(lo == hi, x).when(share.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
 
 
 def five_bin(x: Column) -> Column:

@@ -44,7 +44,10 @@ def test_scaling(value):
     assert value(scaling.min_max(lit(9.0), lit(2.0), lit(6.0))) == 1.0
     assert value(scaling.min_max(lit(1.0), lit(2.0), lit(6.0))) == 0.0
     assert value(scaling.clamp(lit(9.0), lit(2.0), lit(6.0))) == 6.0
-    assert value(scaling.clamp(lit(9.0), lit(2.0), F.lit(None).cast("double"))) is None
+    none = F.lit(None).cast("double")
+    for args in ((none, lit(2.0), lit(6.0)), (lit(9.0), none, none), (lit(9.0), lit(2.0), none)):
+        assert value(scaling.clamp(*args)) is None
+        assert value(scaling.min_max(*args)) is None
 
 
 @pytest.mark.parametrize(
