@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # White space of the Unicode property White_Space, the ``\s`` of the tokenizers' patterns.
-WHITE = " \t\n\r\x0b\x0c\x85\xa0  -     　"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -22,6 +24,14 @@ def crc_remainder(doc_id: str, n: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package from where the driver did."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Runs a per-batch function in Arrow; ``make`` is called once a task and may keep caches."""
 
@@ -31,6 +41,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
             if batch.num_rows:
                 yield work(batch)
 
+    reach_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -45,15 +56,38 @@ def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
-class Bounded(dict):
-    """A dict that computes missing values and is emptied when it holds ``most`` of them."""
-
-    def __init__(self, compute: Callable, most: int):
-        super().__init__()
-        self.compute, self.most = compute, most
-
-    def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        value = self[key] = self.compute(key)
-        return value
+class Remembered:
+    """Values by key; of more than ``most`` those not asked for since the last clearing are forgotten."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.old = most, {}, {}
+
+    def unknown(self, keys: set) -> set:
+        """The keys without a value; the others are in ``now`` until the next call."""
+        if len(self.now) > self.most:
+            self.old, self.now = self.now, {}
+        missing = keys.difference(self.now)
+        for key in missing.intersection(self.old):
+            self.now[key] = self.old[key]
+        return missing.difference(self.old)
+
+
+def segments(batch: list[str], overlap: int, limit: int = 1 << 20) -> Iterator[list[tuple[int, str]]]:
+    """Groups of ``(index, part of that text)`` with about ``limit`` characters each.
+
+    A text longer than that comes in parts that share ``overlap`` characters, so that every run of
+    ``overlap + 1`` characters lies in exactly one part.
+    """
+    group, size = [], 0
+    for i, text in enumerate(batch):
+        for start in range(0, max(1, len(text) - overlap), limit):
+            part = text if len(text) <= limit + overlap else text[start : start + limit + overlap]
+            group.append((i, part))
+            size += len(part)
+            if size >= limit:
+                yield group
+                group, size = [], 0
+            if part is text:
+                break
+    if group:
+        yield group

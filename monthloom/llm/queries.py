@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthloom.llm import exact_dedup
-from monthloom.llm.common import read
+from monthloom.llm import bpe, exact_dedup, langid, packing, quality
+from monthloom.llm.common import crc_remainder, read
 
 
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -14,6 +15,38 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    voters = quality.train(docs, read(spark, folder, "labels"), crc_remainder("doc_id", 5) != 0)
+    held_out = F.coalesce(crc_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return quality.score(docs, voters).select("doc_id", held_out, "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = langid.train(docs, crc_remainder("doc_id", 4) != 2)
+    held_out = F.coalesce(crc_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return langid.predict(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    done = bpe.decode(bpe.encode(read(spark, folder, "documents"), path), path)
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
+    return done.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_quality": op3_quality,
+    "op5_langid": op5_langid,
+    "op6_packing": op6_packing,
+    "op8_bpe": op8_bpe,
 }
