@@ -10,5 +10,16 @@ n as (
 select doc_id, max(doc_id) over (partition by norm) as keep_id, count(*) over (partition by norm) as group_size,
        pos = 1 as kept, sha256(norm) as text_sha256
 from n
+""",
+    "op9_topk": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as e
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 10
 """,
 }

@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthloom.llm import bpe, exact_dedup, langid, packing, quality
+from monthloom.llm import bpe, exact_dedup, html_text, langid, near_dedup, packing, pii, quality, repeated_bytes, topk
 from monthloom.llm.common import crc_remainder, read
 
 
+def op1_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(read(spark, folder, "pages"))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup.dedup(read(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
@@ -22,6 +26,10 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, voters).select("doc_id", held_out, "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(read(spark, folder, "documents"))
+
+
 def op5_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = langid.train(docs, crc_remainder("doc_id", 4) != 2)
@@ -34,6 +42,11 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeated_bytes.remove(read(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     done = bpe.decode(bpe.encode(read(spark, folder, "documents"), path), path)
@@ -43,10 +56,24 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.search(read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dedup.groups(read(spark, folder, "documents"))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 QUERIES = {
+    "op1_html": op1_html,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
+    "op4_pii": op4_pii,
     "op5_langid": op5_langid,
     "op6_packing": op6_packing,
+    "op7_repeats": op7_repeats,
     "op8_bpe": op8_bpe,
+    "op9_topk": op9_topk,
+    "op10_minhash": op10_minhash,
 }

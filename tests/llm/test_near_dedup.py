@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+from monthloom.llm import near_dedup
+from tests.llm.conftest import plain
+
+
+def shingles(text, width=2):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode().split()
+    width = min(width, len(words))
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if words else set()
+
+
+def brute(rows):
+    """Group of every document by comparing all pairs."""
+    sets = {i: shingles(t) for i, t in rows}
+    group = {i: i for i in sets}
+
+    def top(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((top(a), top(b)))
+                group[y] = x
+    return {i: (len(sets[i]), top(i)) for i in ids}
+
+
+def edited(draw, words, share, vocabulary):
+    return [draw.choice(vocabulary) if draw.random() < share else w for w in words]
+
+
+def corpus(seed=3):
+    draw = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = []
+    for size in (1, 2, 3, 5, 8, 12, 30, 80, 200, 700):
+        for _ in range(6):
+            base = [draw.choice(vocabulary) for _ in range(size)]
+            for share in (0, 0, 0.02, 0.04, 0.05, 0.06, 0.1, 0.3):
+                rows.append((" " if draw.random() < 0.5 else "\n").join(edited(draw, base, share, vocabulary)))
+    draw.shuffle(rows)
+    rows = [(i, t.upper() if i % 7 == 0 else t) for i, t in enumerate(rows)]
+    return rows + [(9000, None), (9001, ""), (9002, " \n\t "), (9003, "É"), (9004, "é"), (9005, "Solo"), (9006, "solo")]
+
+
+def test_groups_match_all_pairs(docs):
+    rows = corpus()
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.groups(docs(rows)).collect()}
+    assert found == brute(rows)
+
+
+def test_repeated_ids_null_ids_and_empty_table(docs):
+    assert near_dedup.groups(docs([])).collect() == []
+    rows = [(1, "a b c"), (1, "a b c"), (2, "a b c"), (None, "a b c"), (3, None), (3, None)]
+    found = plain(near_dedup.groups(docs(rows)))
+    assert found == sorted(
+        [{"component_id": c, "doc_id": d, "n_shingles": n} for d, c, n in [(1, 1, 2), (1, 1, 2), (2, 1, 2), (None, None, 2), (3, 3, 0), (3, 3, 0)]], key=repr
+    )
+
+
+def test_keep_one(docs):
+    frame = docs([(5, "a b c"), (2, "A b c"), (7, "x"), (8, None)])
+    left = near_dedup.keep_one(frame)
+    assert left.columns == frame.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == [2, 7, 8]
+
+
+def test_sketch_estimates_similarity():
+    draw = np.random.default_rng(1)
+    for size in (60, 600, 6000):
+        pool = draw.integers(0, 1 << 63, size * 2, np.uint64) * np.uint64(2)
+        a, b = np.unique(pool[: size * 9 // 10]), np.unique(pool[: size])
+        value, error = near_dedup.estimate(near_dedup.sketch_of(a), near_dedup.sketch_of(b), len(a), len(b))
+        assert abs(value - 0.9) < 4 * error
+    far, _ = near_dedup.estimate(near_dedup.sketch_of(pool[:6000][np.argsort(pool[:6000])]), near_dedup.sketch_of(np.sort(pool[6000:])), 6000, 6000)
+    assert far < 0.03
