@@ -1,7 +1,7 @@
 """Main text of web pages, with removal of each site's template.
 
 Two passes over the pages. The first parses a page into elements and hashes the subtree (tag and
-text) of every container that does not hold the article; Spark counts, per host, the pages each hash
+text) of every container that does not hold the article, and of the article; Spark counts, per host, the pages each hash
 occurs on. A hash on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of the host's pages is template.
 As a page has so many subtrees and each template hash takes a share of the pages, a host's list holds
 at most ``subtrees per page / MIN_SHARE`` hashes. The second pass joins a page with its host's list,
@@ -9,8 +9,8 @@ deletes the recurring subtrees and what markup itself names as furniture (naviga
 footers, sidebars, notices, adverts, forms, comments, scripts and the like), and reads the blocks
 that remain in the article, else in the main part, else in the body.
 
-Recurring paragraphs, headings and list items of the article are text, not template: pages that copy
-each other keep theirs. A text block's white space becomes single spaces; blocks are joined by an
+Paragraphs, headings and list items that recur are text, not template, and an article that recurs as a
+whole is a copy, inside which nothing counts as template. A text block's white space becomes single spaces; blocks are joined by an
 empty line.
 
 Cases: null or empty html gives an empty text; broken markup never fails (an unclosed tag, comment
@@ -181,10 +181,10 @@ def holds_heading(node: Element) -> bool:
 
 
 def containers(node: Element, out: list[Element]) -> list[Element]:
-    """Container elements, outer ones first, without those that hold the article."""
+    """Container elements, outer ones first, without those that hold the article; and the article itself."""
     for child in node.children:
         if not isinstance(child, str):
-            if child.tag in CONTAINER and not holds_main(child):
+            if child.main or child.tag in CONTAINER and not holds_main(child):
                 out.append(child)
             containers(child, out)
     return out
@@ -202,7 +202,8 @@ def remove_furniture(node: Element, template: frozenset[int], inside: bool = Fal
         if (child.tag in UNSEEN or not holds and (child.dropped or header or recurring)) or (child.main and child.dropped):
             continue
         kept.append(child)
-        remove_furniture(child, template, inside or child.main)
+        copied = child.main and bool(template) and subtree_hash(child) in template
+        remove_furniture(child, frozenset() if copied else template, inside or child.main)
     node.children = kept
 
 
@@ -244,11 +245,12 @@ def blocks(nodes: list[Element]) -> list[str]:
 
 
 def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
-    root = parse(html)
-    remove_furniture(root, template)
-    for nodes in (mains(root, "article"), mains(root, "main"), [root]):
-        if found := blocks(nodes):
-            return "\n\n".join(found)
+    for own in dict.fromkeys((template, frozenset())):  # a page that is nothing but template keeps its text
+        root = parse(html)
+        remove_furniture(root, own)
+        for nodes in (mains(root, "article"), mains(root, "main"), [root]):
+            if found := blocks(nodes):
+                return "\n\n".join(found)
     return ""
 
 

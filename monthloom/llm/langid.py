@@ -30,6 +30,7 @@ from monthloom.llm.common import map_batches, segments, texts
 
 GRAM, SLOT_BITS, HASHES = 4, 20, 3
 TRAIN_DOCS, MIN_SHARE, MAX_LANGUAGES = 2000, 0.01, 64
+ENOUGH = 20
 UNDETERMINED = "und"
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -131,40 +132,66 @@ def train(docs: DataFrame, learn_from) -> LanguageFilter:
     return LanguageFilter(languages, prior, slots, np.minimum(fill**HASHES, 0.99))
 
 
+def labelled(rows: int, batch_texts: list[str], own: LanguageFilter, letters: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and number of n-grams of each text."""
+    bits = len(own.languages)
+    hits, total, seen = np.zeros((rows, max(bits, 1))), np.zeros(rows), np.zeros(rows)
+    for group in segments(batch_texts, GRAM - 1):
+        value, owner, n_letters = grams(group, letters)
+        index = np.array([i for i, _ in group])
+        mask = own.slots[slots_of(value, 0)]
+        for which in range(1, HASHES):
+            mask &= own.slots[slots_of(value, which)]
+        np.add.at(seen, index, n_letters)
+        np.add.at(total, index, np.bincount(owner, minlength=len(group)))
+        for b in range(bits):
+            on = (mask >> np.uint64(b) & np.uint64(1)).astype(bool)
+            np.add.at(hits[:, b], index, np.bincount(owner[on], minlength=len(group)))
+    if not bits:
+        return [UNDETERMINED] * rows, np.zeros(rows), total
+    clean = np.maximum(hits - own.chance * total[:, None], 0) / (1 - own.chance)
+    best, score = clean.argmax(1), np.minimum(clean.max(1) / np.maximum(total, 1), 1.0)
+    score[seen == 0] = 0.0
+    names = [
+        UNDETERMINED if not n else own.languages[b] if s > 0 else own.prior
+        for n, b, s in zip(seen.tolist(), best.tolist(), score.tolist(), strict=True)
+    ]
+    return names, score, total
+
+
 def predict(docs: DataFrame, model: LanguageFilter) -> DataFrame:
     """``doc_id, lang_pred, score``: the likeliest language and the share of the text's n-grams it knows."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         own, letters = shared.value, _letters()
-        bits = len(own.languages)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            batch_texts = texts(batch)
-            rows = len(batch_texts)
-            hits, total, seen = np.zeros((rows, max(bits, 1))), np.zeros(rows), np.zeros(rows)
-            for group in segments(batch_texts, GRAM - 1):
-                value, owner, n_letters = grams(group, letters)
-                index = np.array([i for i, _ in group])
-                mask = own.slots[slots_of(value, 0)]
-                for which in range(1, HASHES):
-                    mask &= own.slots[slots_of(value, which)]
-                np.add.at(seen, index, n_letters)
-                np.add.at(total, index, np.bincount(owner, minlength=len(group)))
-                for b in range(bits):
-                    on = (mask >> np.uint64(b) & np.uint64(1)).astype(bool)
-                    np.add.at(hits[:, b], index, np.bincount(owner[on], minlength=len(group)))
-            clean = np.maximum(hits[:, :bits] - own.chance * total[:, None], 0) / (1 - own.chance)
-            best = clean.argmax(1) if bits else np.zeros(rows, int)
-            score = np.minimum(clean.max(1) / np.maximum(total, 1), 1.0) if bits else np.zeros(rows)
-            names = [
-                UNDETERMINED if not n or not bits else own.languages[b] if s > 0 else own.prior
-                for n, b, s in zip(seen.tolist(), best.tolist(), score.tolist(), strict=True)
-            ]
-            score[seen == 0] = 0.0
+            names, score, _ = labelled(batch.num_rows, texts(batch), own, letters)
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
         return work
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return map_batches(rows, make, "doc_id bigint, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: LanguageFilter, least: float) -> DataFrame:
+    """The rows of ``docs``, with their columns, that have a language.
+
+    A text of at least ``ENOUGH`` n-grams also needs a score of ``least``; shorter ones say too little to be rejected.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = docs.schema
+
+    def make():
+        own, letters = shared.value, _letters()
+
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            names, score, total = labelled(batch.num_rows, texts(batch), own, letters)
+            known = (score >= least) | (total < ENOUGH)
+            return batch.filter(pa.array([n != UNDETERMINED and k for n, k in zip(names, known.tolist(), strict=True)], pa.bool_()))
+
+        return work
+
+    return map_batches(docs, make, schema)

@@ -41,7 +41,7 @@ SPELT = re.compile(r"[A-Za-z0-9._%+-]+\x20?(?:[(\[]at[)\]]|@|\x20at\x20)\x20?[A-
 AT, DOT = re.compile(r"[(\[]at[)\]]|\x20at\x20|@", re.I), re.compile(r"[(\[]dot[)\]]|\x20dot\x20", re.I)
 
 # Log potentials. "None" is label 0, kind k is label k + 1.
-BASE, NONE, FITS, UNFIT = 8.0, 1.5, 0.5, -6.0
+BASE, NONE, FITS, UNFIT = 1000.0, 1.5, 0.5, -6.0
 AGREE_SKIP, AGREE_NEAR, NEAR_CHARS = 4.0, 0.25, 24
 SWEEPS, DAMPING = 12, 0.3
 
