@@ -18,8 +18,10 @@ rows are packed again; an empty table gives no piece; further columns are not lo
 
 from __future__ import annotations
 
-from collections import deque
+import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +29,36 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthloom.llm.common import Remembered, reach_package, slices, texts
+from monthloom.llm.common import WHITE, Remembered, reach_package, slices, texts
 
 LENGTH, END = 4096, 2
 SEQUENCE_COST, SENTENCE_CUT, FORCED_CUT = 64, 1, 24
 BLOCK, CARRIED_WINDOWS = 1 << 19, 4
 LONG_STRETCH, FORCED_STEP = 256, 32
-CACHE = 150_000
+END_BYTES = array("I", [END]).tobytes()
+CACHE = 300_000
+SPECIAL, COMBINING = "<|", re.compile("[\u0300-\u036f]")
+# White space, digits, and letters whose lower case and composed form are one letter.
+PLAIN = WHITE + "0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9\u0400-\u0481\u048a-\u04ff"
+SIGN_BEFORE_STOP = re.compile(f"[.,](?<=[^{PLAIN}].)")
 
 PIECE = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
+def cut_words(text: str) -> list[str]:
+    """Parts of a text between which no token can lie, as few different ones as is safe.
+
+    White space always separates. A "." or "," does too after what ``PLAIN`` holds; texts in which one follows
+    anything else are left as they are. The tokenizer lower-cases, so A-Z may be lower-cased first, but
+    not before combining marks, with which it composes letters.
+    """
+    if SPECIAL not in text and not (not text.isascii() and COMBINING.search(text)):
+        text = text.lower() if text.isascii() else text.encode().lower().decode()
+    if not SIGN_BEFORE_STOP.search(text):
+        text = text.replace(".", " .").replace(",", " ,")
+    return text.replace("\n", " ").split(" ")
+
+
 class Words:
     """Ids of a text, 32 bits each. White space separates tokens, so what lies between spaces is encoded once a task."""
 
@@ -50,13 +71,17 @@ class Words:
         self.known = Remembered(CACHE)
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
-        cut = [text.replace("\n", " ").split(" ") for text in batch]
-        unseen = list(self.known.unknown(set().union(*cut)))
-        for word, found in zip(unseen, self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False), strict=True):
-            self.known.now[word] = np.array(found.ids, "<u4").tobytes()
-        known = self.known.now
-        end = np.array([END], "<u4").tobytes()
-        return [np.frombuffer(b"".join([*[known[w] for w in words], end]), "<u4") for words in cut]
+        cut = [cut_words(text) for text in batch]
+        found = [list(map(self.known.now.get, words)) for words in cut]
+        gaps = [[i for i, ids in enumerate(own) if ids is None] if None in own else [] for own in found]
+        unseen = list(self.known.unknown({words[i] for words, own in zip(cut, gaps, strict=True) for i in own}))
+        for word, encoding in zip(unseen, self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False), strict=True):
+            self.known.now[word] = array("I", encoding.ids).tobytes()
+        for words, own, ids in zip(cut, gaps, found, strict=True):
+            for i in own:
+                ids[i] = self.known.now[words[i]]
+            ids.append(END_BYTES)
+        return [np.frombuffer(b"".join(ids), np.uint32) for ids in found]
 
     def sentence_ends(self) -> np.ndarray:
         """For each id, whether its token ends a sentence."""
@@ -66,6 +91,12 @@ class Words:
         return ends
 
 
+@lru_cache(maxsize=1)
+def words(path: str) -> Words:
+    """One per worker, so that later tasks find what earlier ones have encoded."""
+    return Words(path)
+
+
 def cuts(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places where a window may end, ascending, and their penalties."""
     penalty = np.full(len(ids) + 1, -1, np.int64)
@@ -83,28 +114,39 @@ def cuts(ids: np.ndarray, doc_ends: np.ndarray, ends_sentence: np.ndarray) -> tu
 def best_windows(places: np.ndarray, penalty: np.ndarray) -> np.ndarray:
     """The cuts of least total cost, first and last place included."""
     n = len(places)
-    exact: dict[int, list[int]] = {}
+    exact_j, exact_i = [np.array([n])], [np.array([0])]  # pairs of cuts a power of two apart; the last entry ends the list
     for width in (1 << k for k in range((LENGTH - 1).bit_length())):
         found = np.minimum(np.searchsorted(places, places - width), n - 1)
-        for j in np.flatnonzero(places[found] == places - width).tolist():
-            exact.setdefault(j, []).append(int(found[j]))
+        j = np.flatnonzero(places[found] == places - width)
+        exact_j.append(j)
+        exact_i.append(found[j])
+    pair_j, pair_i = np.concatenate(exact_j), np.concatenate(exact_i)
+    order = np.argsort(pair_j, kind="stable")
+    pair_j, pair_i = pair_j[order].tolist(), pair_i[order].tolist()
     at, fee = places.tolist(), (penalty + SEQUENCE_COST).tolist()
     cost, origin = [0] * n, [0] * n
-    queue = deque([(at[0], 0)])  # (f(i) + at(i), i), both ascending
+    # The queue: cuts i with f(i) + at(i), both ascending, from ``head`` on.
+    values, sources, head, pair, next_pair = [at[0]], [0], 0, 0, pair_j[0]
     for j in range(1, n):
         place = at[j]
-        while at[queue[0][1]] < place - LENGTH:
-            queue.popleft()
-        least, source = queue[0]
-        least += LENGTH - place
-        for i in exact.get(j, ()):
+        reach = place - LENGTH
+        while at[sources[head]] < reach:
+            head += 1
+        least, source = values[head] - reach, sources[head]
+        while next_pair == j:
+            i = pair_i[pair]
             if cost[i] < least:
                 least, source = cost[i], i
-        cost[j], origin[j] = least + fee[j], source
-        value = cost[j] + place
-        while queue and queue[-1][0] >= value:
-            queue.pop()
-        queue.append((value, j))
+            pair += 1
+            next_pair = pair_j[pair]
+        least += fee[j]
+        cost[j], origin[j] = least, source
+        value = least + place
+        while len(values) > head and values[-1] >= value:
+            values.pop()
+            sources.pop()
+        values.append(value)
+        sources.append(j)
     chosen, j = [n - 1], n - 1
     while j:
         j = origin[j]
@@ -170,9 +212,9 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(Words(path))
+        packer = Packer(words(path))
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 512):
                 for doc_id, ids in zip(part.column(0).to_pylist(), packer.words.encode(texts(part)), strict=True):
                     packer.add(doc_id, ids)
                 if packer.size >= BLOCK and (rows := packer.pieces(last=False)):
