@@ -82,10 +82,13 @@ catm as (select f, row_number() over (order by f) - 1 as idx from fu, nu where u
 grp as (select g, f, row_number() over (partition by g order by f) - 1 as idx
         from (select f, {GROUP} as g from fu) where g is not null),
 rates as (select g, f, idx - 1 as idx from grp where idx > 0),
-best as (select f from fu order by users desc, f limit 6),
+scored as (select f from fu where users >= 9),
+best as (select f from fu order by users desc, f limit 100),
 pr as (select a.f as l, b.f as r, row_number() over (order by a.f, b.f) - 1 as idx
+       from scored a join scored b on a.f < b.f),
+bpr as (select a.f as l, b.f as r, row_number() over (order by a.f, b.f) - 1 as idx
        from best a join best b on a.f < b.f),
-rpr as (select l, r, 2 * idx as idx from pr union all select r, l, 2 * idx + 1 from pr),
+rpr as (select l, r, 2 * idx as idx from bpr union all select r, l, 2 * idx + 1 from bpr),
 outu as (select c_custkey as u from customer where c_acctbal >= 9900),
 st as ({_positions("(select u, f, avg(v) as x from obs group by u, f)")}),
 cs as (select * from ({_positions("(select u, f, max(v) - min(v) as x from obs group by u, f)")}) where lo <> hi)"""
@@ -289,15 +292,40 @@ def predictions(multiplier: int, modulus: int) -> str:
 GRID = f"""{BASE}, xy as (
   select a.s as x, b.s as y from {predictions(1, 101)} a join {predictions(1, 211)} b on a.u = b.u),
 pl as (select rank() over (order by x) - 1 as xb, rank() over (order by y) - 1 as yb, count(*) over () as n from xy),
-lv as (select *, cast(floor(log2(pow(n, cast(0.6 as double)))) as bigint) as l from pl),
-gr as (select cast(pow(2, i) as bigint) as a, cast(pow(2, j) as bigint) as b, n, xb, yb
-       from lv, (select unnest(range(1, 60)) as i), (select unnest(range(1, 60)) as j) where i + j <= l),
+lv as (select *, cast(floor(pow(n, cast(0.6 as double))) as bigint) as l from pl),
+ax as (select unnest(range(2, 1 + (select max(l) // 2 from lv))) as i),
+gr as (select a.i as a, b.i as b, n, xb, yb from ax a join ax b on a.i * b.i <= (select max(l) from lv), lv),
 ce as (select a, b, n, (xb * a) // n as bx, (yb * b) // n as bw, count(*) as c from gr group by all),
 mg as (select *, sum(c) over (partition by a, b, bx) as cx, sum(c) over (partition by a, b, bw) as cy from ce),
 sc as (select a, b, sum(c::double / n * ln(c::double * n / (cx * cy))) / ln(least(a, b)) as score from mg group by a, b)"""
 
 FIELD_VALUES = "{base} select u as \"user\", f as field_id, round({agg}, 6) as value from obs group by u, f"
 
+def zero_shares(tree: str, one_hot: str) -> str:
+    """Share blocks over ranges from 0 on, with only zeros for every third user; what stands for a zero total."""
+
+    def own(k: int, where: str) -> str:
+        return f"""(select w.u, w.f, greatest(0.0, least(hi, case when w.u % 3 = 0 then 0.0 else w.x end)) as x
+          from {window("avg(v)", k)} w join st s on s.f = w.f where {where})"""
+
+    def shares_of(rows: str, fields: str) -> str:
+        return f"""select u, idx, x, tot from (select u, f, x, sum(x) over (partition by u) as tot from {rows}) q join {fields} c on c.f = q.f"""
+
+    detail = shares_of(own(3, GROUPS["query_detail"].replace("f ", "w.f ")), rate("query_detail"))
+    every_field = shares_of(own(6, "w.f in (select f from cata)"), "cata")
+    best_three = f"(select u, f, x from (select u, f, x, row_number() over (partition by u order by x desc, f) as rn from {own(0, 'w.f in (select f from cata)')}) where rn <= 3)"
+    share = "x / tot"
+
+    def hot(name: str, rows: str) -> str:
+        return f"""select '{name}' as block, u as "user", cast(idx * 5 + bin as int) as idx, 1.0::double as value
+          from (select u, idx, case when tot = 0 then {one_hot} else {bins(share)} end as bin from ({rows})) where bin is not null"""
+
+    return f"""{FULL} select * from (
+      select 'tree_rate' as block, u as "user", cast(idx as int) as idx,
+             case when tot = 0 then {tree}::double else round({share}, 6) end as value from ({detail})) where value is not null
+      union all {hot("onehot_rate", every_field)} union all {hot("onehot_topn_rate", shares_of(best_three, "cata"))}"""
+
+
 ORACLES: dict[str, str] = {
     "month_distance": """select o_orderkey, strftime(o_orderdate, '%Y-%m') as month,
         cast((1999 - year(o_orderdate)) * 12 + 1 - month(o_orderdate) as int) as distance,
@@ -355,6 +383,8 @@ ORACLES: dict[str, str] = {
               join cata c on c.f = q.f where tot <> 0"""
         )
     ),
+    "zero_shares_keep": zero_shares("-1.0", "4"),
+    "zero_shares_drop": zero_shares("null", "null"),
     "onehot_log_pair": block(binned(pairs(6, "pr", scale("x"), LOG))),
     "onehot_ratio_pair": block(
         binned(f"select u, idx, value / (1 + abs(value)) as value from ({pairs(0, 'rpr', scale('x'), RATIO)})")
@@ -375,7 +405,7 @@ ORACLES: dict[str, str] = {
     "catalog_pairs_reindex": f"""{FULL} select l as left_id, r as right_id, cast(row_number() over (order by idx) - 1 as int) as idx from (
         select l, r, idx from pr join fu a on a.f = l join fu b on b.f = r order by a.users + b.users desc, idx limit 8)""",
     "catalog_reindex": numbered("(select f from fu order by users desc, f limit 10)"),
-    "catalog_shifted": numbered("fu"),
+    "catalog_shifted": numbered("(select f from beh where idx % 2 = 1)"),
     "field_medians": f"""{FULL} select f as field_id, users::double as score, round(m, 6) as median from (
         select f, median(x) as m from (select u, f, avg(v) as x from obs group by u, f) group by f)
         join (select f, users from fu order by users desc, f limit 10) using (f)""",
@@ -400,7 +430,7 @@ ORACLES: dict[str, str] = {
         from laid where abs(value) > 0.0001 group by "user", label, feature_size""",
     "dense_csv_row": f"""{layout(window_blocks(9, "cata", "catm"))},
         us as (select distinct "user", feature_size from laid),
-        cells as (select us."user", us.feature_size, i from us, (select unnest(range(1, 2000)) as i) where i <= us.feature_size)
+        cells as (select us."user", us.feature_size, i from us, (select unnest(range(1, 1 + (select max(feature_size) from us))) as i) where i <= us.feature_size)
         select c."user", c.feature_size, string_agg(case when value is null then '0' else {DENSE} end, ',' order by i) as features
         from cells c left join (select "user", idx, value from laid where abs(value) > 0.0001) l on l."user" = c."user" and l.idx = c.i
         group by c."user", c.feature_size""",
@@ -417,6 +447,10 @@ ORACLES: dict[str, str] = {
     "grid_association": f"{GRID} select round(coalesce(max(score), 0.0), 6) as association from sc",
     "correlation": f"""{BASE} select round(corr(a.s, b.s), 6) as correlation
         from {predictions(1, 101)} a join {predictions(1, 211)} b on b.u = a.u""",
+    "gbt_rounds": f"""{FULL} select count(*) as scored, count(*) as users, true as in_range, 1.0::double as importance, 20 as trees
+        from users where u not in (select u from outu)""",
+    "holdout_parts": f"""{BASE} select count(*) as users, 1::bigint as most, count(distinct label)::int as labels_held, true as about_a_tenth
+        from users""",
     "holdout_split": f"""{BASE} select u as "user", label,
         ('0x' || substr(md5(u || '#0'), 1, 8))::bigint % 10 = 0 as is_validation from users""",
 }

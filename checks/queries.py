@@ -23,9 +23,13 @@ from monthloom.sources.tables import drop_constant, field_range
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Catalogue rules: share of users a field must be observed for, and the width of the pair list.
-AVERAGE_SHARE, MAXIMUM_SHARE, PAIR_FIELDS = 0.35, 0.45, 6
+# Catalogue rules: share of users a field must be observed for, the score that admits a field to the
+# unordered pairs, and the width of the list behind the ordered ones.
+AVERAGE_SHARE, MAXIMUM_SHARE, PAIR_SCORE, RATIO_FIELDS = 0.35, 0.45, 9, 100
+# Lengths of the importance lists that stand for hand-picked ones.
+KEPT_FIELDS, KEPT_PAIRS, BEST_FIELDS = 4, 8, 10
 OFFSET = 429
+ROUNDS = 20
 
 
 class Inputs:
@@ -101,13 +105,12 @@ class Inputs:
 
     @cached_property
     def log_pairs(self) -> DataFrame:
-        """Unordered pairs of the most frequent fields."""
-        best = selection.top(self.field_importance, PAIR_FIELDS)
-        return selection.pair_candidates(best, 0)
+        """Unordered pairs of the fields that reach the score."""
+        return selection.pair_candidates(self.field_importance, PAIR_SCORE)
 
     @cached_property
     def ratio_pairs(self) -> DataFrame:
-        return selection.ratio_pair_candidates(self.field_importance, PAIR_FIELDS)
+        return selection.ratio_pair_candidates(self.field_importance, RATIO_FIELDS)
 
     @cached_property
     def stats(self) -> DataFrame:
@@ -161,6 +164,23 @@ class Inputs:
         """Label records as the merge jobs read them."""
         return self.users.select(F.col("user").cast("string").alias("user"), "label_month", "label")
 
+    @cached_property
+    def untidy_labels(self) -> DataFrame:
+        """Labels with a later repeat for every second user and users without actions."""
+        repeat = self.labels.filter(F.col("user").cast("int") % 2 == 0).select("user", F.lit("2099-01").alias("label_month"), (1 - F.col("label")).alias("label"))
+        idle = self.labels.select(F.concat(F.lit("idle"), "user").alias("user"), "label_month", "label")
+        return self.labels.unionByName(repeat).unionByName(idle)
+
+    @cached_property
+    def untidy_actions(self) -> DataFrame:
+        """Actions with months out of reach, repeated months of smaller text, users without a label and null months."""
+        own = self.actions
+        old = own.withColumn("action_month", month_before(F.col("action_month"), F.lit(60)))
+        repeat = own.withColumn("actions", F.lit("0:1"))
+        unknown = own.withColumn("user", F.concat(F.lit("unlabelled"), "user"))
+        no_month = own.withColumn("action_month", F.lit(None).cast("string"))
+        return own.unionByName(old).unionByName(repeat).unionByName(unknown).unionByName(no_month)
+
     @cached_property
     def actions(self) -> DataFrame:
         """Action records: each month's fields in order, then the smallest id once more with the
@@ -210,7 +230,7 @@ def parse_actions(i: Inputs) -> DataFrame:
 
 
 def merge_training(i: Inputs) -> DataFrame:
-    return merge.merge_training(i.labels, i.actions)[1]
+    return merge.merge_training(i.untidy_labels, i.untidy_actions)[1]
 
 
 def merge_scoring(i: Inputs) -> DataFrame:
@@ -294,6 +314,25 @@ def onehot_rate(i: Inputs) -> DataFrame:
     return blocks.onehot_rate(i.tables[1], i.average_fields, i.stats, 6)
 
 
+def _zero_shares(policy: str) -> Query:
+    """The three share blocks where ranges start at 0 and every third user has only zeros; NaN shows as -1."""
+
+    def build(i: Inputs) -> DataFrame:
+        stats = i.stats.withColumn("lo", F.lit(0.0))
+        obs = i.tables[1].withColumn("value", F.when(F.col("user") % 3 == 0, 0.0).otherwise(F.col("value")))
+        name = "query_detail"
+        parts = {
+            "tree_rate": blocks.tree_rate(obs, _range_of(i, name), i.rates[name], stats, 3, nan_policy=policy),
+            "onehot_rate": blocks.onehot_rate(obs, i.average_fields, stats, 6, nan_policy=policy),
+            "onehot_topn_rate": blocks.onehot_topn_rate(obs, i.average_fields, stats, 0, 3, nan_policy=policy),
+        }
+        value = F.when(F.isnan("value"), -1.0).otherwise(F.round("value", 6)).alias("value")
+        found = [df.select(F.lit(block).alias("block"), "user", "idx", value) for block, df in parts.items()]
+        return found[0].unionByName(found[1]).unionByName(found[2])
+
+    return _query(build)
+
+
 def onehot_topn_rate(i: Inputs) -> DataFrame:
     return blocks.onehot_topn_rate(i.tables[1], i.average_fields, i.stats, 0, 3)
 
@@ -342,18 +381,18 @@ def profile_numeric(i: Inputs) -> DataFrame:
 
 
 def catalog_candidates(i: Inputs) -> DataFrame:
-    best = i.field_users.orderBy(F.desc("users"), "field_id").limit(4)
+    best = i.field_users.orderBy(F.desc("users"), "field_id").limit(KEPT_FIELDS)
     return selection.candidate_fields(field_range(i.spark, 1, FIELD_UNIVERSE), i.field_users, best)
 
 
 def pair_candidates(i: Inputs) -> DataFrame:
     total = i.tables[0].agg(F.count(F.lit(1))).scalar()
     frequent = i.field_importance.filter(F.col("score") >= AVERAGE_SHARE * total)
-    return selection.pair_candidates(frequent, 9)
+    return selection.pair_candidates(frequent, PAIR_SCORE)
 
 
 def ratio_pair_candidates(i: Inputs) -> DataFrame:
-    return selection.ratio_pair_candidates(i.field_importance, PAIR_FIELDS)
+    return selection.ratio_pair_candidates(i.field_importance, RATIO_FIELDS)
 
 
 def catalog_pairs_reindex(i: Inputs) -> DataFrame:
@@ -361,23 +400,26 @@ def catalog_pairs_reindex(i: Inputs) -> DataFrame:
     left = i.field_users.select(F.col("field_id").alias("left_id"), F.col("users").alias("left_users"))
     right = i.field_users.select(F.col("field_id").alias("right_id"), F.col("users").alias("right_users"))
     scored = i.log_pairs.join(left, "left_id").join(right, "right_id")
-    best = scored.orderBy(F.desc(F.col("left_users") + F.col("right_users")), "idx").limit(8)
+    best = scored.orderBy(F.desc(F.col("left_users") + F.col("right_users")), "idx").limit(KEPT_PAIRS)
     return selection.selected_pairs(i.log_pairs, best.select(F.col("idx").alias("feature_idx")))
 
 
 def catalog_reindex(i: Inputs) -> DataFrame:
-    chosen = i.importance.orderBy(F.desc("score"), "feature_idx").limit(10)
+    chosen = i.importance.orderBy(F.desc("score"), "feature_idx").limit(BEST_FIELDS)
     return selection.selected_fields(i.catalogue(), chosen)
 
 
 def catalog_shifted(i: Inputs) -> DataFrame:
-    listed = i.field_importance.select((F.col("field_id") + OFFSET).alias("feature_idx"), "score")
-    return selection.catalogue_of(selection.shift_importance(listed, OFFSET))
+    """A list that numbers features behind a block of ``OFFSET`` others, from 1 on; it names every second field."""
+    second = i.importance.filter(F.col("feature_idx") % 2 == 1)
+    listed = second.select((F.col("feature_idx") + 1 + OFFSET).alias("feature_idx"), "score")
+    shifted = selection.shift_importance(listed, OFFSET + 1).withColumnRenamed("field_id", "idx")
+    return selection.catalogue_of(i.catalogue().join(shifted, "idx"))
 
 
 def field_medians(i: Inputs) -> DataFrame:
     values = statistics.field_values(i.tables[1])
-    return _rounded(selection.field_medians(values, i.field_importance, 10), "median")
+    return _rounded(selection.field_medians(values, i.field_importance, BEST_FIELDS), "median")
 
 
 def catalog_every_fourth(i: Inputs) -> DataFrame:
@@ -473,9 +515,33 @@ def holdout_sample(i: Inputs) -> DataFrame:
 
 
 def _trained(i: Inputs):
-    split = model.holdout_split(rows.to_vectors(i.encoded("one_season")))
-    parts = [split.filter(F.col("is_validation") == held).drop("is_validation") for held in (False, True)]
-    return model.train(*parts, rounds=3), split
+    """Trees of ``ROUNDS`` rounds, a setting of these queries, on the rows that are not held out."""
+    split = materialise(model.holdout_split(rows.to_vectors(i.encoded("one_season"))))
+    return model.train(split.filter("not is_validation").drop("is_validation"), rounds=ROUNDS), split
+
+
+def holdout_parts(i: Inputs) -> DataFrame:
+    """What any sample must fulfil: the parts are disjoint and together complete, and hold both labels."""
+    users = holdout_sample(i).join(i.users.select("user"), "user")
+    part = F.col("part") == "validate"
+    return users.groupBy("user").agg(F.count(F.lit(1)).alias("n"), F.max("label").alias("label"), F.max(part).alias("held")).agg(
+        F.count(F.lit(1)).alias("users"),
+        F.max("n").alias("most"),
+        F.count_distinct(F.when(F.col("held"), F.col("label"))).cast("int").alias("labels_held"),
+        F.avg(F.col("held").cast("int")).between(0.02, 0.3).alias("about_a_tenth"),
+    )
+
+
+def gbt_rounds(i: Inputs) -> DataFrame:
+    """What any training must fulfil: a tree per round, a score in [0, 1] for every user once, importances that sum to 1."""
+    trees, split = _trained(i)
+    total = model.importances(trees, split).agg(F.round(F.sum("score"), 6).alias("importance"))
+    scores = model.score(trees, split).agg(
+        F.count(F.lit(1)).alias("scored"),
+        F.count_distinct("user_id").alias("users"),
+        F.min(F.col("ovd_rate").between(0, 1)).alias("in_range"),
+    )
+    return scores.join(total, F.lit(True)).withColumn("trees", F.lit(trees.getNumTrees))
 
 
 def gbt_scores(i: Inputs) -> DataFrame:
@@ -513,6 +579,8 @@ QUERIES: dict[str, Query] = {
     "onehot_block": _query(onehot_block),
     "onehot_rate": _query(onehot_rate),
     "onehot_topn_rate": _query(onehot_topn_rate),
+    "zero_shares_keep": _zero_shares("keep"),
+    "zero_shares_drop": _zero_shares("drop"),
     "onehot_log_pair": _query(onehot_log_pair),
     "onehot_ratio_pair": _query(onehot_ratio_pair),
     "onehot_max_change": _query(onehot_max_change),
@@ -547,4 +615,6 @@ QUERIES: dict[str, Query] = {
     "holdout_sample": _query(holdout_sample),
     "gbt_scores": _query(gbt_scores),
     "gbt_importance": _query(gbt_importance),
+    "gbt_rounds": _query(gbt_rounds),
+    "holdout_parts": _query(holdout_parts),
 }

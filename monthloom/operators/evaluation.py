@@ -12,22 +12,36 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from monthloom.functions.scaling import required
 from monthloom.operators.ranking import running_totals
 
 WINDOW_WEIGHTS = (0.25, 0.25, 0.25, 0.25)
 MODEL_WEIGHTS = (0.2, 0.8)
 
 
-def blend(predictions: Sequence[DataFrame], weights: Sequence[float]) -> DataFrame:
-    """Weighted sum of the scores of users found in every table."""
+def blend(predictions: Sequence[DataFrame], weights: Sequence[float], complete: bool = True) -> DataFrame:
+    """Weighted sum of every user's scores, one from each table.
+
+    A user who is missing from a table or repeated in one fails the query. With ``complete=False``
+    users missing from a table are left out instead.
+    """
     if len(predictions) != len(weights):
         raise ValueError("one weight per prediction table")
     tables = [
-        p.select("user_id", F.col("ovd_rate").alias(f"score{i}")) for i, p in enumerate(predictions)
+        p.select("user_id", F.lit(i).alias("table"), "ovd_rate") for i, p in enumerate(predictions)
     ]
-    joined = reduce(lambda a, b: a.join(b, "user_id"), tables)
+    own = [F.col("table") == i for i in range(len(tables))]
+    by_user = reduce(DataFrame.unionByName, tables).groupBy("user_id").agg(
+        *[F.count(F.when(o, 1)).alias(f"n{i}") for i, o in enumerate(own)],
+        *[F.max(F.when(o, F.col("ovd_rate"))).alias(f"score{i}") for i, o in enumerate(own)],
+    )
+    counts = [F.col(f"n{i}") for i in range(len(tables))]
+    if not complete:
+        by_user = by_user.filter(F.least(*counts, F.lit(1)) > 0)
     score = sum((F.col(f"score{i}") * w for i, w in enumerate(weights)), F.lit(0.0))
-    return joined.select("user_id", score.alias("ovd_rate"))
+    message = F.concat(F.lit("not exactly one score in every table: "), F.col("user_id").cast("string"))
+    once = (F.least(*counts, F.lit(1)) == 1) & (F.greatest(*counts, F.lit(1)) == 1)
+    return by_user.select("user_id", required(score, once, message).alias("ovd_rate"))
 
 
 def blend_windows(predictions: Sequence[DataFrame]) -> DataFrame:
@@ -58,30 +72,32 @@ def _below(pairs: DataFrame, axis: str) -> DataFrame:
     return ranked.select(axis, F.col("before_n").alias(f"{axis}_below"), F.col("all_n").alias("users"))
 
 
-def grid_scores(first: DataFrame, second: DataFrame, exponent: float = 0.6) -> DataFrame:
+def grid_scores(
+    first: DataFrame, second: DataFrame, exponent: float = 0.6, axis: Sequence[int] | None = None
+) -> DataFrame:
     """Normalised mutual information of two score columns on every equal-count grid.
 
-    Grids have 2, 4, 8, ... bins per axis and at most ``users ** exponent`` cells. Bins come from
-    the number of lower scores, so tied users share a bin.
+    Grids have from 2 bins per axis on and at most ``users ** exponent`` cells. Bins come from the
+    number of lower scores, so tied users share a bin. The work is users times grids; ``axis`` names
+    the numbers of bins to try instead of all, for tables where that is too much.
     """
     joined = first.select("user_id", F.col("ovd_rate").alias("x")).join(
         second.select("user_id", F.col("ovd_rate").alias("y")), "user_id"
     )
     pairs = joined.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
     placed = pairs.join(_below(pairs, "x"), "x").join(_below(pairs, "y").drop("users"), "y")
-    levels = F.floor(F.log2(F.pow(F.col("users"), F.lit(exponent))))
+    cells_allowed = F.floor(F.pow(F.col("users"), F.lit(exponent)))
+
+    def numbers(most):
+        if axis is None:
+            return F.sequence(F.lit(2).cast("bigint"), most)
+        return F.filter(F.lit([int(k) for k in axis]).cast("array<bigint>"), lambda k: (k >= 2) & (k <= most))
+
     grids = (
-        placed.filter(levels >= 2)
-        .withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), levels - 1)))
-        .withColumn("j", F.explode(F.sequence(F.lit(1).cast("bigint"), levels - F.col("i"))))
-        .select(
-            F.pow(F.lit(2), F.col("i")).cast("bigint").alias("a"),
-            F.pow(F.lit(2), F.col("j")).cast("bigint").alias("b"),
-            "users",
-            "x_below",
-            "y_below",
-            "n",
-        )
+        placed.filter(cells_allowed >= 4)
+        .withColumn("a", F.explode(numbers(F.floor(cells_allowed / 2))))
+        .withColumn("b", F.explode(numbers(F.floor(cells_allowed / F.col("a")))))
+        .select("a", "b", "users", "x_below", "y_below", "n")
     )
     bin_x = F.floor(F.col("x_below") * F.col("a") / F.col("users")).alias("bx")
     bin_y = F.floor(F.col("y_below") * F.col("b") / F.col("users")).alias("by")
@@ -99,9 +115,11 @@ def grid_scores(first: DataFrame, second: DataFrame, exponent: float = 0.6) -> D
     )
 
 
-def grid_association(first: DataFrame, second: DataFrame, exponent: float = 0.6) -> DataFrame:
+def grid_association(
+    first: DataFrame, second: DataFrame, exponent: float = 0.6, axis: Sequence[int] | None = None
+) -> DataFrame:
     """The best grid score in one row; 0 when there are too few users for a grid."""
-    best = grid_scores(first, second, exponent).agg(F.max("score").alias("best"))
+    best = grid_scores(first, second, exponent, axis).agg(F.max("score").alias("best"))
     return best.select(F.coalesce("best", F.lit(0.0)).alias("association"))
 
 

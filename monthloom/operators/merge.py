@@ -19,11 +19,6 @@ def unique_labels(labels: DataFrame) -> DataFrame:
     return labels.groupBy("user").agg(first).select("user", "first.label_month", "first.label")
 
 
-def unique_months(actions: DataFrame) -> DataFrame:
-    """One action row per (user, month): the greatest text. Combines before it shuffles."""
-    return actions.groupBy("user", "action_month").agg(F.max("actions").alias("actions"))
-
-
 def action_entries(actions: Column) -> Column:
     """``id:value,...`` text as entries: the first part is the id, the last the value.
 
@@ -64,11 +59,11 @@ def explode_actions(actions: DataFrame) -> DataFrame:
     )
 
 
-def _in_reach(actions: DataFrame) -> DataFrame:
-    """Months at most twelve before the label, as observations."""
+def _near(actions: DataFrame) -> DataFrame:
+    """Months at most twelve before the label, by their distance."""
     dist = month_distance(F.col("label_month"), F.col("action_month")).alias("dist")
-    near = actions.select("user", dist, "actions").filter(F.col("dist") <= HISTORY_MONTHS)
-    return explode_actions(near)
+    known = actions.filter(F.col("action_month").isNotNull())
+    return known.select("user", dist, "actions").filter(F.col("dist") <= HISTORY_MONTHS)
 
 
 def merge_training(labels: DataFrame, actions: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -77,8 +72,9 @@ def merge_training(labels: DataFrame, actions: DataFrame) -> tuple[DataFrame, Da
     Users without any action stay in ``users``.
     """
     users = unique_labels(labels)
-    months = unique_months(actions.filter(F.col("action_month").isNotNull()))
-    obs = _in_reach(months.join(users.select("user", "label_month"), "user"))
+    near = _near(actions.join(users.select("user", "label_month"), "user"))
+    # The join has brought a user's rows together, so the grouping needs no further shuffle.
+    obs = explode_actions(near.groupBy("user", "dist").agg(F.max("actions").alias("actions")))
     return users, obs
 
 
@@ -89,8 +85,8 @@ def merge_scoring(
     users = actions.select("user").distinct().select(
         "user", F.lit(label_month).alias("label_month"), F.lit(label).alias("label")
     )
-    months = unique_months(actions.filter(F.col("action_month").isNotNull()))
-    return users, _in_reach(months.withColumn("label_month", F.lit(label_month)))
+    near = _near(actions.withColumn("label_month", F.lit(label_month)))
+    return users, explode_actions(near.groupBy("user", "dist").agg(F.max("actions").alias("actions")))
 
 
 def profile_months(users: DataFrame, obs: DataFrame) -> DataFrame:

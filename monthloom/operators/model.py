@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthloom.sources.scratch import materialise
+from monthloom.sources.scratch import materialise, scratch_folder
 
 # Training settings. Spark ML has no counterpart of the leaf-wise growth, the L2
 # weight and the minimum child weight used with them.
@@ -17,6 +17,8 @@ ROUNDS = 1000
 ROW_SAMPLE = 0.78
 COLUMN_SAMPLE = 0.76
 
+CHECKPOINT_EVERY = 25
+
 
 def hash_bucket(buckets: int, seed: int = 0):
     """A bucket that depends on the user id alone, so it survives any recomputation."""
@@ -41,15 +43,24 @@ def holdout_sample(users: DataFrame, fraction: float = 0.1, seed: int = 0) -> tu
 
 def train(
     vectors: DataFrame,
-    validation: DataFrame | None = None,
     rounds: int = ROUNDS,
     depth: int = DEPTH,
     rate: float = RATE,
     row_sample: float = ROW_SAMPLE,
     column_sample: float = COLUMN_SAMPLE,
     seed: int = 0,
+    stop_on: DataFrame | None = None,
+    tolerance: float = 0.01,
 ) -> GBTClassificationModel:
-    """Boosted trees over ``(user, label, features)``; a validation set stops training early."""
+    """Boosted trees over ``(user, label, features)``, one per round.
+
+    Only with ``stop_on``, rows held back for it, may training end before all rounds: when their
+    error no longer falls by ``tolerance``. Long runs cut the lineage in the folder that
+    ``spark.checkpoint.dir`` names.
+    """
+    context = vectors.sparkSession.sparkContext
+    if rounds > CHECKPOINT_EVERY and not context.getCheckpointDir():
+        context.setCheckpointDir(scratch_folder(vectors.sparkSession))
     trees = GBTClassifier(
         featuresCol="features",
         labelCol="label",
@@ -59,13 +70,20 @@ def train(
         subsamplingRate=row_sample,
         featureSubsetStrategy=str(column_sample),
         seed=seed,
+        checkpointInterval=CHECKPOINT_EVERY,
     )
-    if validation is None:
+    if stop_on is None:
         return trees.fit(vectors)
     marked = vectors.withColumn("is_validation", F.lit(False)).unionByName(
-        validation.withColumn("is_validation", F.lit(True))
+        stop_on.withColumn("is_validation", F.lit(True))
     )
-    return trees.setValidationIndicatorCol("is_validation").fit(marked)
+    return trees.setParams(validationIndicatorCol="is_validation", validationTol=tolerance).fit(marked)
+
+
+def validation_error(model: GBTClassificationModel, validation: DataFrame) -> DataFrame:
+    """``(round, error)``: the loss on held-out rows after each round; reports, and stops nothing."""
+    errors = [(i, float(e)) for i, e in enumerate(model.evaluateEachIteration(validation), 1)]
+    return validation.sparkSession.createDataFrame(errors, "round int, error double")
 
 
 def score(model: GBTClassificationModel, vectors: DataFrame) -> DataFrame:

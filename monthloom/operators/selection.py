@@ -1,7 +1,8 @@
 """Catalogues of fields and pairs, chosen from importance lists.
 
-Everything here works on catalogue-sized tables (at most one row per field id of the fixed
-universe), so a dense numbering may use an unpartitioned window.
+Field lists have at most one row per field id of the fixed universe, so their dense numbering may
+use an unpartitioned window. Pair lists grow with the square of a field list: they are made from
+spread-out fields and numbered through running totals, never in one task.
 """
 
 from __future__ import annotations
@@ -52,7 +53,8 @@ def _ordered_pairs(fields: DataFrame) -> DataFrame:
     pair's number follows from the two positions.
     """
     ranked = catalogue_of(fields).withColumn("size", F.count(F.lit(1)).over(Window.partitionBy()))
-    left = ranked.filter(F.col("idx") < F.col("size") - 1).select(
+    spread = ranked.repartition("field_id")  # before the rows multiply
+    left = spread.filter(F.col("idx") < F.col("size") - 1).select(
         F.col("field_id").alias("left_id"),
         F.col("idx").alias("i"),
         "size",
@@ -84,8 +86,8 @@ def ratio_pair_candidates(importance: DataFrame, n: int = 100) -> DataFrame:
 def selected_pairs(pairs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The pairs whose number was chosen by the importance list, renumbered in that order."""
     kept = pairs.join(chosen.select(F.col("feature_idx").alias("idx")), "idx", "left_semi")
-    ranked = F.row_number().over(Window.orderBy("idx")) - 1
-    return kept.select("left_id", "right_id", ranked.alias("idx"))
+    ranked = running_totals(kept.withColumn("n", F.lit(1)), [], "idx", ["n"])
+    return ranked.select("left_id", "right_id", F.col("before_n").cast("int").alias("idx"))
 
 
 def selected_fields(catalogue: DataFrame, importance: DataFrame, base: int = 0) -> DataFrame:

@@ -258,7 +258,7 @@ def encode_layout(
 ) -> DataFrame:
     """Rows ``(user, label, feature_size, tokens)`` of a layout, one per user."""
     if excluded is not None:
-        users, obs = without_users(users, excluded), without_users(obs, excluded)
+        users = without_users(users, excluded)  # observations of users who are not listed fall away in the gathering
     windows = sorted({blocks[b].k for b in _numbers(blocks, Missing)})
     wanted = dict.fromkeys((blocks[b].agg, blocks[b].k) for b in _numbers(blocks, *LISTED))
     measures = {m: f"m{n}" for n, m in enumerate(wanted)}

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from monthloom.operators import evaluation, merge, model, rows, statistics
 from monthloom.plans.encode import encode_layout
@@ -129,16 +130,19 @@ def train_and_score(
 ) -> GBTClassificationModel:
     """Boosted trees over encoded rows: feature scores and predictions for both sets.
 
-    With ``validate`` the test rows also decide when training stops.
+    With ``validate`` the AUC of the test rows is shown. It never shortens the training.
     """
     train_set = rows.to_vectors(tables.read_encoded(spark, train_rows))
     test_set = rows.to_vectors(tables.read_encoded(spark, test_rows))
-    trees = model.train(train_set, test_set if validate else None, rounds=rounds, **settings)
+    trees = model.train(train_set, rounds=rounds, **settings)
     if model_path is not None:
         trees.write().overwrite().save(model_path)
     sinks.write_importance(model.importances(trees, train_set), importance_output)
     sinks.write_predictions(model.score(trees, train_set), train_output)
     sinks.write_predictions(model.score(trees, test_set), test_output)
+    if validate:
+        truth = test_set.select(F.col("user").alias("user_id"), "label")
+        evaluation.auc(tables.read_predictions(spark, test_output), truth).show()
     return trees
 
 

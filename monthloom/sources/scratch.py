@@ -21,7 +21,7 @@ def scratch_folder(spark: SparkSession) -> str:
     Only a local session may go without the setting; it gets a temporary folder of its own.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return f"{folder.rstrip('/')}/{context.applicationId}"
     if not context.master.startswith("local"):
@@ -29,6 +29,12 @@ def scratch_folder(spark: SparkSession) -> str:
     return _own_folder(context.applicationId)
 
 
+def discard(spark: SparkSession) -> None:
+    """Removes this application's scratch tables; to be called when nothing reads them any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialise(df: DataFrame, read_as: T.StructType | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return the table read back.
 

@@ -261,7 +261,7 @@ def expected_blocks(layout, user):
 @pytest.mark.parametrize("layout", list(LAYOUTS))
 def test_layouts(data, layout):
     encoded = encode_layout(
-        data.users, data.obs, data.stats, LAYOUTS[layout](data.catalogues), change_stats=data.change_stats
+        data.users, data.obs, data.stats, LAYOUTS[layout](data.catalogues), change_stats=data.change_stats, nan_policy="drop"
     )
     got = {r["user"]: r for r in encoded.collect()}
     assert set(got) == set(USERS_BY_NAME)
@@ -295,7 +295,7 @@ def test_kept_nan_shares_in_layouts(data):
         nan_policy="keep",
     )
     dropped = encode_layout(
-        data.users, data.obs, data.stats, LAYOUTS["linear"](data.catalogues), change_stats=data.change_stats
+        data.users, data.obs, data.stats, LAYOUTS["linear"](data.catalogues), change_stats=data.change_stats, nan_policy="drop"
     )
     count = lambda df: df.select(F.sum(F.size("tokens"))).head()[0]
     assert count(encoded) > count(dropped)

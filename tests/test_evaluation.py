@@ -43,19 +43,19 @@ def test_auc_against_all_pairs(frame):
 
 def best_grid(x, y, exponent=0.6):
     n = len(x)
-    levels = math.floor(math.log2(n**exponent))
+    cells_allowed = math.floor(n**exponent)
     below = lambda vs: [sum(1 for w in vs if w < v) for v in vs]
     bx, by = below(x), below(y)
     best = 0.0
-    for i in range(1, levels):
-        for j in range(1, levels - i + 1):
-            cells = Counter((b * 2**i // n, c * 2**j // n) for b, c in zip(bx, by, strict=True))
+    for i in range(2, cells_allowed // 2 + 1):
+        for j in range(2, cells_allowed // i + 1):
+            cells = Counter((b * i // n, c * j // n) for b, c in zip(bx, by, strict=True))
             columns, lines = Counter(), Counter()
             for (a, b), c in cells.items():
                 columns[a] += c
                 lines[b] += c
             gain = sum(c / n * math.log(c * n / (columns[a] * lines[b])) for (a, b), c in cells.items())
-            best = max(best, gain / math.log(min(2**i, 2**j)))
+            best = max(best, gain / math.log(min(i, j)))
     return best
 
 
@@ -70,6 +70,12 @@ def test_grid_association(frame, kind):
         assert got == pytest.approx(1.0)
 
 
+def test_chosen_grids_only(frame):
+    x = scores(frame, [i * 37 % 101 for i in range(120)])
+    some = evaluation.grid_scores(x, x, axis=[3, 5]).collect()
+    assert sorted((r["a"], r["b"]) for r in some) == [(3, 3), (3, 5), (5, 3)]
+
+
 def test_too_few_users_for_a_grid(frame):
     few = scores(frame, [1, 2, 3])
     assert evaluation.grid_association(few, few).head()["association"] == 0.0
@@ -77,8 +83,11 @@ def test_too_few_users_for_a_grid(frame):
 
 def test_blends(frame):
     first, second = scores(frame, [0.2, 0.4, 0.6]), scores(frame, [1.0, 0.0])
-    blended = {r["user_id"]: r["ovd_rate"] for r in evaluation.blend_models(first, second).collect()}
-    assert blended == pytest.approx({"u0": 0.84, "u1": 0.08})
+    blended = evaluation.blend([first, second], evaluation.MODEL_WEIGHTS, complete=False)
+    assert {r["user_id"]: r["ovd_rate"] for r in blended.collect()} == pytest.approx({"u0": 0.84, "u1": 0.08})
+    for others in (second, first.unionByName(first)):
+        with pytest.raises(Exception, match="not exactly one score"):
+            evaluation.blend_models(first, others).collect()
     equal = evaluation.blend_windows([first] * 4)
     assert {r["user_id"]: r["ovd_rate"] for r in equal.collect()} == pytest.approx({"u0": 0.2, "u1": 0.4, "u2": 0.6})
     with pytest.raises(ValueError):
@@ -125,11 +134,21 @@ def test_trees_find_the_signal(encoded):
     assert max(used, key=used.get) in (2, 3) and 1 not in used
 
 
-def test_validation_set_is_used(encoded):
+def test_training_runs_every_round(encoded):
+    """At the small default rate single rounds gain little, which must not end the training."""
+    vectors = rows.to_vectors(encoded)
+    held, rest = vectors.filter("user like '%1'"), vectors.filter("not user like '%1'")
+    trees = model.train(rest, rounds=12, depth=2)
+    assert trees.getNumTrees == 12
+    errors = model.validation_error(trees, held).collect()
+    assert [r["round"] for r in errors] == list(range(1, 13))
+    assert all(0 < r["error"] < 2 for r in errors)
+
+
+def test_stopping_early_is_asked_for(encoded):
     vectors = rows.to_vectors(encoded)
     held, rest = vectors.filter("user like '%1'"), vectors.filter("not user like '%1'")
-    trees = model.train(rest, held, rounds=8, depth=2, rate=0.5)
-    assert 1 <= trees.getNumTrees <= 8
+    assert 1 <= model.train(rest, rounds=12, depth=2, stop_on=held).getNumTrees < 12
 
 
 def test_train_and_score_job(spark, encoded, tmp_path):

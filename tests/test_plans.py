@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from checks.oracles import ORACLES
 from checks.queries import QUERIES, Inputs
-from monthloom.operators import statistics
+from monthloom.operators import merge, selection, statistics
 from monthloom.plans.encode import encode_layout
 from monthloom.plans.layouts import LAYOUTS
 from monthloom.sources import scratch, sinks
@@ -126,6 +126,43 @@ def test_one_user_with_a_third_of_the_rows(inputs):
         assert sorted(again.collect(), key=key) == sorted(once.collect(), key=key)
 
 
+def without_broadcasts(spark, build) -> str:
+    """The plan that ``build`` gives when no side counts as small."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return plan_of(build())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_merging_for_training_shuffles_the_actions_once(spark, inputs):
+    actions = scratch.materialise(inputs.untidy_actions)
+    labels = scratch.materialise(inputs.untidy_labels)
+    plan = without_broadcasts(spark, lambda: merge.merge_training(labels, actions)[1])
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert [re.sub(r"#\d+L?", "", k).rsplit(", ", 1)[0] for k in keys] == ["user", "user"]  # actions, labels
+    months = plan.index("<= 12")
+    assert months > plan.index("Aggregate")  # filtered below the grouping
+
+
+def test_excluding_users_leaves_the_observations_alone(spark, inputs):
+    users, obs = inputs.tables
+    excluded = scratch.materialise(inputs.excluded)
+    blocks = LAYOUTS["half_year"](inputs.catalogues)
+    shuffles = []
+    for listed in (None, excluded):
+        plan = without_broadcasts(spark, lambda: encode_layout(users, obs, inputs.stats, blocks, excluded=listed))  # noqa: B023
+        shuffles.append(len(re.findall(r"Exchange hashpartitioning", plan)))
+        assert plan.count("LeftAnti") == (0 if listed is None else 1)
+    assert shuffles[1] <= shuffles[0] + 2  # the users and the list, once each
+
+
+def test_pairs_are_not_made_in_one_task(spark, inputs):
+    plan = plan_of(selection.pair_candidates(inputs.field_importance, 9))
+    assert plan.index("Generate explode") < plan.index("Exchange hashpartitioning") < plan.index("Exchange SinglePartition")
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None)
     used = scratch.scratch_folder(spark)
@@ -140,7 +177,7 @@ def test_only_local_sessions_may_lack_the_shared_folder():
     def session(master, folder=None):
         return SimpleNamespace(
             conf=SimpleNamespace(get=lambda key, default: folder),
-            sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
+            sparkContext=SimpleNamespace(master=master, applicationId="app-1", getCheckpointDir=lambda: None),
         )
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
