@@ -326,7 +326,33 @@ def zero_shares(tree: str, one_hot: str) -> str:
       union all {hot("onehot_rate", every_field)} union all {hot("onehot_topn_rate", shares_of(best_three, "cata"))}"""
 
 
+SPARSE = f"""{layout(window_blocks(6, "cata", "catm"))}, sparse as (
+        select "user", feature_size, label || ' ' || string_agg(idx || ':' || {TEXT}, ' ' order by idx) as features
+        from laid where abs(value) > 0.0001 group by "user", label, feature_size)"""
+
 ORACLES: dict[str, str] = {
+    "labels_file": f'{BASE} select cast(u as varchar) as "user", {month("lm")} as label_month, label from users',
+    "profiles_file": f'{BASE} select cast(u as varchar) as "user", cast(dist as int) as dist, f as field_id, v as value from obs',
+    "catalogue_file": f"{FULL} select f as field_id, cast(idx as int) as idx from cata",
+    "field_set_file": f"{FULL} select f as field_id from catm",
+    "pairs_file": f"{FULL} select l as left_id, r as right_id, cast(idx as int) as idx from pr",
+    "pair_members_file": f"{FULL} select l as field_id from pr union select r from pr",
+    "users_file": f'{FULL} select cast(u as varchar) as "user" from outu',
+    "minmax_file": f"{FULL} select f as field_id, lo, hi from st",
+    "varying_file": f"{FULL} select f as field_id, lo, hi from cs",
+    "importance_file": f"""{FULL} select cast(idx as int) as feature_idx, users::double as score, form
+        from beh join fu using (f), (select unnest(['comma', 'tab']) as form)""",
+    "predictions_file": f"{BASE} select u as user_id, round(s, 6) as ovd_rate from {predictions(37, 101)}",
+    "column_presence_file": f"""{FULL}, have as (select f, count(distinct u) as h from obs where {PRESENT} group by f)
+        select cast(i as int) as field_id, printf('%.4f', coalesce(h, 0)::double / n) as presence
+        from (select unnest(range(1, 96117)) as i), nu left join have on f = i where coalesce(h, 0) < n""",
+    "row_presence_file": f"""{BASE} select users.u as "user",
+        printf('%.4f', count(distinct case when {PRESENT} then f end)::double / 96116) as presence
+        from users left join obs on obs.u = users.u group by users.u""",
+    "encoded_file": f'{SPARSE} select "user", feature_size, features, true as in_order from sparse',
+    "encoded_round_trip": f'''{SPARSE} select "user", label, feature_size, idx, cast({TEXT} as double) as value
+        from laid where abs(value) > 0.0001''',
+    "svm_lines": f'{SPARSE} select "user", features as line from sparse',
     "month_distance": """select o_orderkey, strftime(o_orderdate, '%Y-%m') as month,
         cast((1999 - year(o_orderdate)) * 12 + 1 - month(o_orderdate) as int) as distance,
         strftime(date_trunc('month', o_orderdate) - to_months(cast(o_orderkey % 12 + 1 as int)), '%Y-%m') as before from orders""",
@@ -335,6 +361,9 @@ ORACLES: dict[str, str] = {
     "parse_actions": f"""{BASE} select cast(obs.u as varchar) as "user", {month("lm - dist")} as action_month, f as field_id,
         case when f = min(f) over w then cast(count(*) over w as double) else v end as value
         from obs join users on users.u = obs.u window w as (partition by obs.u, dist)""",
+    "actions_file": f"""{BASE} select cast(obs.u as varchar) as "user", {month("lm - dist")} as action_month, f as field_id,
+        case when f = min(f) over w then cast(count(*) over w as double) else v end as value
+        from obs join users on users.u = obs.u window w as (partition by obs.u, dist)""",
     "merge_training": f"""{BASE} select cast(u as varchar) as "user", cast(dist as int) as dist, f as field_id,
         case when f = min(f) over w then cast(count(*) over w as double) else v end as value
         from obs window w as (partition by u, dist)""",

@@ -6,10 +6,11 @@ both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthloom.functions.months import month_before, month_distance, month_text
@@ -18,7 +19,8 @@ from monthloom.plans.encode import encode_layout
 from monthloom.plans.layouts import LAYOUTS, Catalogues
 from monthloom.schema import FIELD_GROUPS, FIELD_UNIVERSE, in_window, is_category
 from monthloom.sources.retail import read_table, retail_obs, retail_users
-from monthloom.sources.scratch import materialise
+from monthloom.sources import sinks, tables
+from monthloom.sources.scratch import materialise, scratch_folder
 from monthloom.sources.tables import drop_constant, field_range
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -552,7 +554,137 @@ def gbt_importance(i: Inputs) -> DataFrame:
     return model.importances(*_trained(i))
 
 
+# Files: written below the scratch folder and read back
+
+
+def _new_path(i: Inputs) -> str:
+    return f"{scratch_folder(i.spark)}/{uuid.uuid4().hex}"
+
+
+def _as_lines(i: Inputs, df: DataFrame) -> str:
+    """Path of the columns as tab-separated lines."""
+    path = _new_path(i)
+    df.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in df.columns]).alias("value")).write.text(path)
+    return path
+
+
+def _written(i: Inputs, df: DataFrame, write: Callable[[DataFrame, str], None]) -> str:
+    path = _new_path(i)
+    write(df, path)
+    return path
+
+
+def labels_file(i: Inputs) -> DataFrame:
+    return tables.read_labels(i.spark, _as_lines(i, i.labels))
+
+
+def actions_file(i: Inputs) -> DataFrame:
+    return merge.explode_actions(tables.read_actions(i.spark, _as_lines(i, i.actions)))
+
+
+def profiles_file(i: Inputs) -> DataFrame:
+    users, obs = (df.withColumn("user", F.col("user").cast("string")) for df in (i.users, i.obs))
+    path = _written(i, merge.to_profiles(users, obs), sinks.write_profiles)
+    return merge.from_profiles(tables.read_profiles(i.spark, path))[1]
+
+
+def catalogue_file(i: Inputs) -> DataFrame:
+    return tables.read_catalogue(i.spark, _written(i, i.average_fields, sinks.write_catalogue))
+
+
+def field_set_file(i: Inputs) -> DataFrame:
+    return tables.read_field_set(i.spark, _written(i, i.maximum_fields, sinks.write_catalogue))
+
+
+def pairs_file(i: Inputs) -> DataFrame:
+    return tables.read_pairs(i.spark, _written(i, i.log_pairs, sinks.write_pairs))
+
+
+def pair_members_file(i: Inputs) -> DataFrame:
+    return tables.pair_members(pairs_file(i))
+
+
+def users_file(i: Inputs) -> DataFrame:
+    listed = i.excluded.select(F.col("user").cast("string").alias("user"), F.lit("reason").alias("why"))
+    return tables.read_users(i.spark, _as_lines(i, listed))
+
+
+def minmax_file(i: Inputs) -> DataFrame:
+    return tables.read_statistics(i.spark, _written(i, i.stats, sinks.write_statistics))
+
+
+def varying_file(i: Inputs) -> DataFrame:
+    path = _written(i, statistics.max_change_stats(i.tables[1]), sinks.write_statistics)
+    return drop_constant(tables.read_statistics(i.spark, path))
+
+
+def importance_file(i: Inputs) -> DataFrame:
+    """Both separators; the written form has a header besides."""
+    path = _new_path(i)
+    i.importance.select("feature_idx", "score").write.csv(path, sep=",")
+    listed = tables.read_importance(i.spark, path)
+    own = i.spark.read.csv(_written(i, listed, sinks.write_importance), header=True)
+    again = tables.read_importance(i.spark, _as_lines(i, own), sep="\t")
+    return listed.withColumn("form", F.lit("comma")).unionByName(again.withColumn("form", F.lit("tab")))
+
+
+def predictions_file(i: Inputs) -> DataFrame:
+    path = _written(i, i.predictions(37, 101), sinks.write_predictions)
+    return _rounded(tables.read_predictions(i.spark, path), "ovd_rate").withColumn("user_id", F.col("user_id").cast("bigint"))
+
+
+def _report(i: Inputs, path: str, key: str, kind: str) -> DataFrame:
+    parts = F.split("value", "\t")
+    return i.spark.read.text(path).select(parts[0].cast(kind).alias(key), parts[1].alias("presence"))
+
+
+def column_presence_file(i: Inputs) -> DataFrame:
+    return _report(i, _written(i, statistics.column_presence(*i.tables), sinks.write_column_presence), "field_id", "int")
+
+
+def row_presence_file(i: Inputs) -> DataFrame:
+    return _report(i, _written(i, statistics.row_presence(*i.tables), sinks.write_row_presence), "user", "bigint")
+
+
+def encoded_file(i: Inputs) -> DataFrame:
+    """The lines, numbered in the order in which they lie in the files."""
+    path = _written(i, rows.to_sparse_rows(i.encoded("half_year")), sinks.write_encoded)
+    lines = i.spark.read.text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), "value")
+    parts = F.split("value", "\t", 3)
+    named = lines.select("file", "at", parts[0].cast("bigint").alias("user"), parts[1].cast("int").alias("feature_size"), parts[2].alias("features"))
+    # In order: no line of a file follows one of a larger user. One row per file meets the window.
+    inside = named.withColumn("before", F.lag("user").over(Window.partitionBy("file").orderBy("at")))
+    return inside.select("user", "feature_size", "features", F.coalesce(F.col("before") < F.col("user"), F.lit(True)).alias("in_order"))
+
+
+def encoded_round_trip(i: Inputs) -> DataFrame:
+    path = _written(i, rows.to_sparse_rows(i.encoded("half_year")), sinks.write_encoded)
+    read = tables.read_encoded(i.spark, path)
+    return read.select(F.col("user").cast("bigint").alias("user"), "label", "feature_size", F.inline("tokens"))
+
+
+def svm_lines(i: Inputs) -> DataFrame:
+    return sinks.svm_lines(rows.to_sparse_rows(i.encoded("half_year")))
+
+
 QUERIES: dict[str, Query] = {
+    "labels_file": _query(labels_file),
+    "actions_file": _query(actions_file),
+    "profiles_file": _query(profiles_file),
+    "catalogue_file": _query(catalogue_file),
+    "field_set_file": _query(field_set_file),
+    "pairs_file": _query(pairs_file),
+    "pair_members_file": _query(pair_members_file),
+    "users_file": _query(users_file),
+    "minmax_file": _query(minmax_file),
+    "varying_file": _query(varying_file),
+    "importance_file": _query(importance_file),
+    "predictions_file": _query(predictions_file),
+    "column_presence_file": _query(column_presence_file),
+    "row_presence_file": _query(row_presence_file),
+    "encoded_file": _query(encoded_file),
+    "encoded_round_trip": _query(encoded_round_trip),
+    "svm_lines": _query(svm_lines),
     "month_distance": _query(month_arithmetic),
     "window_counts": _query(window_counts),
     "parse_actions": _query(parse_actions),
