@@ -11,7 +11,7 @@ one of them, drawn by hash, is the pivot the others are compared with; that is l
 bucket. A pair is estimated from its sketches, corrected for registers that agree by chance, and what
 is not clearly below the threshold is confirmed on the full sets. Linked classes merge, and the
 buckets that still hold classes of different components are compared again with newly drawn
-pivots, until a round adds no link.
+pivots until a round adds no link.
 
 Cases: null text and text without words have an empty set, linked with nothing; a text with fewer
 words than a shingle is one shingle; a null ``doc_id`` is its own group; rows that repeat a
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthloom.llm.common import map_batches
+from monthloom.llm.common import map_batches, slices
 from monthloom.llm.components import components
 from monthloom.sources.scratch import materialise
 
@@ -38,6 +38,7 @@ BUCKET_BITS, MANTISSA, ROWS = 9, 10, 8
 REGISTERS = 1 << BUCKET_BITS
 BANDS = REGISTERS // ROWS
 SIGMAS = 6
+MORE_DRAWS = 8
 
 SKETCH = "doc_id bigint, n_shingles bigint, finger binary, sketch binary"
 
@@ -74,18 +75,21 @@ def sketch_of(own: np.ndarray) -> np.ndarray:
 
 
 def borrow_order() -> np.ndarray:
-    """For each register, a random rank of every register to borrow from."""
-    return np.random.default_rng(7).random((REGISTERS, REGISTERS), np.float32)
+    """For each register, all registers in the fixed random order it borrows in."""
+    return np.random.default_rng(7).random((REGISTERS, REGISTERS), np.float32).argsort(axis=1).astype(np.int16)
 
 
 def filled(registers: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """A sketch whose empty registers borrow from filled ones."""
-    full = np.flatnonzero(registers)
-    if len(full) in (0, REGISTERS):
-        return registers
-    empty = np.flatnonzero(registers == 0)
+    """Sketches (a row each, none without any register) whose empty registers borrow from filled ones."""
     out = registers.copy()
-    out[empty] = registers[full[order[np.ix_(empty, full)].argmin(axis=1)]]
+    row, place = np.nonzero(registers == 0)
+    for k in range(REGISTERS):
+        if not len(row):
+            break
+        value = registers[row, order[place, k]]
+        out[row, place] = value
+        still = value == 0
+        row, place = row[still], place[still]
     return out
 
 
@@ -144,8 +148,11 @@ def _bands(classes: DataFrame) -> DataFrame:
         order = borrow_order()
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            rows = [filled(np.frombuffer(s, np.uint16), order) for s in batch.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([pa.array(band_keys(np.array(rows)).ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "id"])
+            keys = []
+            for part in slices(batch, 512):
+                rows = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, REGISTERS)
+                keys.append(band_keys(filled(rows, order)).ravel())
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], ["key", "id"])
 
         return work
 
@@ -210,47 +217,49 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(both, make, "a bigint, b bigint")
 
 
-def _star_pairs(members: DataFrame, draw: int) -> DataFrame:
-    """In each bucket of ``key, id, component``, the members of other components paired with a drawn pivot."""
-    pivot = F.min(F.struct(F.xxhash64("key", "id", F.lit(draw)).alias("order"), F.col("id"), F.col("component"))).alias("pivot")
-    buckets = members.groupBy("key").agg(pivot, F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    pairs = members.join(buckets.select("key", F.col("pivot.id").alias("b"), F.col("pivot.component").alias("other")), "key")
-    pairs = pairs.filter("component <> other").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"))
-    return pairs.distinct()
+def _undecided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``key, id, component`` of the buckets that hold several components."""
+    placed = members.withColumn("component", F.col("id"))
+    if labels is not None:
+        placed = members.join(labels, members["id"] == labels["node"], "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    return placed.join(several.select("key"), "key")
+
+
+def _star_pairs(members: DataFrame, draws: range) -> DataFrame:
+    """In each bucket, the members of other components paired with a drawn pivot, for every draw."""
+    pivots = [F.min(F.struct(F.xxhash64("key", "id", F.lit(draw)).alias("order"), F.col("id"), F.col("component"))) for draw in draws]
+    buckets = members.groupBy("key").agg(F.array_distinct(F.array(*pivots)).alias("pivots"))
+    pairs = members.join(buckets.select("key", F.explode("pivots").alias("pivot")), "key")
+    pairs = pairs.filter(F.col("component") != F.col("pivot.component"))
+    return pairs.select(F.greatest("id", "pivot.id").alias("a"), F.least("id", "pivot.id").alias("b")).distinct()
 
 
 def groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document; ``component_id`` is the group's smallest id."""
     rows = materialise(sketches(docs, width))
-    some = rows.filter("n_shingles > 0 and doc_id is not null")
-    often = some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("finger").alias("finger")).filter("n > 1").drop("n")
-    some = some.join(often, "doc_id", "left_anti").unionByName(some.join(often, ["doc_id", "finger"], "left_semi").dropDuplicates(["doc_id"]))
+    some = rows.filter("n_shingles > 0 and doc_id is not null").select("doc_id", "finger").distinct()
+    some = materialise(some.groupBy("doc_id").agg(F.min("finger").alias("finger")))
     by_set = materialise(some.groupBy("finger").agg(F.min("doc_id").alias("id")))
-    first = some.join(by_set.withColumnRenamed("id", "doc_id"), ["finger", "doc_id"])
-    classes = materialise(first.select(F.col("doc_id").alias("id"), "finger", "n_shingles", "sketch"))
+    classes = materialise(by_set.join(rows.withColumnRenamed("doc_id", "id"), ["finger", "id"]).dropDuplicates(["id"]))
     shared = _bands(classes).groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high")
     members = materialise(_bands(classes).join(shared.select("key"), "key"))
+    classes = materialise(classes.join(members.select("id").distinct(), "id", "left_semi"))
+    sets = materialise(_sets(docs, classes.select("id", "finger"), width))
 
-    links = tried = labels = known = None
-    draw = 0
+    links = tried = labels = None
+    draw, draws = 0, 1
     while True:
-        draw += 1
-        placed = members.withColumn("component", F.col("id"))
-        if labels is not None:
-            placed = members.join(labels, members["id"] == labels["node"], "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        pairs = _star_pairs(placed, draw)
+        members = materialise(_undecided(members, labels))
+        pairs = _star_pairs(members, range(draw, draw + draws))
         pairs = materialise(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        likely = materialise(_likely(pairs, classes))
-        wanted = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-        wanted = classes.select("id", "finger").join(wanted if known is None else wanted.join(known, "id", "left_anti"), "id", "left_semi")
-        sets = materialise(_sets(docs, wanted, width))
-        known = sets if known is None else known.unionByName(sets)
-        new = materialise(_confirmed(likely, known))
+        new = materialise(_confirmed(_likely(pairs, classes), sets))
         if new.isEmpty():
             break
+        tried = pairs if tried is None else tried.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
         labels = components(links)
+        draw, draws, members = draw + draws, MORE_DRAWS, members.select("key", "id")
     found = rows.join(some.join(by_set, "finger").select("doc_id", "id"), "doc_id", "left")
     if labels is not None:
         found = found.join(labels, F.col("id") == labels["node"], "left").withColumn("id", F.coalesce("component", "id"))
