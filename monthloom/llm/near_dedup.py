@@ -227,8 +227,11 @@ def _undecided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _star_pairs(members: DataFrame, draws: range) -> DataFrame:
-    """In each bucket, the members of other components paired with a drawn pivot, for every draw."""
-    pivots = [F.min(F.struct(F.xxhash64("key", "id", F.lit(draw)).alias("order"), F.col("id"), F.col("component"))) for draw in draws]
+    """In each bucket, the members of other components paired with a drawn pivot, for every draw.
+
+    A draw ranks the classes alike in all buckets, so a class meets few different pivots in its 64.
+    """
+    pivots = [F.min(F.struct(F.xxhash64("id", F.lit(draw)).alias("order"), F.col("id"), F.col("component"))) for draw in draws]
     buckets = members.groupBy("key").agg(F.array_distinct(F.array(*pivots)).alias("pivots"))
     pairs = members.join(buckets.select("key", F.explode("pivots").alias("pivot")), "key")
     pairs = pairs.filter(F.col("component") != F.col("pivot.component"))
