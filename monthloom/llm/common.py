@@ -32,14 +32,19 @@ def reach_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """Runs a per-batch function in Arrow; ``make`` is called once a task and may keep caches."""
+def map_batches(
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, rows: int | None = None
+) -> DataFrame:
+    """Runs a per-batch function in Arrow; ``make`` is called once a task and may keep caches.
+
+    With ``rows`` it gets at most so many rows at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+            for part in slices(batch, rows or max(1, batch.num_rows)):
+                yield work(part)
 
     reach_package(df.sparkSession)
     return df.mapInArrow(run, schema)

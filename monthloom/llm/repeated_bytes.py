@@ -14,7 +14,9 @@ the next pass, and the groups left after the last are exactly the repeated strin
   stream. Runs behind the first of their context are repeated as a whole. A context that shares
   its anchor with another one stays *open*.
 * *String.* Open runs, and only these, are expanded to their single strings, whose hash is the last
-  digit; the minimum per string, combined before the shuffle, tells which start earlier.
+  digit. Runs travel with their bytes to their anchor's task and are expanded there; an anchor with
+  more than ``GROUP`` open runs is instead expanded before the shuffle, and the minimum per string,
+  combined on the way, tells which start earlier.
 
 Partition borders need the outermost rows of each partition, at most two rows a partition, on the
 driver. Digits are 64-bit hashes; two together decide, so 128 bits. Whole texts are read.
@@ -37,16 +39,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthloom.llm.common import map_batches, reach_package
+from monthloom.llm.common import map_batches, reach_package, slices
 from monthloom.sources.scratch import materialise
 
-LENGTH, GRAM = 100, 40
-SEGMENT = 1 << 20
+LENGTH, GRAM = 100, 32
+GROUP = 1024  # open runs of an anchor that one task compares
+SEGMENT = 1 << 18
+ROWS = 256  # documents handled at a time
 LOWEST = -(1 << 63)
 FACTOR = 0x9E3779B97F4A7C15 | 1
 
 RUN = "g bigint, c bigint, doc bigint, a bigint, shape int"
 RUN_NAMES = ["g", "c", "doc", "a", "shape"]
+CONTEXT = "g bigint, doc bigint, a bigint, shape int, context binary"
+RANGE = "doc bigint, start bigint, stop bigint"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -144,7 +150,7 @@ def runs(docs: DataFrame) -> DataFrame:
 
         return work
 
-    return map_batches(docs, make, RUN)
+    return map_batches(docs, make, RUN, ROWS)
 
 
 DUPLICATE, OPEN, EDGE = 0, 1, 2
@@ -221,7 +227,7 @@ def across_borders(edges: list) -> tuple[list[tuple], list[tuple]]:
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """``doc, data``: compressed bytes, so that the shuffles by document stay small."""
+    """``doc, data``: compressed bytes. All uses shuffle it by document alike, so Spark does that once."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -230,47 +236,110 @@ def _packed(docs: DataFrame) -> DataFrame:
 
         return work
 
-    return map_batches(docs, make, "doc bigint, data binary")
+    return map_batches(docs, make, "doc bigint, data binary", ROWS)
 
 
-def _strings(docs: DataFrame, opened: DataFrame) -> DataFrame:
-    """``g, h, doc, s`` for every string of the open runs."""
+def _contexts(packed: DataFrame, opened: DataFrame) -> DataFrame:
+    """``g, doc, a, shape, context``: the bytes of each open run."""
     of_doc = opened.groupBy("doc").agg(F.collect_list(F.struct("g", "a", "shape")).alias("runs"))
-    texts = docs.select(F.coalesce("doc_id", F.lit(LOWEST)).alias("doc_id"), "text").join(of_doc.select(F.col("doc").alias("doc_id")), "doc_id", "left_semi")
-    joined = _packed(texts).join(of_doc, "doc")
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             expand = zstandard.ZstdDecompressor().decompress
-            out = [[np.zeros(0, np.int64)] * 4]
-            for doc, data, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                values = np.frombuffer(expand(data), np.uint8)
-                flat = own.values
-                g, a, shape = (flat.field(k).to_numpy().astype(np.int64) for k in range(3))
-                inside = a + (shape & 255) + LENGTH <= len(values)  # another row of this id may be shorter
-                g, a, shape = g[inside], a[inside], shape[inside]
-                n = (shape & 255) + 1
-                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                s = np.repeat(a, n) + step
-                offset = np.repeat(shape >> 8, n) - step
-                for lo in range(0, len(values), SEGMENT):
-                    here = (s >= lo) & (s < lo + SEGMENT)
-                    if not here.any():
-                        continue
-                    prefix, at = sums(values[lo : lo + SEGMENT + LENGTH]), s[here] - lo
-                    h = mixed(hashes(prefix, at, at + LENGTH) + offset[here].astype(np.uint64))
-                    out.append([np.repeat(g, n)[here], h.view(np.int64), np.full(len(at), doc), s[here]])
+            out = [[], [], [], [], []]
+            for doc, packed_data, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                data = expand(packed_data)
+                for r in own:
+                    context = data[r["a"] : r["a"] + (r["shape"] & 255) + LENGTH]
+                    if len(context) == (r["shape"] & 255) + LENGTH:  # another row of this id may be shorter
+                        for column, x in zip(out, (r["g"], doc, r["a"], r["shape"], context), strict=True):
+                            column.append(x)
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["g", "doc", "a", "shape", "context"])
+
+        return work
+
+    return map_batches(packed.join(of_doc, "doc").select("doc", "data", "runs"), make, CONTEXT, ROWS)
+
+
+def strings_of(shape: np.ndarray, contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every string of the runs: its run, its place in it, and its hash with the anchor's offset."""
+    n = (shape & 255).astype(np.int64) + 1
+    run = np.repeat(np.arange(len(n)), n)
+    step = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+    data = np.frombuffer(b"".join(contexts), np.uint8)
+    starts = np.cumsum([0, *map(len, contexts)])[:-1][run] + step
+    prefix = sums(data)
+    offset = (shape >> 8).astype(np.int64)[run] - step
+    return run, step, mixed(hashes(prefix, starts, starts + LENGTH) + offset.astype(np.uint64))
+
+
+def _within_anchor(contexts: DataFrame) -> DataFrame:
+    """``doc, start, stop`` of strings that start earlier, for anchors with at most ``GROUP`` open runs."""
+
+    def repeated(g: np.ndarray, doc: np.ndarray, a: np.ndarray, shape: np.ndarray, data: list[bytes]) -> pa.RecordBatch:
+        run, step, h = strings_of(shape, data)
+        order = np.lexsort((run, h, g[run]))  # runs are in the order of their starts
+        new = np.append(True, (g[run[order]][1:] != g[run[order]][:-1]) | (h[order][1:] != h[order][:-1]))
+        first = run[order][np.flatnonzero(new)[np.cumsum(new) - 1]]
+        later = np.zeros(len(run), bool)
+        later[order] = (doc[run[order]] != doc[first]) | (a[run[order]] != a[first])
+        at = np.flatnonzero(later)
+        begins = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (run[at][1:] != run[at][:-1]))) if len(at) else at
+        ends = np.append(begins[1:], len(at)) - 1 if len(at) else at
+        b, e = at[begins], at[ends]
+        return pa.RecordBatch.from_arrays([pa.array(doc[run[b]]), pa.array(a[run[b]] + step[b]), pa.array(a[run[e]] + step[e] + LENGTH)], ["doc", "start", "stop"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, GROUP):
+                part = batch.slice(at, GROUP)
+                own = [part.column(i).to_numpy(zero_copy_only=False) for i in range(4)] + [part.column(4).to_pylist()]
+                if held is not None:
+                    own = [np.concatenate([h, x]) for h, x in zip(held[:4], own[:4], strict=True)] + [held[4] + own[4]]
+                last = int(np.searchsorted(own[0], own[0][-1]))  # the last anchor may go on
+                if last:
+                    yield repeated(*(x[:last] for x in own))
+                held = [x[last:] for x in own]
+        if held is not None:
+            yield repeated(*held)
+
+    reach_package(contexts.sparkSession)
+    return contexts.repartition("g").sortWithinPartitions("g", "doc", "a").mapInArrow(work, RANGE)
+
+
+def _across_tasks(contexts: DataFrame) -> DataFrame:
+    """The same for anchors with any number of open runs: a row per string."""
+
+    def make():
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            out = []
+            for part in slices(batch, GROUP):
+                g, doc, a, shape = (part.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+                run, step, h = strings_of(shape, part.column(4).to_pylist())
+                out.append((g[run], h.view(np.int64), doc[run], a[run] + step))
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["g", "h", "doc", "s"])
 
         return work
 
-    return map_batches(joined.select("doc", "data", "runs"), make, "g bigint, h bigint, doc bigint, s bigint")
+    strings = materialise(map_batches(contexts, make, "g bigint, h bigint, doc bigint, s bigint"))
+    first = strings.groupBy("g", "h").agg(F.min(F.struct("doc", "s")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    later = strings.join(first, ["g", "h"]).filter(F.struct("doc", "s") > F.col("first"))
+    return later.select("doc", F.col("s").alias("start"), (F.col("s") + LENGTH).alias("stop"))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """``doc, start, stop``: byte ranges to remove; they may overlap. A null id is the lowest number here."""
-    spark = docs.sparkSession
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)).alias("doc_id"), "text")
+    return _ranges(_keyed(docs), _packed(_keyed(docs)))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)).alias("doc_id"), "text")
+
+
+def _ranges(keyed: DataFrame, packed: DataFrame) -> DataFrame:
+    spark = keyed.sparkSession
     ordered = runs(keyed).repartitionByRange("g", "c", "doc", "a").sortWithinPartitions("g", "c", "doc", "a")
     found = materialise(_scan(ordered))
     by_place: dict[int, list] = {}
@@ -280,18 +349,19 @@ def repeats(docs: DataFrame) -> DataFrame:
             edges.append(row)
     duplicates, opened = across_borders(list(by_place.values()))
     whole = found.filter(F.col("kind") == DUPLICATE).select(RUN_NAMES).unionByName(spark.createDataFrame(duplicates, RUN))
+    whole = whole.select("doc", F.col("a").alias("start"), (F.col("a") + F.col("shape").bitwiseAND(255) + LENGTH).alias("stop"))
     still_open = found.filter(F.col("kind") == OPEN).select(RUN_NAMES).unionByName(spark.createDataFrame(opened, RUN))
-    strings = materialise(_strings(keyed, still_open))
-    first = strings.groupBy("g", "h").agg(F.min(F.struct("doc", "s")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    later = strings.join(first, ["g", "h"]).filter(F.struct("doc", "s") > F.col("first"))
-    single = later.select("doc", F.col("s").alias("start"), (F.col("s") + LENGTH).alias("stop"))
-    return whole.select("doc", F.col("a").alias("start"), (F.col("a") + F.col("shape").bitwiseAND(255) + LENGTH).alias("stop")).unionByName(single)
+    hot = materialise(still_open.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP).select("g"))
+    ranges = whole.unionByName(_within_anchor(_contexts(packed, still_open.join(hot, "g", "left_anti"))))
+    if not hot.isEmpty():
+        ranges = ranges.unionByName(_across_tasks(_contexts(packed, still_open.join(hot, "g", "left_semi"))))
+    return ranges
 
 
 def remove(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every document."""
-    own = repeats(docs).groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)).alias("doc_id"), "text")
+    packed = _packed(_keyed(docs))
+    own = _ranges(_keyed(docs), packed).groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -319,5 +389,5 @@ def remove(docs: DataFrame) -> DataFrame:
 
         return work
 
-    joined = _packed(keyed).join(own, "doc", "left")
-    return map_batches(joined.select("doc", "data", "ranges"), make, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    joined = packed.join(own, "doc", "left")
+    return map_batches(joined.select("doc", "data", "ranges"), make, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary", ROWS)
