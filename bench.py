@@ -9,11 +9,13 @@ from __future__ import annotations
 import json
 import os
 import re
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 from checks.queries import QUERIES
+from monthloom.sources.scratch import discard
 
 HEADLINE = (
     "merge_training",
@@ -51,6 +53,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="monthloom-bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -81,6 +84,7 @@ def main() -> None:
         "sf": float(scale.group(1)) if scale else folder,
         "cpus": int(cpus) if cpus.isdigit() else cpus,
     }
+    discard(spark)
     spark.stop()
     print(json.dumps(result))
 

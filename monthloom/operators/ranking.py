@@ -7,18 +7,30 @@ before it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthloom.schema import HIGH_QUANTILE, LOW_QUANTILE
 from monthloom.sources.scratch import materialise
 
 
-def running_totals(counts: DataFrame, keys: list[str], by: str, measures: list[str]) -> DataFrame:
+def running_totals(
+    counts: DataFrame,
+    keys: list[str],
+    by: str,
+    measures: list[str],
+    positions: Callable[[Column], list[Column]] | None = None,
+) -> DataFrame:
     """Totals of ``measures`` over the rows of the same ``keys`` with a smaller ``by``.
 
     ``counts`` holds one row per (keys, by). Adds ``before_<m>`` and ``all_<m>`` per measure.
 
+    With ``positions``, given the whole total of the first measure, only ranges that hold one of
+    them are ranked and returned.
+
     The ranged rows are written out first: range bounds come from a sample, so both uses below
     must read one and the same split.
     """
@@ -35,14 +47,18 @@ def running_totals(counts: DataFrame, keys: list[str], by: str, measures: list[s
         "chunk",
         *[F.coalesce(F.sum(f"chunk_{m}").over(earlier), F.lit(0)).alias(f"offset_{m}") for m in measures],
         *[F.sum(f"chunk_{m}").over(whole).alias(f"all_{m}") for m in measures],
+        *[f"chunk_{m}" for m in measures],
     )
+    if positions is not None:
+        start, length = F.col(f"offset_{measures[0]}"), F.col(f"chunk_{measures[0]}")
+        holds = [(start <= p) & (p < start + length) for p in positions(F.col(f"all_{measures[0]}"))]
+        offsets = offsets.filter(reduce(Column.__or__, holds))
     inside = (
         Window.partitionBy(*keys, "chunk").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
     )
-    within = ranged.select(
+    joined = ranged.join(offsets, [*keys, "chunk"]).select(
         "*", *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"inside_{m}") for m in measures]
     )
-    joined = within.join(offsets, [*keys, "chunk"])
     return joined.select(
         *counts.columns,
         *[(F.col(f"offset_{m}") + F.col(f"inside_{m}")).alias(f"before_{m}") for m in measures],
@@ -59,7 +75,9 @@ def order_statistics(
 ) -> DataFrame:
     """Per key, the values at zero-based positions floor(n * low) and floor(n * high)."""
     counts = values.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, [key], value, ["n"])
+    ranked = running_totals(
+        counts, [key], value, ["n"], lambda n: [F.floor(n * F.lit(q)) for q in (low, high)]
+    )
 
     def at(quantile: float):
         position = F.floor(F.col("all_n") * F.lit(quantile))

@@ -129,7 +129,9 @@ def field_medians(values: DataFrame, importance: DataFrame, n: int = 100) -> Dat
         .groupBy("field_id", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_totals(counts, ["field_id"], "value", ["n"])
+    ranked = running_totals(
+        counts, ["field_id"], "value", ["n"], lambda n: [F.floor((n - 1) / 2), F.floor(n / 2)]
+    )
 
     def holds(position):
         return (F.col("before_n") <= position) & (position < F.col("before_n") + F.col("n"))
