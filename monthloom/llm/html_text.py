@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from monthloom.llm.common import map_batches, texts
 
 MIN_PAGES, MIN_SHARE = 10, 0.1
+SALTS = 64  # tasks that share a host's pages in the join with its template
 DEEPEST = 300  # elements further down become children of the one at this depth, as in browsers
 
 # Element names by their role.
@@ -302,5 +303,7 @@ def extract(pages: DataFrame) -> DataFrame:
         return work
 
     rows = _host(pages).withColumn("page_id", F.col("page_id").cast("bigint"))
-    joined = rows.join(templates(pages), "host", "left").select("page_id", "url", "html", "host", "template")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    spread = templates(pages).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = rows.join(spread, ["host", "salt"], "left").select("page_id", "url", "html", "host", "template")
     return map_batches(joined, make, "page_id bigint, url string, text string, n_chars bigint")
