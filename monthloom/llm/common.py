@@ -24,8 +24,18 @@ def crc_remainder(doc_id: str, n: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
 
 
-def reach_package(spark: SparkSession) -> None:
-    """Lets Python workers on this machine import the package from where the driver did."""
+BATCH_ROWS = 1024
+
+
+def ready_workers(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package from where the driver did, and bounds their batches.
+
+    Texts make rows large: the usual 10,000 of them in an Arrow batch take a hundred megabytes and more on both
+    sides of the socket, so the session's limit is lowered to ``BATCH_ROWS`` where it is higher (or absent).
+    """
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(limit, "0")) <= BATCH_ROWS:
+        spark.conf.set(limit, str(BATCH_ROWS))
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
@@ -46,7 +56,7 @@ def map_batches(
             for part in slices(batch, rows or max(1, batch.num_rows)):
                 yield work(part)
 
-    reach_package(df.sparkSession)
+    ready_workers(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -77,7 +87,7 @@ class Remembered:
         return missing.difference(self.old)
 
 
-def segments(batch: list[str], overlap: int, limit: int = 1 << 20) -> Iterator[list[tuple[int, str]]]:
+def segments(batch: list[str], overlap: int, limit: int = 1 << 18) -> Iterator[list[tuple[int, str]]]:
     """Groups of ``(index, part of that text)`` with about ``limit`` characters each.
 
     A text longer than that comes in parts that share ``overlap`` characters, so that every run of

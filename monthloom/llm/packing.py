@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthloom.llm.common import WHITE, Remembered, reach_package, slices, texts
+from monthloom.llm.common import WHITE, Remembered, ready_workers, slices, texts
 
 LENGTH, END = 4096, 2
 SEQUENCE_COST, SENTENCE_CUT, FORCED_CUT = 64, 1, 24
@@ -222,5 +222,5 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
         if rows := packer.pieces(last=True):
             yield batch_of(rows)
 
-    reach_package(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, PIECE)

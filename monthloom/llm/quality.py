@@ -49,7 +49,7 @@ class Voters:
 def raw_vectors(batch: list[str]) -> np.ndarray:
     """``log1p`` of hashed byte-trigram counts, rows of length one (or zero)."""
     counts = np.zeros((len(batch), BUCKETS), np.float32)
-    for group in segments(batch, 0, 1 << 19):
+    for group in segments(batch, 0):
         parts = [text.encode() for _, text in group]
         data = np.frombuffer(b"".join(parts), np.uint8).astype(np.uint32)
         sizes = np.fromiter(map(len, parts), np.int64, len(parts))

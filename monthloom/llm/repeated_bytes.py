@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthloom.llm.common import map_batches, reach_package, slices
+from monthloom.llm.common import map_batches, ready_workers, slices
 from monthloom.sources.scratch import materialise
 
 LENGTH, GRAM = 100, 32
@@ -201,7 +201,7 @@ def _scan(ordered: DataFrame) -> DataFrame:
                 yield rows(OPEN, held, place, True)
             yield rows(EDGE, held, place, joined)
 
-    reach_package(ordered.sparkSession)
+    ready_workers(ordered.sparkSession)
     return ordered.mapInArrow(run, FOUND)
 
 
@@ -305,7 +305,7 @@ def _within_anchor(contexts: DataFrame) -> DataFrame:
         if held is not None:
             yield repeated(*held)
 
-    reach_package(contexts.sparkSession)
+    ready_workers(contexts.sparkSession)
     return contexts.repartition("g").sortWithinPartitions("g", "doc", "a").mapInArrow(work, RANGE)
 
 

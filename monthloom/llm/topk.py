@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthloom.llm.common import reach_package
+from monthloom.llm.common import ready_workers
 from monthloom.sources.scratch import materialise
 
 SCALE, SLICES = 1024, 4
@@ -103,7 +103,7 @@ def _pass(candidates: DataFrame, block: list[tuple[np.ndarray, np.ndarray]], k:
         score = [max(-LONG - 1, min(LONG, int(s))) for s in best.score]
         yield pa.RecordBatch.from_arrays([pa.array(query_ids[best.query]), pa.array(best.ids), pa.array(score, pa.int64())], ["query_id", "vec_id", "score"])
 
-    reach_package(candidates.sparkSession)
+    ready_workers(candidates.sparkSession)
     return candidates.mapInArrow(run, ENTRY)
 
 
