@@ -43,7 +43,7 @@ from monthloom.llm.common import map_batches, ready_workers, slices
 from monthloom.sources.scratch import materialise
 
 LENGTH, GRAM = 100, 32
-GROUP = 1024  # open runs of an anchor that one task compares
+GROUP = 4096  # open runs of an anchor that one task compares
 SEGMENT = 1 << 18
 ROWS = 256  # documents handled at a time
 LOWEST = -(1 << 63)
@@ -64,7 +64,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 @lru_cache(maxsize=1)
 def powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A random number per byte value; powers of ``FACTOR`` and of its inverse modulo 2**64."""
-    size = SEGMENT * 2 + LENGTH + 1
+    size = max(2 * SEGMENT, 2 * GROUP * 2 * LENGTH) + LENGTH + 1  # what one call of ``sums`` may get
     up, down = np.full(size, FACTOR, np.uint64), np.full(size, pow(FACTOR, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
     values = np.random.default_rng(11).integers(1, 1 << 63, 256, np.uint64)

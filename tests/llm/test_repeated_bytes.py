@@ -48,7 +48,7 @@ def run(docs, rows):
     return {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in out.collect()}
 
 
-@pytest.mark.parametrize(("segment", "group"), [(1 << 18, 1024), (1024, 3)])
+@pytest.mark.parametrize(("segment", "group"), [(1 << 18, 4096), (1024, 3)])
 def test_matches_marking_every_byte(docs, monkeypatch, segment, group):
     """Also with tiny segments and with nearly every anchor treated as a hot one."""
     monkeypatch.setattr(repeated_bytes, "SEGMENT", segment)
