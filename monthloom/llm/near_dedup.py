@@ -10,8 +10,14 @@ with probability 0.8 ** 8, and in none of 64 with 8e-6. In each band bucket with
 one of them, drawn by hash, is the pivot the others are compared with; that is linear in the
 bucket. A pair is estimated from its sketches, corrected for registers that agree by chance, and what
 is not clearly below the threshold is confirmed on the full sets. Linked classes merge, and the
-buckets that still hold classes of different components are compared again with newly drawn
-pivots until a round adds no link.
+buckets that still hold classes of different components are compared with ``MORE_DRAWS`` newly
+drawn pivots.
+
+Pivots only make the rest small. What is still undecided then is compared pair by pair on the full
+sets: buckets that share classes form a cell, and a cell, or each of its buckets where that is less
+work, is cut into parts of bounded rows and bytes. A task takes two parts and counts all common
+shingles of their rows at once, so no pair becomes a row of a table; it returns the links that join
+components, at most one per component. The work of a cell still grows with the square of its size.
 
 Cases: null text and text without words have an empty set, linked with nothing; a text with fewer
 words than a shingle is one shingle; a null ``doc_id`` is its own group; rows that repeat a
@@ -39,6 +45,7 @@ REGISTERS = 1 << BUCKET_BITS
 BANDS = REGISTERS // ROWS
 SIGMAS = 6
 MORE_DRAWS = 8
+PART_ROWS, PART_BYTES = 512, 1 << 21
 
 SKETCH = "doc_id bigint, n_shingles bigint, finger binary, sketch binary"
 
@@ -238,6 +245,107 @@ def _star_pairs(members: DataFrame, draws: range) -> DataFrame:
     return pairs.select(F.greatest("id", "pivot.id").alias("a"), F.least("id", "pivot.id").alias("b")).distinct()
 
 
+def _units(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``unit, whole, parts, id, component``: what has to be compared with each other, and in how many parts.
+
+    A unit is a cell of buckets that share classes (``whole``) or, where all pairs of a cell are more
+    work than those of its buckets, a bucket.
+    """
+    buckets = materialise(members.groupBy("key").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 2"))  # two have met
+    members = members.join(buckets.select("key", "low"), "key")
+    cells = components(members.select(F.col("low").alias("a"), F.col("id").alias("b"))).toDF("node", "of")
+    members = members.join(cells, F.col("id") == F.col("node"), "left").select("key", "id", "component", F.coalesce("of", "id").alias("cell"))
+    members = materialise(members.join(sets.select("id", F.length("own").alias("bytes")), "id"))
+
+    def sized(rows: DataFrame, unit: str) -> DataFrame:
+        of = rows.groupBy(unit).agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("all_bytes"))
+        parts = F.greatest(F.ceil(F.col("n") / PART_ROWS), F.ceil(F.col("all_bytes") / PART_BYTES))
+        return of.withColumn("parts", parts).withColumn("work", F.col("n") * F.col("parts"))
+
+    once = members.select("cell", "id", "component", "bytes").distinct()
+    by_cell, by_bucket = sized(once, "cell"), materialise(sized(members, "key"))
+    apart = by_bucket.join(members.select("key", "cell").distinct(), "key").groupBy("cell").agg(F.sum("work").alias("apart"))
+    by_cell = materialise(by_cell.join(apart, "cell").withColumn("whole", F.col("work") <= F.col("apart")))
+    cell = once.join(by_cell.filter("whole").select("cell", "parts"), "cell")
+    bucket = members.join(by_cell.filter("not whole").select("cell"), "cell").join(by_bucket.select("key", "parts"), "key")
+    return cell.select(F.col("cell").alias("unit"), F.lit(True).alias("whole"), "parts", "id", "component").unionByName(
+        bucket.select(F.col("key").alias("unit"), F.lit(False).alias("whole"), "parts", "id", "component")
+    )
+
+
+def common_counts(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """How many values each set of ``first`` has in common with each of ``second``."""
+    shape = (len(first), len(second))
+    counts = np.zeros(shape, np.int64)
+    _, code = np.unique(np.concatenate([*first, *second]), return_inverse=True)
+    row = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (first, second)]
+    code = [code[: len(row[0])], code[len(row[0]) :]]
+    held = [np.bincount(c, minlength=max(int(x.max(initial=-1)) for x in code) + 1) for c in code]
+    product = held[0] * held[1]
+    # Values held by many are counted by multiplying 0/1 matrices, the others by going through their pairs.
+    dense = product * 1024 > shape[0] * shape[1]
+    places = np.flatnonzero(dense)
+    for start in range(0, len(places), 1024):
+        column = np.full(len(dense), -1)
+        column[places[start : start + 1024]] = np.arange(len(places[start : start + 1024]))
+        sides = []
+        for r, c, n in zip(row, code, shape, strict=True):
+            matrix, here = np.zeros((n, 1024), np.float32), column[c] >= 0
+            matrix[r[here], column[c[here]]] = 1
+            sides.append(matrix)
+        counts += (sides[0] @ sides[1].T).astype(np.int64)
+    few = (product > 0) & ~dense
+    left, right = (np.flatnonzero(few[c]) for c in code)
+    right = right[np.argsort(code[1][right], kind="stable")]
+    start = np.searchsorted(code[1][right], code[0][left])
+    times = held[1][code[0][left]]
+    total = np.cumsum(times)
+    for lo, hi in zip(cuts := [0, *(np.flatnonzero(np.diff(total >> 20)) + 1), len(left)], cuts[1:], strict=False):
+        n = times[lo:hi]
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        pair = np.repeat(row[0][left[lo:hi]], n) * shape[1] + row[1][right[np.repeat(start[lo:hi], n) + inner]]
+        counts += np.bincount(pair, minlength=counts.size).reshape(shape)
+    return counts
+
+
+def joining(linked: np.ndarray, first: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
+    """Of the marked pairs of rows, as many as join the components ``first`` and ``second`` of the rows."""
+    _, label = np.unique(np.concatenate([first, second]), return_inverse=True)
+    one, two, found = label[: len(first)].copy(), label[len(first) :].copy(), []
+    for i in np.flatnonzero(linked.any(axis=1)):
+        other = np.flatnonzero(linked[i] & (two != one[i]))
+        merged, place = np.unique(two[other], return_index=True)
+        found += [(int(i), int(other[k])) for k in place]
+        for side in (one, two):
+            side[np.isin(side, merged)] = one[i]
+    return found
+
+
+def _rest(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` that join components, from all pairs of what the undecided buckets hold."""
+    need, out_of = SIMILARITY
+    placed = _units(members, sets).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    placed = placed.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).join(sets, "id")
+
+    def work(table: pa.Table) -> pa.Table:
+        ids, component, part = (table.column(c).to_numpy() for c in ("id", "component", "part"))
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        one, two = np.flatnonzero(part == low), np.flatnonzero(part == high)
+        pairs = []
+        if len(one) and len(two) and component.min() != component.max():
+            own = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("own")]
+            size = np.array([len(x) for x in own])
+            common = common_counts([own[i] for i in one], [own[i] for i in two])
+            linked = out_of * common >= need * (size[one][:, None] + size[two] - common)
+            linked &= component[one][:, None] != component[two]
+            pairs = [sorted((int(ids[one[i]]), int(ids[two[j]]))) for i, j in joining(linked, component[one], component[two])]
+        return pa.table({"a": pa.array([p[1] for p in pairs], pa.int64()), "b": pa.array([p[0] for p in pairs], pa.int64())})
+
+    columns = placed.select("unit", "whole", "low", "high", "part", "id", "component", "own")
+    return columns.groupBy("unit", "whole", "low", "high").applyInArrow(work, "a bigint, b bigint")
+
+
 def groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document; ``component_id`` is the group's smallest id."""
     rows = materialise(sketches(docs, width))
@@ -251,25 +359,25 @@ def groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     sets = materialise(_sets(docs, classes.select("id", "finger"), width))
 
     links = tried = labels = None
-    draw, draws = 0, 1
-    while True:
-        members = materialise(_undecided(members, labels))
-        pairs = _star_pairs(members, range(draw, draw + draws))
-        pairs = materialise(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        new = materialise(_confirmed(_likely(pairs, classes), sets))
-        if new.isEmpty():
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = new if links is None else links.unionByName(new)
-        labels = components(links)
-        draw, draws, members = draw + draws, MORE_DRAWS, members.select("key", "id")
+    for draws in (range(1), range(1, 1 + MORE_DRAWS), None):
+        members = materialise(_undecided(members.select("key", "id"), labels))
+        if draws:
+            pairs = _star_pairs(members, draws)
+            pairs = materialise(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            new = materialise(_confirmed(_likely(pairs, classes), sets))
+        else:
+            new = materialise(_rest(members, sets))
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            labels = components(links)
     found = rows.join(some.join(by_set, "finger").select("doc_id", "id"), "doc_id", "left")
     if labels is not None:
         found = found.join(labels, F.col("id") == labels["node"], "left").withColumn("id", F.coalesce("component", "id"))
     return found.select("doc_id", "n_shingles", F.coalesce("id", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns: of each group the document with the smallest id."""
-    gone = groups(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
+    gone = groups(docs, width).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")

@@ -81,3 +81,58 @@ def test_sketch_estimates_similarity():
         assert abs(value - 0.9) < 4 * error
     far, _ = near_dedup.estimate(near_dedup.sketch_of(pool[:6000][np.argsort(pool[:6000])]), near_dedup.sketch_of(np.sort(pool[6000:])), 6000, 6000)
     assert far < 0.03
+
+
+def family(n, pairs, seed=11):
+    """Texts of similarity about 0.7 to each other, and the pairs of positions planted at about 0.81."""
+    draw = random.Random(seed)
+
+    def changed(words, k, positions):
+        return [f"u{k}x{i}" if i in positions else w for i, w in enumerate(words)]
+
+    base = [f"t{i}" for i in range(400)]
+    texts = [changed(base, k, set(draw.sample(range(400), 17))) for k in range(n)]
+    texts += [changed(texts[k], n + k, set(draw.sample([i for i in range(400) if texts[k][i] == base[i]], 4))) for k in range(pairs)]
+    place = list(range(len(texts)))
+    draw.shuffle(place)
+    return [(place[k], " ".join(words)) for k, words in enumerate(texts)], [sorted((place[k], place[n + k])) for k in range(pairs)]
+
+
+def test_planted_pairs_among_thousands_of_similar_texts(docs):
+    rows, pairs = family(3000, 20)
+    texts = dict(rows)
+    for a, b in pairs:
+        one, two = shingles(texts[a]), shingles(texts[b])
+        assert 100 * len(one & two) >= 80 * len(one | two)
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.groups(docs(rows)).collect()}
+    assert {i: c for i, c in found.items() if i != c} == {b: a for a, b in pairs}
+
+
+def test_parts_of_a_few_rows(docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PART_ROWS", 7)
+    rows, _ = family(60, 5)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.groups(docs(rows)).collect()}
+    assert found == brute(rows)
+
+
+def test_pairs_no_pivot_met(docs, monkeypatch):
+    star_pairs = near_dedup._star_pairs
+    monkeypatch.setattr(near_dedup, "_star_pairs", lambda members, draws: star_pairs(members, draws).filter("false"))
+    rows, _ = family(60, 5)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.groups(docs(rows)).collect()}
+    assert found == brute(rows)
+
+
+def test_common_counts():
+    draw = np.random.default_rng(5)
+    for n, m in ((1, 1), (3, 40), (120, 90)):
+        sets = [np.unique(np.minimum(draw.geometric(0.002, 300), draw.integers(1, 4000))).astype(np.uint64) for _ in range(n + m)]
+        expected = [[len(np.intersect1d(a, b)) for b in sets[n:]] for a in sets[:n]]
+        assert near_dedup.common_counts(sets[:n], sets[n:]).tolist() == expected
+
+
+def test_keep_one_of_wider_shingles(docs):
+    base = [f"w{i}" for i in range(200)]
+    frame = docs([(1, " ".join(base)), (2, " ".join("x" if i % 20 == 7 else w for i, w in enumerate(base)))])
+    assert [r["doc_id"] for r in near_dedup.keep_one(frame).collect()] == [1]
+    assert sorted(r["doc_id"] for r in near_dedup.keep_one(frame, 5).collect()) == [1, 2]
