@@ -6,7 +6,8 @@ last return the columns of ``docs``.
 * Language identification drops texts it can't place: null, without letters, or, unless very short,
   with less than ``MIN_KNOWN`` of their n-grams in the language that fits best.
 * Exact deduplication keeps of equal texts the row with the largest ``doc_id``.
-* Near deduplication keeps of each group the document with the smallest ``doc_id``.
+* Near deduplication keeps of each group, over shingles of ``NEAR_WORDS`` words, the document with the
+  smallest ``doc_id``.
 * Personal data is replaced by its kind in angle brackets; no document is dropped.
 * Packing cuts what is left into sequences of at most 4096 tokens.
 
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MIN_KNOWN = 0.1
+NEAR_WORDS = 5
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +38,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, NEAR_WORDS)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,3 +35,10 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.collect() == []
+
+
+def test_near_dedup_stage_compares_five_words(spark):
+    base = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(base)), (2, " ".join("x" if i % 20 == 7 else w for i, w in enumerate(base))), (3, " ".join([*base[:-1], "x"]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup_stage(spark, docs, SF).collect()) == [1, 2]
