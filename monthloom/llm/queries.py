@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthloom.llm import bpe, exact_dedup, html_text, langid, near_dedup, packing, pii, quality, repeated_bytes, topk
+from monthloom.llm import bpe, exact_dedup, html_text, langid, near_dedup, packing, pii, quality, repeated_bytes, sharding, topk
 from monthloom.llm.common import crc_remainder, read
 
 
@@ -65,6 +65,13 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Under the law ``bytes``: slots are moved by their bytes, so sizes are near equal."""
+    placed = sharding.shard_documents(read(spark, folder, "documents"))
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, "virtual_slot")
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_exact_dedup": op2_exact_dedup,
@@ -76,4 +83,5 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_topk": op9_topk,
     "op10_minhash": op10_minhash,
+    "op11_sharding": op11_sharding,
 }
