@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthloom.llm import bpe, exact_dedup, html_text, langid, near_dedup, packing, pii, quality, repeated_bytes, sharding, topk
+from monthloom.llm import bpe, divergence, exact_dedup, html_text, langid, near_dedup, packing, pii, quality, repeated_bytes, sharding, topk
 from monthloom.llm.common import crc_remainder, read
 
 
@@ -72,6 +72,10 @@ def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, "virtual_slot")
 
 
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_exact_dedup": op2_exact_dedup,
@@ -84,4 +88,5 @@ QUERIES = {
     "op9_topk": op9_topk,
     "op10_minhash": op10_minhash,
     "op11_sharding": op11_sharding,
+    "op12_divergence": op12_divergence,
 }
