@@ -45,5 +45,22 @@ tr as (select p.lang, p.source, 'term' as part, p.term as item, ((p - q) * (p -
        from p join q using (lang, term) where n > 0 and p > q),
 r as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from (select * from pr union all select * from tr))
 select lang, source, part, item, value, rank::int as rank from r where part = 'pair' or rank <= 200
+""",
+    "op13_lexical": r"""
+with d as (select row_number() over () as i, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+h as (select i, doc_id, terms, len(terms)::bigint as n from d where len(terms) > 0),
+s as (select count(*)::bigint as n, sum(n)::bigint as l from h),
+b as (select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+a as (select item_id, term, count(*)::bigint as r from b group by all),
+o as (select i, unnest(terms) as term from h),
+f as (select i, term, count(*)::bigint as tf from o semi join b using (term) group by all),
+w as (select term, floor(1000 * ln((2 * s.n + 2)::double / (2 * count(*) + 1)::double))::bigint as w from f, s group by term, s.n),
+x as (select item_id, doc_id, i, sum(r * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * h.n * s.n) // s.l))))::bigint as score
+      from a join f using (term) join w using (term) join h using (i), s group by all),
+k as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from x where score > 0)
+select item_id, rank::int as rank, doc_id, score from k where rank <= 20
 """,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthloom.llm import bpe, divergence, exact_dedup, html_text, langid, near_dedup, packing, pii, quality, repeated_bytes, sharding, topk
+from monthloom.llm import bpe, divergence, exact_dedup, html_text, langid, lexical, near_dedup, packing, pii, quality, repeated_bytes, sharding, topk
 from monthloom.llm.common import crc_remainder, read
 
 
@@ -76,6 +76,10 @@ def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(read(spark, folder, "documents"))
 
 
+def op13_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_html": op1_html,
     "op2_exact_dedup": op2_exact_dedup,
@@ -89,4 +93,5 @@ QUERIES = {
     "op10_minhash": op10_minhash,
     "op11_sharding": op11_sharding,
     "op12_divergence": op12_divergence,
+    "op13_lexical": op13_lexical,
 }
