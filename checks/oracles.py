@@ -330,6 +330,50 @@ SPARSE = f"""{layout(window_blocks(6, "cata", "catm"))}, sparse as (
         select "user", feature_size, label || ' ' || string_agg(idx || ':' || {TEXT}, ' ' order by idx) as features
         from laid where abs(value) > 0.0001 group by "user", label, feature_size)"""
 
+def boosted(rows: float, columns: float, weight: float, least: int, l2: float, levels: int, held_out: bool = False) -> str:
+    """CTEs of the first boosted tree, grown level by level, as all of its leaves fit: ``asg(u, label, trained, drawn, path)``, ``spl`` and ``edg``.
+
+    Gradients are multiples of a half, so all sums are exact.
+    """
+
+    def share(*parts: str) -> str:
+        return f"('0x' || substr(md5({" || '#' || ".join(parts)}), 1, 8))::bigint::double / 4294967296"
+
+    train = f"('0x' || substr(md5(u || '#0'), 1, 8))::bigint % 10 <> 0" if held_out else "true"
+    sql = f"""{layout(window_blocks(9, "cata", "catm"))},
+      us as materialized (select distinct u, label, {train} as trained, {train} and {share("u", "'row'", "'0'", "'0'")} < {rows} as drawn from (select "user" as u, * from laid)),
+      tok as materialized (select "user" as u, idx - 1 as f, cast({TEXT} as double) as v from laid where abs(value) > 0.0001),
+      ctr as (select f, v, count(*) as n from tok join us using (u) where trained group by f, v),
+      tot as (select count(*) as n from us where trained),
+      cnt as (select f, v, n from ctr where v <> 0 union all select f, 0.0, (select n from tot) - sum(n) from ctr where v <> 0 group by f),
+      plc as (select f, v, coalesce(sum(n) over (partition by f order by v rows between unbounded preceding and 1 preceding), 0) * 255 // (select n from tot) as c from cnt),
+      cod as materialized (select f, v, (c - max(case when v = 0 then c end) over (partition by f))::int as c from plc),
+      edg as (select f, c, max(v) as upto from cod group by f, c),
+      den as materialized (select u, f, coalesce(c, 0) as c, coalesce(v, 0) as v from us cross join (select distinct f from cod where {share("f", "'column'", "'0'", "'0'")} < {columns}) left join tok using (u, f) left join cod using (f, v)),
+      asg0 as materialized (select u, label, trained, drawn, '' as path from us)"""
+    for k in range(levels):
+        sql += f""",
+      tot{k} as (select path, sum(0.5::double - label) as ag, count(*) * 0.25::double as ah, count(*) as an from asg{k} where drawn group by path),
+      his{k} as (select path, f, c, sum(0.5::double - label) as g, count(*) * 0.25::double as h, count(*) as n from asg{k} join den using (u) where drawn group by path, f, c),
+      cum{k} as (select path, f, c, sum(g) over w as g, sum(h) over w as h, sum(n) over w as n from his{k} window w as (partition by path, f order by c)),
+      can{k} as (select path, f, c, ag, ah, an, g * g / (h + {l2}) + (ag - g) * (ag - g) / (ah - h + {l2}) - ag * ag / (ah + {l2}) as gain
+        from cum{k} join tot{k} using (path) where n >= {least} and an - n >= {least} and h >= {weight} and ah - h >= {weight}),
+      bst{k} as materialized (select * from (select *, row_number() over (partition by path order by gain desc, f, c) as rn from can{k} where gain > 0) where rn = 1),
+      asg{k + 1} as materialized (select u, label, trained, drawn, a.path || case when d.v <= e.upto then 'L' else 'R' end as path
+        from asg{k} a join bst{k} b using (path) join edg e using (f, c) join den d using (u, f))"""
+    ends = " union all ".join(f"select u, label, trained, drawn, path from asg{k} anti join bst{k} using (path)" for k in range(levels))
+    splits = " union all ".join(f"select * from bst{k}" for k in range(levels))
+    return f"""{sql},
+      asg as materialized ({ends} union all select u, label, trained, drawn, path from asg{levels}), spl as materialized ({splits}),
+      lvs as (select path, -0.025::double * sum(0.5::double - label) / (count(*) * 0.25::double + {l2}) as value, count(*)::double as cover from asg where drawn group by path)"""
+
+
+# The settings of the two learners. With at least 50 rows a leaf, depth 30 is out of reach here.
+BY_LEAF, BY_DEPTH = (0.8, 0.8, 5.0, 50, 0.0, 30), (0.78, 0.76, 2.32, 1, 9.0, 5)
+NODES = """
+      select path, (f + 1)::int as feature_idx, upto as threshold, round(gain, 6) as gain, an::double as cover, null::double as value from spl join edg using (f, c)
+      union all select path, null, null, null, cover, round(value, 9) from lvs"""
+
 ORACLES: dict[str, str] = {
     "labels_file": f'{BASE} select cast(u as varchar) as "user", {month("lm")} as label_month, label from users',
     "profiles_file": f'{BASE} select cast(u as varchar) as "user", cast(dist as int) as dist, f as field_id, v as value from obs',
@@ -478,6 +522,14 @@ ORACLES: dict[str, str] = {
         from {predictions(1, 101)} a join {predictions(1, 211)} b on b.u = a.u""",
     "gbt_rounds": f"""{FULL} select count(*) as scored, count(*) as users, true as in_range, 1.0::double as importance, 20 as trees
         from users where u not in (select u from outu)""",
+    "gbt_nodes": f"""{FULL} select count(*) as users, true as same_scores, 20::bigint as trees, true as binary, true as counted
+        from users where u not in (select u from outu)""",
+    "boosted_tree": boosted(*BY_LEAF) + NODES,
+    "boosted_tree_by_depth": boosted(*BY_DEPTH) + NODES,
+    "boosted_importance": f"{boosted(*BY_LEAF)} select (f + 1)::int as feature_idx, count(*) as splits, round(sum(gain), 6) as gain from spl group by f",
+    "boosted_scores": f"{boosted(*BY_LEAF)} select u as user_id, round(1 / (1 + exp(-value)), 6) as ovd_rate from asg join lvs using (path)",
+    "validation_error": f"""{boosted(*BY_LEAF, held_out=True)} select 1 as round, round(avg(ln(1 + exp(case when label = 1 then -value else value end))), 6) as log_loss
+        from asg join lvs using (path) where not trained""",
     "holdout_parts": f"""{BASE} select count(*) as users, 1::bigint as most, count(distinct label)::int as labels_held, true as about_a_tenth
         from users""",
     "holdout_split": f"""{BASE} select u as "user", label,

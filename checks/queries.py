@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthloom.functions.months import month_before, month_distance, month_text
-from monthloom.operators import blocks, evaluation, merge, missing, model, profile, rows, selection, statistics
+from monthloom.operators import blocks, boosting, evaluation, merge, missing, model, profile, rows, selection, statistics, trees
 from monthloom.plans.encode import encode_layout
 from monthloom.plans.layouts import LAYOUTS, Catalogues
 from monthloom.schema import FIELD_GROUPS, FIELD_UNIVERSE, in_window, is_category
@@ -32,6 +33,8 @@ AVERAGE_SHARE, MAXIMUM_SHARE, PAIR_SCORE, RATIO_FIELDS = 0.35, 0.45, 9, 100
 KEPT_FIELDS, KEPT_PAIRS, BEST_FIELDS = 4, 8, 10
 OFFSET = 429
 ROUNDS = 20
+# SQL recomputes one tree split by split.
+FIRST_TREE, FIRST_BY_DEPTH = replace(boosting.BY_LEAF, rounds=1), replace(boosting.BY_DEPTH, rounds=1)
 
 
 class Inputs:
@@ -546,6 +549,57 @@ def gbt_rounds(i: Inputs) -> DataFrame:
     return scores.join(total, F.lit(True)).withColumn("trees", F.lit(trees.getNumTrees))
 
 
+def gbt_nodes(i: Inputs) -> DataFrame:
+    """The saved model as a node table: full binary trees, as many splits counted as there are, and the model's own scores."""
+    fitted, split = _trained(i)
+    path = _new_path(i)
+    fitted.write().save(path)
+    nodes = trees.read_saved(i.spark, path)
+    shape = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("n"), F.count("feature").alias("inner"), F.count("value").alias("leaves"))
+    whole = shape.agg(F.count(F.lit(1)).alias("trees"), F.min((F.col("n") == 2 * F.col("inner") + 1) & (F.col("leaves") == F.col("inner") + 1)).alias("binary"), F.sum("inner").alias("inner"))
+    counted = trees.split_counts(nodes).agg(F.sum("score").alias("splits"))
+    encoded = i.encoded("one_season").withColumn("tokens", F.filter("tokens", lambda t: F.abs(t["value"]) > 0.0001))
+    both = trees.score(nodes, encoded, 2.0).withColumnRenamed("ovd_rate", "own").join(model.score(fitted, split), "user_id")
+    same = both.agg(F.count(F.lit(1)).alias("users"), F.max(F.abs(F.col("own") - F.col("ovd_rate"))).alias("off"))
+    return same.select("users", (F.col("off") < 1e-9).alias("same_scores"), whole.select("trees").scalar().alias("trees"), whole.select("binary").scalar().alias("binary"),
+        (counted.scalar() == whole.select("inner").scalar()).alias("counted"))
+
+
+def _written_rows(i: Inputs) -> DataFrame:
+    """Encoded rows as the learners read them: from the text form."""
+    return tables.read_encoded(i.spark, _written(i, rows.to_sparse_rows(i.encoded("one_season")), sinks.write_encoded))
+
+
+def _tree_nodes(settings: boosting.Settings) -> Query:
+    """Every node of the first tree by its turns from the root."""
+
+    def build(i: Inputs) -> DataFrame:
+        found = trees.paths(boosting.train(_written_rows(i), settings))
+        return found.select(
+            trees.turns(F.col("path")).alias("path"), (F.col("feature") + 1).alias("feature_idx"), "threshold", F.round("gain", 6).alias("gain"), "cover", F.round("value", 9).alias("value")
+        )
+
+    return _query(build)
+
+
+def boosted_importance(i: Inputs) -> DataFrame:
+    """Split counts and gains, both from the node table."""
+    return _rounded(trees.importances(boosting.train(_written_rows(i), FIRST_TREE)), "gain")
+
+
+def boosted_scores(i: Inputs) -> DataFrame:
+    encoded = materialise(_written_rows(i))
+    scored = trees.score(boosting.train(encoded, FIRST_TREE), encoded)
+    return _rounded(scored, "ovd_rate").withColumn("user_id", F.col("user_id").cast("bigint"))
+
+
+def validation_error(i: Inputs) -> DataFrame:
+    """Loss on the users that are held out, after each round over the others."""
+    split = materialise(model.holdout_split(_written_rows(i)))
+    fitted = boosting.train(split.filter("not is_validation"), FIRST_TREE)
+    return _rounded(trees.round_errors(fitted, split.filter("is_validation")), "log_loss")
+
+
 def gbt_scores(i: Inputs) -> DataFrame:
     return model.score(*_trained(i))
 
@@ -749,4 +803,10 @@ QUERIES: dict[str, Query] = {
     "gbt_importance": _query(gbt_importance),
     "gbt_rounds": _query(gbt_rounds),
     "holdout_parts": _query(holdout_parts),
+    "gbt_nodes": _query(gbt_nodes),
+    "boosted_tree": _tree_nodes(FIRST_TREE),
+    "boosted_tree_by_depth": _tree_nodes(FIRST_BY_DEPTH),
+    "boosted_importance": _query(boosted_importance),
+    "boosted_scores": _query(boosted_scores),
+    "validation_error": _query(validation_error),
 }

@@ -13,7 +13,7 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthloom.operators import evaluation, merge, model, rows, statistics
+from monthloom.operators import boosting, evaluation, merge, model, rows, statistics, trees
 from monthloom.plans.encode import encode_layout
 from monthloom.plans.layouts import LAYOUTS, Catalogues
 from monthloom.schema import FIELD_GROUPS
@@ -146,6 +146,32 @@ def train_and_score(
     return trees
 
 
+def boost_and_score(
+    spark: SparkSession,
+    train_rows: str,
+    test_rows: str,
+    train_output: str,
+    test_output: str,
+    importance_output: str,
+    model_path: str,
+    settings: boosting.Settings = boosting.BY_LEAF,
+    errors_output: str | None = None,
+) -> DataFrame:
+    """Trees grown leaf by leaf over encoded rows: the node table, split counts and predictions for both sets.
+
+    With ``errors_output`` the loss on the test rows after each round is written, too.
+    """
+    train_set, test_set = (tables.read_encoded(spark, path) for path in (train_rows, test_rows))
+    boosting.train(train_set, settings).write.mode("overwrite").parquet(model_path)
+    nodes = spark.read.schema(trees.NODE).parquet(model_path)
+    sinks.write_importance(trees.split_counts(nodes), importance_output)
+    sinks.write_predictions(trees.score(nodes, train_set), train_output)
+    sinks.write_predictions(trees.score(nodes, test_set), test_output)
+    if errors_output is not None:
+        trees.round_errors(nodes, test_set).orderBy("round").write.csv(errors_output, header=True)
+    return nodes
+
+
 def blend_windows(spark: SparkSession, predictions: list[str], output: str) -> None:
     """Equal blend of the four window models."""
     read = [tables.read_predictions(spark, p) for p in predictions]
