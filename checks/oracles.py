@@ -299,6 +299,33 @@ ce as (select a, b, n, (xb * a) // n as bx, (yb * b) // n as bw, count(*) as c f
 mg as (select *, sum(c) over (partition by a, b, bx) as cx, sum(c) over (partition by a, b, bw) as cy from ce),
 sc as (select a, b, sum(c::double / n * ln(c::double * n / (cx * cy))) / ln(least(a, b)) as score from mg group by a, b)"""
 
+def xlogx(n: str) -> str:
+    return f"case when {n} = 0 then 0.0 else ({n}) * ln({n}) end"
+
+
+# The best cuts of one axis against equal-count bins of the other: sums over columns, then one more column at a time.
+CUTS = f"""with recursive {USERS}, xy as (
+  select a.s as x, b.s as y from {predictions(1, 101)} a join {predictions(1, 211)} b on a.u = b.u),
+pl as (select rank() over (order by x) - 1 as xb, rank() over (order by y) - 1 as yb, count(*) over () as n from xy),
+lv as (select *, cast(floor(pow(n, cast(0.6 as double))) as bigint) as l from pl),
+sd as (select 'x' as axis, xb as own, yb as other, n, l from lv union all select 'y', yb, xb, n, l from lv),
+ce as (select axis, b, n, l // b as most, (own * (l // b) * 15) // n as s, (other * b) // n as r, count(*) as c
+       from sd, (select unnest(range(2, 1 + (select max(l) // 2 from lv))) as b) group by all),
+po as materialized (select *, dense_rank() over (partition by axis, b order by s) as i from ce),
+gr as (select axis, b, i, r from (select distinct axis, b, i from po) join (select distinct axis, b, r from po) using (axis, b)
+       union all select distinct axis, b, 0, r from po),
+up as materialized (select axis, b, i, r, sum(coalesce(c, 0)) over (partition by axis, b, r order by i) as p from gr left join po using (axis, b, i, r)),
+sg as materialized (select axis, b, s, t, sum({xlogx("d")}) - {xlogx("sum(d)")} as v from (
+         select a.axis, a.b, a.i as s, z.i as t, z.p - a.p as d from up a join up z on a.axis = z.axis and a.b = z.b and a.r = z.r and a.i < z.i) group by axis, b, s, t),
+nu as (select axis, b, max(most) as most, max(n) as n, max(i) as k from po group by axis, b),
+rw as (select axis, b, sum({xlogx("c")}) as v from (select axis, b, r, sum(c) as c from po group by axis, b, r) group by axis, b),
+dp as (select axis, b, 1 as j, t, v from sg where s = 0
+       union all select dp.axis, dp.b, dp.j + 1, sg.t, max(dp.v + sg.v) from dp join sg on sg.axis = dp.axis and sg.b = dp.b and sg.s = dp.t
+         join nu on nu.axis = dp.axis and nu.b = dp.b and dp.j < nu.most group by dp.axis, dp.b, dp.j, sg.t),
+sc as (select nu.axis, j as bins, nu.b as levels, (max(best) over (partition by nu.axis, nu.b order by j) - rw.v + n * ln(n)) / n / ln(least(j, nu.b)) as score
+       from nu join (select axis, b, unnest(range(1, most + 1)) as j from nu) using (axis, b) join rw using (axis, b)
+       left join (select dp.axis, dp.b, dp.j, dp.v as best from dp join nu on nu.axis = dp.axis and nu.b = dp.b and nu.k = dp.t) e using (axis, b, j))"""
+
 FIELD_VALUES = "{base} select u as \"user\", f as field_id, round({agg}, 6) as value from obs group by u, f"
 
 def zero_shares(tree: str, one_hot: str) -> str:
@@ -517,7 +544,8 @@ ORACLES: dict[str, str] = {
         select round((sum(rk) filter (label = 1) - p * (p + 1) / 2.0) / (p * (n - p)), 6)::double as auc
         from r, (select sum(label)::double as p, count(*)::double as n from users) group by p, n""",
     "grid_scores": f"{GRID} select a, b, round(score, 6) as score from sc",
-    "grid_association": f"{GRID} select round(coalesce(max(score), 0.0), 6) as association from sc",
+    "optimised_grids": f"{CUTS} select axis, bins, levels, round(score, 6) as score from sc where bins > 1",
+    "grid_association": f"{CUTS} select round(coalesce(max(score), 0.0), 6) as association from sc where bins > 1",
     "correlation": f"""{BASE} select round(corr(a.s, b.s), 6) as correlation
         from {predictions(1, 101)} a join {predictions(1, 211)} b on b.u = a.u""",
     "gbt_rounds": f"""{FULL} select count(*) as scored, count(*) as users, true as in_range, 1.0::double as importance, 20 as trees

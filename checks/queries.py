@@ -502,6 +502,10 @@ def grid_scores(i: Inputs) -> DataFrame:
     return _rounded(evaluation.grid_scores(i.predictions(1, 101), i.predictions(1, 211)), "score")
 
 
+def optimised_grids(i: Inputs) -> DataFrame:
+    return _rounded(evaluation.optimised_grids(i.predictions(1, 101), i.predictions(1, 211)), "score")
+
+
 def grid_association(i: Inputs) -> DataFrame:
     return _rounded(evaluation.grid_association(i.predictions(1, 101), i.predictions(1, 211)), "association")
 
@@ -795,6 +799,7 @@ QUERIES: dict[str, Query] = {
     "blend_models": _query(blend_models),
     "auc": _query(auc),
     "grid_scores": _query(grid_scores),
+    "optimised_grids": _query(optimised_grids),
     "grid_association": _query(grid_association),
     "correlation": _query(correlation),
     "holdout_split": _query(holdout_split),

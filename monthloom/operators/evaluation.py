@@ -6,17 +6,27 @@ distinct scores, so no task ever sorts all rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthloom.functions.scaling import required
 from monthloom.operators.ranking import running_totals
+from monthloom.sources.scratch import materialise
+from monthloom.sources.workers import ship
 
 WINDOW_WEIGHTS = (0.25, 0.25, 0.25, 0.25)
 MODEL_WEIGHTS = (0.2, 0.8)
+# Fixed value: equal-count parts per optimised bin between which cuts are tried.
+CLUMPS = 15
+GRIDS = "axis string, bins bigint, levels bigint, score double"
+CELLS = pa.schema(
+    [("axis", pa.string()), *[(c, pa.int64()) for c in ("levels", "users", "most")], ("cells", pa.list_(pa.int64())), ("n", pa.list_(pa.int64()))]
+)
 
 
 def blend(predictions: Sequence[DataFrame], weights: Sequence[float], complete: bool = True) -> DataFrame:
@@ -115,11 +125,82 @@ def grid_scores(
     )
 
 
-def grid_association(
-    first: DataFrame, second: DataFrame, exponent: float = 0.6, axis: Sequence[int] | None = None
-) -> DataFrame:
-    """The best grid score in one row; 0 when there are too few users for a grid."""
-    best = grid_scores(first, second, exponent, axis).agg(F.max("score").alias("best"))
+def best_cuts(cells: np.ndarray, most: int) -> np.ndarray:
+    """The largest sum of ``cell * ln(cell / column)`` with 1, 2 ... ``most`` columns made of neighbouring ones.
+
+    ``cells`` has a row per run of scores in order and a column per bin of the other axis. Dynamic
+    programming over the runs' boundaries.
+    """
+    alone = (cells > 0).sum(axis=1) == 1
+    where = cells.argmax(axis=1)
+    joins = np.r_[False, alone[1:] & alone[:-1] & (where[1:] == where[:-1])]  # a cut inside such a run gains nothing
+    upto = np.vstack([np.zeros(cells.shape[1], np.int64), np.cumsum(cells, axis=0)[np.r_[~joins[1:], True]]])
+    runs = len(upto) - 1
+    plain = lambda n: n * np.log(np.maximum(n, 1))
+    gain = np.full((runs + 1, runs + 1), -np.inf)  # of one column from a boundary to a later one
+    for end in range(1, runs + 1):
+        between = upto[end] - upto[:end]
+        gain[:end, end] = plain(between).sum(axis=1) - plain(between.sum(axis=1))
+    found = [gain[0]]
+    for _ in range(1, min(most, runs)):
+        found.append((found[-1][:, None] + gain).max(axis=0))
+    best = np.maximum.accumulate([f[runs] for f in found])
+    return np.r_[best, np.full(max(0, most - len(best)), best[-1])]
+
+
+def _cut(keys: tuple, table: pa.Table) -> pa.Table:
+    """``GRIDS`` rows of one axis and one number of equal-count bins on the other."""
+    users, most = table.column("users")[0].as_py(), table.column("most")[0].as_py()
+    levels = keys[1].as_py()
+    code = np.concatenate([c.values.to_numpy() for c in table.column("cells").combine_chunks()])
+    n = np.concatenate([c.values.to_numpy() for c in table.column("n").combine_chunks()])
+    _, place = np.unique(code // levels, return_inverse=True)
+    _, level = np.unique(code % levels, return_inverse=True)
+    cells = np.zeros((place.max() + 1, level.max() + 1), np.int64)
+    np.add.at(cells, (place, level), n)
+    rows = cells.sum(axis=0)
+    whole = users * np.log(users) - (rows * np.log(rows)).sum()
+    bins = np.arange(2, most + 1)
+    score = (best_cuts(cells, most)[1:] + whole) / users / np.log(np.minimum(bins, levels))
+    columns = [pa.array([keys[0].as_py()] * len(bins)), pa.array(bins, pa.int64()), pa.array([levels] * len(bins), pa.int64()), pa.array(score)]
+    return pa.Table.from_arrays(columns, ["axis", "bins", "levels", "score"])
+
+
+def optimised_grids(first: DataFrame, second: DataFrame, exponent: float = 0.6, clumps: int | None = CLUMPS) -> DataFrame:
+    """``(axis, bins, levels, score)``: normalised mutual information with the best bins on one axis.
+
+    The other axis has ``levels`` equal-count bins, and ``bins`` times ``levels`` is at most ``users ** exponent``.
+    Cuts lie between distinct scores; with ``clumps`` only between that many equal-count parts per bin, which
+    bounds a task's table by ``clumps * users ** exponent`` cells. Users are counted into distinct pairs of
+    scores first, and those only are taken once per number of levels.
+    """
+    joined = first.select("user_id", F.col("ovd_rate").alias("x")).join(second.select("user_id", F.col("ovd_rate").alias("y")), "user_id")
+    pairs = materialise(joined.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))
+    placed = pairs.join(_below(pairs, "x"), "x").join(_below(pairs, "y").drop("users"), "y")
+    allowed = F.floor(F.pow(F.col("users"), F.lit(exponent)))
+    counted = placed.withColumn("allowed", allowed).filter("allowed >= 4").select("n", "users", "allowed", "x_below", "y_below")
+
+    def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, users, allowed, x, y = (batch.column(i).to_numpy() for i in range(5))
+            if not len(n):
+                continue
+            rows, total, most = [], int(users[0]), int(allowed[0])
+            for axis, own, other in (("x", x, y), ("y", y, x)):
+                for levels in range(2, most // 2 + 1):
+                    place = own if clumps is None else own * (most // levels * clumps) // total
+                    code, at = np.unique(place * levels + other * levels // total, return_inverse=True)
+                    rows.append((axis, levels, total, most // levels, code, np.bincount(at, n).astype(np.int64)))
+            yield pa.RecordBatch.from_pylist([dict(zip(CELLS.names, row, strict=True)) for row in rows], CELLS)
+
+    ship(counted.sparkSession)
+    cells = counted.mapInArrow(cells_of, "axis string, levels bigint, users bigint, most bigint, cells array<bigint>, n array<bigint>")
+    return cells.groupBy("axis", "levels").applyInArrow(_cut, GRIDS)
+
+
+def grid_association(first: DataFrame, second: DataFrame, exponent: float = 0.6, clumps: int | None = CLUMPS) -> DataFrame:
+    """The best score of any optimised grid in one row; 0 when there are too few users for a grid."""
+    best = optimised_grids(first, second, exponent, clumps).agg(F.max("score").alias("best"))
     return best.select(F.coalesce("best", F.lit(0.0)).alias("association"))
 
 

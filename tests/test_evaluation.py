@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import itertools
 import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from monthloom.operators import evaluation, model, rows
@@ -60,14 +62,62 @@ def best_grid(x, y, exponent=0.6):
 
 
 @pytest.mark.parametrize("kind", ["line", "noise", "ties"])
-def test_grid_association(frame, kind):
+def test_best_equal_count_grid(frame, kind):
     rng = random.Random(7)
     x = [rng.random() for _ in range(120)]
     y = {"line": x, "noise": [rng.random() for _ in x], "ties": [round(v * 3) for v in x]}[kind]
-    got = evaluation.grid_association(scores(frame, x), scores(frame, y)).head()["association"]
+    got = evaluation.grid_scores(scores(frame, x), scores(frame, y)).selectExpr("max(score) as best").head()["best"]
     assert got == pytest.approx(best_grid(x, y))
-    if kind == "line":
-        assert got == pytest.approx(1.0)
+
+
+def every_cut(x, y, bins, levels):
+    """The best score over all ways to cut ``x`` into at most ``bins`` parts, against equal-count parts of ``y``."""
+    n, values = len(x), sorted(set(x))
+    level = [sum(1 for w in y if w < v) * levels // n for v in y]
+    best = 0.0
+    for cuts in itertools.chain.from_iterable(itertools.combinations(values[1:], k) for k in range(bins)):
+        cells = Counter((sum(v >= c for c in cuts), r) for v, r in zip(x, level, strict=True))
+        columns, lines = Counter(), Counter()
+        for (c, r), m in cells.items():
+            columns[c] += m
+            lines[r] += m
+        best = max(best, sum(m / n * math.log(m * n / (columns[c] * lines[r])) for (c, r), m in cells.items()))
+    return best / math.log(min(bins, levels))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_optimised_grids_equal_exhaustive_search(frame, seed):
+    rng = random.Random(seed)
+    x = [rng.randrange(9) for _ in range(40)]
+    y = [v if rng.random() < 0.5 else rng.randrange(7) for v in x]
+    exact = evaluation.optimised_grids(scores(frame, x), scores(frame, y), clumps=None).collect()
+    assert {(r["axis"], r["bins"], r["levels"]) for r in exact} == {(a, i, j) for a in "xy" for i in range(2, 5) for j in range(2, 5) if i * j <= 9}
+    for r in exact:
+        own, other = (x, y) if r["axis"] == "x" else (y, x)
+        assert r["score"] == pytest.approx(every_cut(own, other, r["bins"], r["levels"]))
+    # With more parts per bin than there are scores, cuts between parts are cuts between scores.
+    many = evaluation.optimised_grids(scores(frame, x), scores(frame, y), clumps=40).collect()
+    key = lambda r: (r["axis"], r["bins"], r["levels"])
+    assert [pytest.approx(tuple(r)[3]) for r in sorted(many, key=key)] == [r["score"] for r in sorted(exact, key=key)]
+    best = evaluation.grid_association(scores(frame, x), scores(frame, y), clumps=None).head()["association"]
+    assert best == pytest.approx(max(r["score"] for r in exact))
+    assert best >= best_grid(x, y) - 1e-12
+
+
+def test_association_of_a_line_and_of_runs(frame):
+    x = [i / 50 for i in range(100)]
+    assert evaluation.grid_association(scores(frame, x), scores(frame, [v * v for v in x])).head()["association"] == pytest.approx(1.0)
+    cells = np.array([[3, 0], [2, 0], [0, 4], [1, 1], [0, 5], [0, 2]])
+    joined = np.array([[5, 0], [0, 4], [1, 1], [0, 7]])
+    assert evaluation.best_cuts(cells, 6) == pytest.approx(evaluation.best_cuts(joined, 6))
+
+
+def test_work_is_bounded_by_distinct_scores(frame):
+    """A hundred times the users on the same scores give the same cells."""
+    rng = random.Random(4)
+    x, y = [rng.randrange(6) for _ in range(50)], [rng.randrange(6) for _ in range(50)]
+    once, often = (evaluation.grid_association(scores(frame, x * k), scores(frame, y * k), 0.6 if k == 1 else 0.6 * math.log(50) / math.log(50 * k), None) for k in (1, 20))
+    assert often.head()["association"] == pytest.approx(once.head()["association"])
 
 
 def test_chosen_grids_only(frame):
