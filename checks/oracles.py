@@ -508,7 +508,9 @@ ORACLES: dict[str, str] = {
     "catalog_shifted": numbered("(select f from beh where idx % 2 = 1)"),
     "field_medians": f"""{FULL} select f as field_id, users::double as score, round(m, 6) as median from (
         select f, median(x) as m from (select u, f, avg(v) as x from obs group by u, f) group by f)
-        join (select f, users from fu order by users desc, f limit 10) using (f)""",
+        join (select f, users from fu order by users desc, f limit 100) using (f)""",
+    "catalog_split_unbounded": f"""{FULL} select f as field_id, cast(row_number() over (order by f) - 1 as int) as idx, 'avg' as half from beh where idx < 8
+        union all select f, cast(row_number() over (order by f) - 1 as int), 'max' from beh where idx % 2 = 0""",
     "catalog_every_fourth": numbered("(select f from beh where idx % 4 = 2)"),
     "catalog_continuous": numbered("fu"),
     "catalog_split_halves": f"""{FULL} select f as field_id, cast(idx as int) as idx, 'avg' as half from cata
@@ -560,6 +562,8 @@ ORACLES: dict[str, str] = {
         from asg join lvs using (path) where not trained""",
     "holdout_parts": f"""{BASE} select count(*) as users, 1::bigint as most, count(distinct label)::int as labels_held, true as about_a_tenth
         from users""",
+    "holdout_sample": f"""{BASE} select u as "user", label, case when rn <= ceil(n::double * 0.1::double) then 'validate' else 'train' end as part
+        from (select u, label, row_number() over (partition by label order by md5(u || '#0'), u) as rn, count(*) over (partition by label) as n from users)""",
     "holdout_split": f"""{BASE} select u as "user", label,
         ('0x' || substr(md5(u || '#0'), 1, 8))::bigint % 10 = 0 as is_validation from users""",
 }

@@ -424,7 +424,7 @@ def catalog_shifted(i: Inputs) -> DataFrame:
 
 def field_medians(i: Inputs) -> DataFrame:
     values = statistics.field_values(i.tables[1])
-    return _rounded(selection.field_medians(values, i.field_importance, BEST_FIELDS), "median")
+    return _rounded(selection.field_medians(values, i.field_importance), "median")
 
 
 def catalog_every_fourth(i: Inputs) -> DataFrame:
@@ -446,6 +446,14 @@ def catalog_split_halves(i: Inputs) -> DataFrame:
     return average.withColumn("half", F.lit("avg")).unionByName(maximum.withColumn("half", F.lit("max")))
 
 
+def catalog_split_unbounded(i: Inputs) -> DataFrame:
+    """Features 1-8 are averages, all later ones maxima: every second field is listed, far beyond twice 8."""
+    average = i.importance.filter("feature_idx < 8").select(F.col("feature_idx") + 1)
+    maximum = i.importance.filter("feature_idx % 2 = 0").select(F.col("feature_idx") + 9)
+    average, maximum = selection.split_halves(i.catalogue(), average.union(maximum).toDF("feature_idx"), 8, bounded=False)
+    return average.withColumn("half", F.lit("avg")).unionByName(maximum.withColumn("half", F.lit("max")))
+
+
 def catalog_rates(i: Inputs) -> DataFrame:
     """Every range id, then install ids, then open-time ids; the list names those with users."""
     install = next(g for g in FIELD_GROUPS if g.name == "app_install")
@@ -789,6 +797,7 @@ QUERIES: dict[str, Query] = {
     "catalog_every_fourth": _query(catalog_every_fourth),
     "catalog_continuous": _query(catalog_continuous),
     "catalog_split_halves": _query(catalog_split_halves),
+    "catalog_split_unbounded": _query(catalog_split_unbounded),
     "catalog_rates": _query(catalog_rates),
     "catalog_by_group": _query(catalog_by_group),
     "exclude_users": _query(exclude_users),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthloom.sources.scratch import materialise, scratch_folder
@@ -18,6 +18,8 @@ ROW_SAMPLE = 0.78
 COLUMN_SAMPLE = 0.76
 
 CHECKPOINT_EVERY = 25
+HASH_DIGITS = 4
+HASH_RANGES = 16**HASH_DIGITS
 
 
 def hash_bucket(buckets: int, seed: int = 0):
@@ -31,14 +33,34 @@ def holdout_split(users: DataFrame, buckets: int = 10, seed: int = 0) -> DataFra
     return users.withColumn("is_validation", hash_bucket(buckets, seed) == 0)
 
 
-def holdout_sample(users: DataFrame, fraction: float = 0.1, seed: int = 0) -> tuple[DataFrame, DataFrame]:
-    """``(train, validate)`` by sampling each label.
+def exact_sample(users: DataFrame, fraction: float = 0.1, seed: int = 0) -> DataFrame:
+    """``users`` with ``is_validation``: of each label the ``ceil(fraction * n)`` users with the smallest hashes.
 
-    The sample is written out, so both parts see the same draw.
+    Users are counted per label and hash range. Whole ranges below the one that holds the last user to be drawn are
+    in; only the users of that range, one in ``HASH_RANGES``, are put in order. What is drawn depends on the
+    users alone, never on how they are spread. A label may be null.
     """
-    drawn = users.sampleBy("label", {0: fraction, 1: fraction}, seed)
-    validate = materialise(drawn)
-    return users.join(validate.select("user"), "user", "left_anti"), validate
+    order = F.md5(F.concat_ws("#", F.col("user").cast("string"), F.lit(str(seed))))
+    part = F.conv(F.substring(order, 1, HASH_DIGITS), 16, 10).cast("int")
+    marked = users.withColumns({"hash_order": order, "hash_range": part})
+    label = Window.partitionBy("label").orderBy("hash_range").rowsBetween(Window.unboundedPreceding, -1)  # HASH_RANGES rows a label
+    counted = marked.groupBy("label", "hash_range").agg(F.count(F.lit(1)).alias("n"))
+    wanted = F.ceil(F.sum("n").over(Window.partitionBy("label")).cast("double") * F.lit(float(fraction)))
+    placed = counted.select("label", "hash_range", "n", F.coalesce(F.sum("n").over(label), F.lit(0)).alias("before"), wanted.alias("wanted"))
+    last = placed.filter((F.col("before") < F.col("wanted")) & (F.col("wanted") <= F.col("before") + F.col("n")))
+    ends = materialise(last.select(F.col("label").alias("of_label"), F.col("hash_range").alias("last"), (F.col("wanted") - F.col("before")).alias("more")))
+    near = marked.join(ends, F.col("label").eqNullSafe(F.col("of_label")), "left").drop("of_label")
+    on_edge = near.filter("hash_range = last")
+    ranked = on_edge.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("hash_order", "user")))
+    columns = [F.col(c) for c in users.columns]
+    rest = near.filter("not (hash_range <=> last)").select(*columns, F.coalesce(F.col("hash_range") < F.col("last"), F.lit(False)).alias("is_validation"))
+    return rest.unionByName(ranked.select(*columns, (F.col("rank") <= F.col("more")).alias("is_validation")))
+
+
+def holdout_sample(users: DataFrame, fraction: float = 0.1, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """``(train, validate)``: exactly the fraction of each label, rounded up, is held out."""
+    marked = materialise(exact_sample(users, fraction, seed))
+    return tuple(marked.filter(F.col("is_validation") == held).drop("is_validation") for held in (False, True))
 
 
 def train(

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import itertools
 import math
 import random
@@ -163,6 +164,23 @@ def test_holdout(spark):
     assert train.join(validate, "user").count() == 0
 
 
+@pytest.mark.parametrize("digits", [4, 1])
+def test_exact_sample_per_label(spark, monkeypatch, digits):
+    """Against sorting by hash, whatever the number of ranges and partitions."""
+    monkeypatch.setattr(model, "HASH_DIGITS", digits)
+    users = spark.createDataFrame([(f"u{i}", None if i % 50 == 0 else i % 3, i) for i in range(1501)], "user string, label int, rank int")
+    for fraction in (0.0, 0.1, 0.333, 1.0):
+        want = set()
+        for label in (None, 0, 1, 2):
+            own = sorted((hashlib.md5(f"u{i}#5".encode()).hexdigest(), f"u{i}") for i in range(1501) if (None if i % 50 == 0 else i % 3) == label)
+            want.update(u for _, u in own[: math.ceil(len(own) * fraction)])
+        for parts in (1, 7):
+            marked = model.exact_sample(users.repartition(parts), fraction, 5)
+            assert {r["user"] for r in marked.filter("is_validation").collect()} == want
+            assert marked.columns == [*users.columns, "is_validation"] and marked.count() == 1501
+    assert model.exact_sample(users.limit(0)).count() == 0
+
+
 @pytest.fixture(scope="module")
 def encoded(frame):
     rng = random.Random(2)
