@@ -504,6 +504,12 @@ ORACLES: dict[str, str] = {
     "ratio_pair_candidates": f"{FULL} select l as left_id, r as right_id, idx from rpr",
     "catalog_pairs_reindex": f"""{FULL} select l as left_id, r as right_id, cast(row_number() over (order by idx) - 1 as int) as idx from (
         select l, r, idx from pr join fu a on a.f = l join fu b on b.f = r order by a.users + b.users desc, idx limit 8)""",
+    "catalog_pairs_by_number": f"""{FULL} select l as left_id, r as right_id, cast(row_number() over (order by idx) - 1 as int) as idx
+        from (select a.f as l, b.f as r, row_number() over (order by a.f, b.f) - 1 as idx from beh a join beh b on a.f < b.f)
+        where idx in (select idx * idx * 3 from beh)""",
+    "catalog_ratio_pairs_by_number": f"""{FULL}, p as (select a.f as l, b.f as r, row_number() over (order by a.f, b.f) - 1 as idx from beh a join beh b on a.f < b.f)
+        select l as left_id, r as right_id, cast(row_number() over (order by idx) - 1 as int) as idx
+        from (select l, r, 2 * idx as idx from p union all select r, l, 2 * idx + 1 from p) where idx in (select idx * idx * 3 from beh)""",
     "catalog_reindex": numbered("(select f from fu order by users desc, f limit 10)"),
     "catalog_shifted": numbered("(select f from beh where idx % 2 = 1)"),
     "field_medians": f"""{FULL} select f as field_id, users::double as score, round(m, 6) as median from (

@@ -409,6 +409,16 @@ def catalog_pairs_reindex(i: Inputs) -> DataFrame:
     return selection.selected_pairs(i.log_pairs, best.select(F.col("idx").alias("feature_idx")))
 
 
+def _by_number(both_orders: bool) -> Query:
+    """The pairs whose numbers are the squares of feature numbers, three apart, looked up without building pairs."""
+
+    def build(i: Inputs) -> DataFrame:
+        chosen = i.importance.select((F.col("feature_idx") * F.col("feature_idx") * 3).alias("feature_idx"))
+        return selection.pairs_by_number(i.field_importance.select("field_id"), chosen, both_orders)
+
+    return _query(build)
+
+
 def catalog_reindex(i: Inputs) -> DataFrame:
     chosen = i.importance.orderBy(F.desc("score"), "feature_idx").limit(BEST_FIELDS)
     return selection.selected_fields(i.catalogue(), chosen)
@@ -791,6 +801,8 @@ QUERIES: dict[str, Query] = {
     "pair_candidates": _query(pair_candidates),
     "ratio_pair_candidates": _query(ratio_pair_candidates),
     "catalog_pairs_reindex": _query(catalog_pairs_reindex),
+    "catalog_pairs_by_number": _by_number(False),
+    "catalog_ratio_pairs_by_number": _by_number(True),
     "catalog_reindex": _query(catalog_reindex),
     "catalog_shifted": _query(catalog_shifted),
     "field_medians": _query(field_medians),

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from monthloom.schema import HIGH_QUANTILE, LOW_QUANTILE
 from monthloom.sources.scratch import materialise
 
+ACCURACY = 1000
+Wanted = tuple[float, Callable[[Column], Column]]
+
 
 def running_totals(
     counts: DataFrame,
@@ -66,6 +69,55 @@ def running_totals(
     )
 
 
+def _exact(values: DataFrame, key: str, value: str, wanted: list[Wanted]) -> DataFrame:
+    """``(key, which, value)`` by ranking every distinct value."""
+    own = F.struct(F.col(key).alias("key")).alias("own")  # never null, even where the key is
+    counts = values.groupBy(own, value).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(counts, ["own"], value, ["n"], lambda n: [position(n) for _, position in wanted])
+    at = F.array(*[F.when((F.col("before_n") <= position(F.col("all_n"))) & (position(F.col("all_n")) < F.col("before_n") + F.col("n")), i) for i, (_, position) in enumerate(wanted)])
+    return ranked.select(F.col("own.key").alias(key), F.explode(F.array_compact(at)).alias("which"), value)
+
+
+def _inside(stored: DataFrame, brackets: DataFrame, key: str, value: str) -> DataFrame:
+    """Counts per bracket and value inside it; null, which sorts first, counts what lies below."""
+    near = stored.join(brackets, F.col(key).eqNullSafe(F.col("of_key"))).filter(F.col(value) <= F.col("high"))
+    inside = F.when(F.col(value) >= F.col("low"), F.col(value)).alias("inside")
+    return near.groupBy("of_key", "which", "position", inside).agg(F.count(F.lit(1)).alias("n"))
+
+
+def at_positions(values: DataFrame, key: str, value: str, wanted: list[Wanted], accuracy: int = ACCURACY) -> DataFrame:
+    """``(key, which, value)``: per key, the value at each wanted zero-based position in ascending order.
+
+    A position is a function of the key's number of rows, ``wanted`` beside the share of rows before it. A
+    mergeable sketch per key brackets each position between two values; what lies below a bracket is one
+    number, and only the values inside, some ``6 / accuracy`` of all, are counted, shuffled and ranked. A bracket that
+    turns out not to hold its position is replaced by ranking all of its key. Values must not be null.
+    """
+    stored = materialise(values.select(key, value))
+    reach = [(max(0.0, p - 3 / accuracy), min(1.0, p + 3 / accuracy)) for p, _ in wanted]
+    sketch = F.percentile_approx(value, F.array(*[F.lit(float(x)) for pair in reach for x in pair]), F.lit(accuracy))
+    sketched = stored.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), sketch.alias("edges"), F.min(value).alias("least"), F.max(value).alias("most"))
+
+    def bracket(i: int) -> Column:
+        low = F.col("least") if reach[i][0] == 0 else F.get("edges", F.lit(2 * i))
+        high = F.col("most") if reach[i][1] == 1 else F.get("edges", F.lit(2 * i + 1))
+        return F.struct(F.lit(i).alias("which"), wanted[i][1](F.col("rows")).cast("bigint").alias("position"), low.alias("low"), high.alias("high"))
+
+    brackets = materialise(sketched.select(F.col(key).alias("of_key"), F.inline(F.array(*[bracket(i) for i in range(len(wanted))]))))
+    counts = _inside(stored, brackets, key, value)
+    # A window sorts what is inside one bracket, never a whole key.
+    upto = F.sum("n").over(Window.partitionBy("of_key", "which").orderBy("inside"))
+    ranked = counts.select("*", upto.alias("upto")).filter((F.col("upto") - F.col("n") <= F.col("position")) & (F.col("position") < F.col("upto")))
+    here = ranked.select(F.col("of_key").alias("k"), F.col("which").alias("w"), F.col("inside").alias(value))
+    found = materialise(brackets.join(here, F.col("of_key").eqNullSafe(F.col("k")) & (F.col("which") == F.col("w")), "left").select(F.col("of_key").alias(key), "which", value))
+    missed = found.filter(F.col(value).isNull()).select(F.col(key).alias("missed")).distinct()
+    if missed.isEmpty():
+        return found
+    again = materialise(missed)
+    rest = stored.join(again, F.col(key).eqNullSafe(F.col("missed")), "left_semi")
+    return found.join(again, F.col(key).eqNullSafe(F.col("missed")), "left_anti").unionByName(_exact(rest, key, value, wanted))
+
+
 def order_statistics(
     values: DataFrame,
     key: str,
@@ -74,17 +126,12 @@ def order_statistics(
     high: float = HIGH_QUANTILE,
 ) -> DataFrame:
     """Per key, the values at zero-based positions floor(n * low) and floor(n * high)."""
-    counts = values.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(
-        counts, [key], value, ["n"], lambda n: [F.floor(n * F.lit(q)) for q in (low, high)]
-    )
+    found = at_positions(values, key, value, [(q, lambda n, q=q: F.floor(n * F.lit(q))) for q in (low, high)])
+    at = [F.max(F.when(F.col("which") == i, F.col(value))).alias(name) for i, name in enumerate(("lo", "hi"))]
+    return found.groupBy(key).agg(*at)
 
-    def at(quantile: float):
-        position = F.floor(F.col("all_n") * F.lit(quantile))
-        return (F.col("before_n") <= position) & (position < F.col("before_n") + F.col("n"))
 
-    return (
-        ranked.filter(at(low) | at(high))
-        .groupBy(key)
-        .agg(F.max(F.when(at(low), F.col(value))).alias("lo"), F.max(F.when(at(high), F.col(value))).alias("hi"))
-    )
+def medians(values: DataFrame, key: str, value: str) -> DataFrame:
+    """Per key, ``median``: the mean of the two middle values."""
+    found = at_positions(values, key, value, [(0.5, lambda n: F.floor((n - 1) / 2)), (0.5, lambda n: F.floor(n / 2))])
+    return found.groupBy(key).agg((F.sum(value) / 2).alias("median"))

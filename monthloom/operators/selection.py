@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthloom.operators.ranking import running_totals
+from monthloom.operators.ranking import medians, running_totals
 from monthloom.schema import FIELD_GROUPS, FieldGroup, is_category
+from monthloom.sources.scratch import materialise
 
 
 def numbered(fields: DataFrame, by: str = "field_id") -> DataFrame:
@@ -83,6 +84,39 @@ def ratio_pair_candidates(importance: DataFrame, n: int = 100) -> DataFrame:
     return _ordered_pairs(top(importance, n)).select(F.inline(both))
 
 
+def pair_positions(number: Column, size: Column) -> tuple[Column, Column]:
+    """The two positions behind a number of :func:`pair_candidates`, by inverting the triangular count.
+
+    ``i`` starts ``i * (2 * size - i - 1) / 2`` pairs in. The root may be off by one, which the count corrects.
+    """
+    first = lambda i: F.floor(i * (2 * size - i - 1) / 2)
+    root = F.sqrt((4 * size * (size - 1) - 8 * number - 7).cast("double"))
+    near = (size - 2 - F.floor((root - 1) / 2)).cast("bigint")
+    i = F.when(number < first(near), near - 1).when(number >= first(near + 1), near + 1).otherwise(near)
+    return i, number - first(i) + i + 1
+
+
+def pairs_by_number(fields: DataFrame, chosen: DataFrame, both_orders: bool = False) -> DataFrame:
+    """The pairs of a selected list that the importance list names by number, renumbered in that order.
+
+    No pair is built that is not chosen: a number tells its two positions. With ``both_orders`` numbers are those of
+    :func:`ratio_pair_candidates`. Numbers beyond the last pair are left out.
+    """
+    ranked = materialise(catalogue_of(fields))  # a row per field
+    size = ranked.agg(F.count(F.lit(1))).scalar()
+    orders = 2 if both_orders else 1
+    known = chosen.select(F.col("feature_idx").cast("bigint").alias("idx")).distinct().select("idx", size.alias("size"))
+    known = known.filter((F.col("idx") >= 0) & (F.col("idx") < F.lit(orders) * F.expr("size * (size - 1) div 2")))
+    i, j = pair_positions(F.expr(f"idx div {orders}"), F.col("size"))
+    swapped = F.col("idx") % orders == 1
+    placed = known.select("idx", F.when(swapped, j).otherwise(i).alias("i"), F.when(swapped, i).otherwise(j).alias("j"))
+    left = ranked.select(F.col("field_id").alias("left_id"), F.col("idx").cast("bigint").alias("i"))
+    right = ranked.select(F.col("field_id").alias("right_id"), F.col("idx").cast("bigint").alias("j"))
+    found = placed.join(left, "i").join(right, "j").withColumn("n", F.lit(1))
+    ordered = running_totals(found.select("left_id", "right_id", "idx", "n"), [], "idx", ["n"])
+    return ordered.select("left_id", "right_id", F.col("before_n").cast("int").alias("idx"))
+
+
 def selected_pairs(pairs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The pairs whose number was chosen by the importance list, renumbered in that order."""
     kept = pairs.join(chosen.select(F.col("feature_idx").alias("idx")), "idx", "left_semi")
@@ -124,25 +158,7 @@ def field_medians(values: DataFrame, importance: DataFrame, n: int = 100) -> Dat
     """
     known = values.select("field_id").distinct()
     best = top(importance.join(known, "field_id", "left_semi"), n)
-    counts = (
-        values.join(best.select("field_id"), "field_id", "left_semi")
-        .groupBy("field_id", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranked = running_totals(
-        counts, ["field_id"], "value", ["n"], lambda n: [F.floor((n - 1) / 2), F.floor(n / 2)]
-    )
-
-    def holds(position):
-        return (F.col("before_n") <= position) & (position < F.col("before_n") + F.col("n"))
-
-    low = F.floor((F.col("all_n") - 1) / 2)
-    high = F.floor(F.col("all_n") / 2)
-    middle = ranked.groupBy("field_id").agg(
-        ((F.max(F.when(holds(low), F.col("value"))) + F.max(F.when(holds(high), F.col("value")))) / 2).alias(
-            "median"
-        )
-    )
+    middle = medians(values.join(best.select("field_id"), "field_id", "left_semi"), "field_id", "value")
     return best.join(middle, "field_id").select("field_id", "score", "median").orderBy(F.desc("score"), "field_id")
 
 

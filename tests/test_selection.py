@@ -3,6 +3,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from monthloom.operators import selection
 from monthloom.schema import FIELD_GROUPS
@@ -117,3 +118,36 @@ def test_malformed_catalogue_fails(spark, tmp_path):
     (tmp_path / "bad").write_text("6\t0\nx\t1\n")
     with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
         tables.read_catalogue(spark, str(tmp_path / "bad")).collect()
+
+
+@pytest.mark.parametrize("size", [2, 3, 7, 40])
+def test_numbers_tell_pairs(spark, size):
+    pairs = [(a, b) for a in range(size) for b in range(a + 1, size)]
+    i, j = selection.pair_positions(F.col("id"), F.lit(size).cast("bigint"))
+    found = spark.range(len(pairs)).select("id", i.alias("i"), j.alias("j")).orderBy("id").collect()
+    assert [(r["i"], r["j"]) for r in found] == pairs
+
+
+def test_numbers_of_a_large_list(spark):
+    """First and last pairs of every position of a list whose pairs are never built."""
+    size = 96_116
+    first = F.expr(f"id * (2 * {size} - id - 1) div 2")
+    last = F.expr(f"(id + 1) * (2 * {size} - id - 2) div 2 - 1")
+    numbers = spark.range(size - 1).select("id", F.explode(F.array(first, last)).alias("number"))
+    i, j = selection.pair_positions(F.col("number"), F.lit(size).cast("bigint"))
+    bad = numbers.select("id", "number", i.alias("i"), j.alias("j"))
+    wrong = bad.filter((F.col("i") != F.col("id")) | ~F.col("j").isin(0) & ((F.col("number") == first) & (F.col("j") != F.col("id") + 1) | (F.col("number") == last) & (F.col("j") != size - 1) & (first != last)))
+    assert wrong.count() == 0
+
+
+@pytest.mark.parametrize("both", [False, True])
+def test_pairs_by_number_equal_the_built_pairs(spark, frame, both):
+    fields = frame([(v, 10.0) for v in (70, 3, 9, 12, 55, 4)], "field_id int, score double")
+    built = selection.ratio_pair_candidates(fields) if both else selection.pair_candidates(fields, 0)
+    numbers = frame([(v,) for v in (14, 0, 3, 3, -1, 29, 30, 7, 999)], "feature_idx int")
+    found = selection.pairs_by_number(fields.select("field_id"), numbers, both)
+    key = lambda r: r["idx"]
+    assert sorted(found.collect(), key=key) == sorted(selection.selected_pairs(built, numbers).collect(), key=key)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "Generate" not in plan and "explode" not in plan
+    assert selection.pairs_by_number(fields.limit(0).select("field_id"), numbers).count() == 0

@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from monthloom.operators import ranking, selection, statistics
 from monthloom.plans import jobs
@@ -166,3 +167,47 @@ def test_medians(frame):
     importance = frame([(1, 5.0), (2, 9.0), (3, 7.0), (4, 99.0)], "field_id int, score double")
     got = [(r["field_id"], r["median"]) for r in selection.field_medians(values, importance, 2).collect()]
     assert got == [(2, 5.0), (3, 7.0)]
+
+
+def drawn_values(n=6000):
+    rng = random.Random(12)
+    rows = [(k, 5.0 if rng.random() < 0.34 else rng.choice([rng.gauss(0, 9), float(rng.randrange(4))])) for k in (1, 1, 2) for _ in range(n // 3)]
+    return rows + [(None, float(v)) for v in range(7)] + [(9, 1.5)]
+
+
+WANTED = [(q, lambda n, q=q: F.floor(n * F.lit(q))) for q in (0.0, 0.05, 0.34, 0.95)]
+
+
+def placed(rows):
+    out = {}
+    for k in {k for k, _ in rows}:
+        own = sorted(v for key, v in rows if key == k)
+        out.update({(k, i): own[math.floor(len(own) * q)] for i, (q, _) in enumerate(WANTED)})
+    return out
+
+
+@pytest.mark.parametrize("accuracy", [4, 50, 1000])
+def test_bracketed_positions_equal_sorting(frame, accuracy):
+    rows = drawn_values()
+    found = ranking.at_positions(frame(rows, "k int, v double").repartition(5), "k", "v", WANTED, accuracy).collect()
+    assert {(r["k"], r["which"]): r["v"] for r in found} == placed(rows) and len(found) == len(placed(rows))
+
+
+def test_a_bracket_that_misses_is_replaced(frame, monkeypatch):
+    rows = drawn_values(900)
+    monkeypatch.setattr(ranking.F, "percentile_approx", lambda v, shares, accuracy: F.array_repeat(F.max(v), F.size(shares)))
+    found = ranking.at_positions(frame(rows, "k int, v double"), "k", "v", WANTED, 1000).collect()
+    assert {(r["k"], r["which"]): r["v"] for r in found} == placed(rows)
+    assert ranking.at_positions(frame([], "k int, v double"), "k", "v", WANTED).count() == 0
+
+
+def test_only_what_brackets_hold_is_shuffled(spark, monkeypatch):
+    seen = []
+    inside = ranking._inside
+    monkeypatch.setattr(ranking, "_inside", lambda *a: seen.append(inside(*a)) or seen[-1])
+    values = spark.range(40_000).selectExpr("cast(id % 2 as int) as k", "cast(id as double) as v")
+    ranking.order_statistics(values, "k", "v").collect()
+    rows = seen[0].agg(F.count("inside").alias("n")).head()["n"]
+    assert rows <= 2 * 2 * (0.006 * 20_000 + 2 * 0.001 * 20_000 + 2)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("HashAggregate") < plan.index("Exchange hashpartitioning") < plan.rindex("<= high")  # filtered and combined before the exchange
