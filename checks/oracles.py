@@ -353,6 +353,32 @@ def zero_shares(tree: str, one_hot: str) -> str:
       union all {hot("onehot_rate", every_field)} union all {hot("onehot_topn_rate", shares_of(best_three, "cata"))}"""
 
 
+def together(layouts: dict[str, list[tuple[str, str]]]) -> str:
+    """The rows of several layouts, one after the other."""
+    parts = []
+    for name, blocks in layouts.items():
+        own, at = [], "1"
+        for triples, width in blocks:
+            own.append(f"select u, {at} + idx as idx, value from ({triples})")
+            at = f"{at} + {width}"
+        parts.append(f"select '{name}' as layout, cast({at} - 1 as int) as feature_size, u, idx, value from ({' union all '.join(own)})")
+    return f"""{FULL}, {CODES} select layout, users.u as "user", label, feature_size, cast(idx as int) as idx, round(value, 6) as value
+      from ({" union all ".join(parts)}) b join users on users.u = b.u where users.u not in (select u from outu)"""
+
+
+# Ranges from 0 on and only zeros for every third user: observations and ranges under their usual names.
+ZERO_OBS = OBS.replace("obs as (", "seen as (", 1) + f""",
+obs as (select u, label, dist, f, case when u % 3 = 0 and f not in {CATEGORY} then 0.0 else v end as v from seen)"""
+
+
+def keeping_nan(k: int) -> str:
+    """A window layout in which shares of a zero total are -1. Lists come from the observations as they were."""
+    lists = LISTS.replace(" from obs", " from seen").replace("st as (", "st0 as (").replace("cs as (", "st as (select f, 0.0 as lo, hi from st0), cs as (")
+    blocks = [(t.replace("x / tot as value", "case when tot = 0 then -1.0 else x / tot end as value").replace("where tot <> 0", ""), w) for t, w in window_blocks(k, "cata", "catm")]
+    text = laid_out(blocks)
+    return text.replace(FULL, f"with {USERS}, {ZERO_OBS}, {lists}", 1)
+
+
 SPARSE = f"""{layout(window_blocks(6, "cata", "catm"))}, sparse as (
         select "user", feature_size, label || ' ' || string_agg(idx || ':' || {TEXT}, ' ' order by idx) as features
         from laid where abs(value) > 0.0001 group by "user", label, feature_size)"""
@@ -467,6 +493,16 @@ ORACLES: dict[str, str] = {
         select obs.u, users.label, first(v order by dist) as value from obs join users on users.u = obs.u
         where f = 4 group by obs.u, users.label) where value >= 0 group by value""",
     "category_values": f"{BASE} select distinct v as value from obs where f = 19",
+    "presence_windows": f"""{BASE} select f as field_id, k as "window", count(distinct u) as have
+        from obs, (select unnest([0, 3, 6, 9])::int as k) where {PRESENT} and dist <= 12 - k group by f, k""",
+    "missing_windows": f"""{BASE} select users.u as "user", {", ".join(f"5000 - count(distinct case when {PRESENT} and dist <= {12 - k} then f end) as missing{k}" for k in (0, 3, 6, 9))}
+        from users left join obs on obs.u = users.u group by users.u""",
+    "months_merged": f"""{BASE} select cast(u as varchar) as "user", cast(dist as int) as dist, f as field_id,
+        case when f = min(f) over w then cast(count(*) over w as double) else v end as value
+        from obs window w as (partition by u, dist)""",
+    "months_window": f"""{BASE} select cast(u as varchar) as "user", f as field_id, round(avg(x), 6) as avg, round(max(x), 6) as max, round(min(x), 6) as min, round(max(x) - min(x), 6) as change
+        from (select u, dist, f, case when f = min(f) over w then cast(count(*) over w as double) else v end as x from obs window w as (partition by u, dist))
+        where dist <= 6 group by u, f""",
     "tree_block_avg": block(values("avg(v)", 0, "cata")),
     "tree_block_max": block(values("max(v)", 6, "catm")),
     "tree_rate": block(shares(3, GROUPS["query_detail"].replace("f ", "t.f "), rate("query_detail"))),
@@ -527,6 +563,16 @@ ORACLES: dict[str, str] = {
     "catalog_by_group": f'{FULL} select g as "group", f as field_id, cast(idx as int) as idx from grp',
     "exclude_users": f"""{FULL} select u as "user", {month("lm")} as label_month, label from users
         where not exists (select 1 from outu where outu.u = users.u)""",
+    "layouts_together": together(
+        {
+            "full_year": window_blocks(0, "cata", "cata"),
+            "three_seasons": window_blocks(3, "cata", "catm"),
+            "half_year": window_blocks(6, "cata", "catm"),
+            "one_season": window_blocks(9, "cata", "catm"),
+            "year_and_half": YEAR_AND_HALF,
+        }
+    ),
+    "layouts_keeping_nan": keeping_nan(6),
     "layout_full_year": laid_out(window_blocks(0, "cata", "cata")),
     "layout_three_seasons": laid_out(window_blocks(3, "cata", "catm")),
     "layout_half_year": laid_out(window_blocks(6, "cata", "catm")),

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthloom.functions.months import month_before, month_distance, month_text
-from monthloom.operators import blocks, boosting, evaluation, merge, missing, model, profile, rows, selection, statistics, trees
-from monthloom.plans.encode import encode_layout
+from monthloom.operators import blocks, boosting, evaluation, merge, missing, model, presence, profile, rows, selection, statistics, trees
+from monthloom.plans import months
+from monthloom.plans.encode import encode_layout, encode_layouts
 from monthloom.plans.layouts import LAYOUTS, Catalogues
 from monthloom.schema import FIELD_GROUPS, FIELD_UNIVERSE, in_window, is_category
 from monthloom.sources.retail import read_table, retail_obs, retail_users
@@ -290,6 +291,33 @@ def category_values(i: Inputs) -> DataFrame:
     return statistics.category_values(i.obs, 19)
 
 
+def presence_windows(i: Inputs) -> DataFrame:
+    users, obs = i.tables
+    return presence.bitmap_presence(presence.presence_bitmaps(presence.numbered_users(users), obs))
+
+
+def missing_windows(i: Inputs) -> DataFrame:
+    return presence.missing_windows(*i.tables)
+
+
+def _month_state(i: Inputs) -> DataFrame:
+    """A history without its last three months, which are added one by one, the last one twice."""
+    path, actions = _new_path(i), materialise(i.actions)
+    last = [r["action_month"] for r in actions.select("action_month").distinct().orderBy(F.desc("action_month")).limit(3).collect()]
+    months.load(actions.filter(~F.col("action_month").isin(last)), path)
+    for month in [*sorted(last), max(last)]:
+        months.add_month(actions, month, path)
+    return months.read(i.spark, path)
+
+
+def months_merged(i: Inputs) -> DataFrame:
+    return months.merged(_month_state(i), i.labels)
+
+
+def months_window(i: Inputs) -> DataFrame:
+    return _rounded(months.window_values(_month_state(i), i.labels, 6), *months.MEASURES)
+
+
 # Blocks
 
 
@@ -492,6 +520,24 @@ def _layout(name: str) -> Query:
     )
 
 
+def layouts_together(i: Inputs) -> DataFrame:
+    """All layouts that leave the same users out, from one pass."""
+    users, obs = i.tables
+    named = {name: LAYOUTS[name](i.catalogues) for name in LAYOUTS if name != "linear"}
+    together = encode_layouts(users, obs, i.stats, named, excluded=i.excluded)
+    return _rounded(together.select("layout", "user", "label", "feature_size", F.inline("tokens")), "value")
+
+
+def layouts_keeping_nan(i: Inputs) -> DataFrame:
+    """The half-year layout where every third user has only zeros and ranges start at 0; a share of a zero total shows as -1."""
+    users, obs = i.tables
+    zeros = obs.withColumn("value", F.when((F.col("user") % 3 == 0) & ~is_category(), 0.0).otherwise(F.col("value")))
+    stats = i.stats.withColumn("lo", F.lit(0.0))
+    laid = encode_layout(users, zeros, stats, LAYOUTS["half_year"](i.catalogues), excluded=i.excluded, nan_policy="keep")
+    value = F.when(F.isnan("value"), -1.0).otherwise(F.round("value", 6)).alias("value")
+    return laid.select("user", "label", "feature_size", F.inline("tokens")).select("user", "label", "feature_size", "idx", value)
+
+
 def sparse_row_text(i: Inputs) -> DataFrame:
     return rows.to_sparse_rows(i.encoded("half_year"))
 
@@ -779,6 +825,10 @@ QUERIES: dict[str, Query] = {
     "row_presence": _query(row_presence),
     "category_rate": _query(category_rate),
     "category_values": _query(category_values),
+    "presence_windows": _query(presence_windows),
+    "missing_windows": _query(missing_windows),
+    "months_merged": _query(months_merged),
+    "months_window": _query(months_window),
     "tree_block_avg": _query(tree_block_avg),
     "tree_block_max": _query(tree_block_max),
     "tree_rate": _query(tree_rate),
@@ -814,6 +864,8 @@ QUERIES: dict[str, Query] = {
     "catalog_by_group": _query(catalog_by_group),
     "exclude_users": _query(exclude_users),
     **{f"layout_{name}": _layout(name) for name in LAYOUTS},
+    "layouts_together": _query(layouts_together),
+    "layouts_keeping_nan": _query(layouts_keeping_nan),
     "sparse_row_text": _query(sparse_row_text),
     "dense_csv_row": _query(dense_csv_row),
     "blend_scores": _query(blend_scores),

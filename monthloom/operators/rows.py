@@ -35,9 +35,10 @@ def _written():
 
 
 def to_sparse_rows(rows: DataFrame) -> DataFrame:
-    """``features`` as ``label idx:value ...``, without near-zero values."""
+    """``features`` as ``label idx:value ...``, without near-zero values; rows of several layouts keep ``layout``."""
     texts = F.transform(_written(), lambda t: token_text(t["idx"], t["value"]))
     return rows.select(
+        *[c for c in rows.columns if c == "layout"],
         "user",
         "feature_size",
         F.concat_ws(" ", F.col("label").cast("string"), texts).alias("features"),

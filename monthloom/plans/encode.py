@@ -9,7 +9,8 @@ on the map side, and not at all when users and observations are bucketed by user
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,7 +109,9 @@ def rulebook(blocks: list[Block], stats: DataFrame, change_stats: DataFrame | No
     rules = entries.withColumn("of_change", _among(F.col("block"), changed)).join(
         ranges, ["field_id", "of_change"], "left"
     )
-    first = F.row_number().over(Window.partitionBy("field_id").orderBy("block", "idx")) == 1
+    # Entries without a field meet no row; they are spread, as there may be many.
+    alone = F.when(F.col("field_id").isNull(), F.xxhash64("block", "idx", "side"))
+    first = F.row_number().over(Window.partitionBy("field_id", alone).orderBy("block", "idx")) == 1
     return materialise(
         rules.select("field_id", "block", F.col("idx").cast("int").alias("idx"), "side", "lo", "hi", first.alias("leads"))
     )
@@ -255,15 +258,21 @@ def encode_layout(
     excluded: DataFrame | None = None,
     nan_policy: str = "drop",
     missing_total: int = MISSING_TOTAL,
+    laid: tuple[DataFrame | None, list[int], int] | None = None,
 ) -> DataFrame:
-    """Rows ``(user, label, feature_size, tokens)`` of a layout, one per user."""
+    """Rows ``(user, label, feature_size, tokens)`` of a layout, one per user.
+
+    ``laid`` has the rulebook, the blocks' first indices and the size, where these are known already.
+    """
     if excluded is not None:
         users = without_users(users, excluded)  # observations of users who are not listed fall away in the gathering
     windows = sorted({blocks[b].k for b in _numbers(blocks, Missing)})
     wanted = dict.fromkeys((blocks[b].agg, blocks[b].k) for b in _numbers(blocks, *LISTED))
     measures = {m: f"m{n}" for n, m in enumerate(wanted)}
-    rules = rulebook(blocks, stats, change_stats) if measures else None
-    starts, size = block_starts(blocks, rules)
+    if laid is None:
+        rules = rulebook(blocks, stats, change_stats) if measures else None
+        laid = (rules, *block_starts(blocks, rules))
+    rules, starts, size = laid
 
     parts, gathered, finished = [], [F.max("label").alias("label")], []
     if measures:
@@ -288,3 +297,47 @@ def encode_layout(
     whole = for_listed(base, parts, gathered)
     tokens = F.sort_array(F.concat(*[f.cast(TOKENS) for f in finished]))
     return whole.select("user", "label", F.lit(size).alias("feature_size"), tokens.alias("tokens"))
+
+
+def _moved(moves: list[tuple[int, int, int]]) -> Column:
+    """The tokens of blocks ``(first, end, by)`` of a long row, in a layout's own numbering."""
+
+    def by(idx: Column) -> Column:
+        return F.coalesce(*[F.when((idx >= lo) & (idx < hi), F.lit(step)) for lo, hi, step in moves])
+
+    kept = F.filter("tokens", lambda t: by(t["idx"]).isNotNull())
+    return F.sort_array(F.transform(kept, lambda t: F.struct((t["idx"] + by(t["idx"])).alias("idx"), t["value"].alias("value")))).cast(TOKENS)
+
+
+def encode_layouts(
+    users: DataFrame,
+    obs: DataFrame,
+    stats: DataFrame,
+    layouts: Mapping[str, list[Block]],
+    change_stats: DataFrame | None = None,
+    excluded: DataFrame | None = None,
+    nan_policy: str = "drop",
+    missing_total: int = MISSING_TOTAL,
+) -> DataFrame:
+    """Rows ``(layout, user, label, feature_size, tokens)`` of several layouts from one pass.
+
+    Blocks that layouts share are laid out once. All different blocks form one long row, from a single
+    aggregate per (user, field), one rulebook and one gathering; it is cut into the layouts' rows at
+    the very end, so a sink that writes one folder per layout reads the observations once.
+    """
+    blocks = list(dict.fromkeys(block for own in layouts.values() for block in own))
+    listed = _numbers(blocks, *LISTED)
+    rules = rulebook(blocks, stats, change_stats) if listed else None
+    starts, size = block_starts(blocks, rules)
+    long = encode_layout(users, obs, stats, blocks, change_stats, excluded, nan_policy, missing_total, laid=(rules, starts, size))
+    ends = [*starts[1:], size + 1]
+    rows = []
+    for name, own in layouts.items():
+        at, moves = 1, []
+        for b in map(blocks.index, own):
+            moves.append((starts[b], ends[b], at - starts[b]))
+            at += ends[b] - starts[b]
+
+        rows.append(F.struct(F.lit(name).alias("layout"), F.lit(at - 1).alias("feature_size"), _moved(moves).alias("tokens")))
+    cut = long.select("user", "label", F.inline(F.array(*rows)))
+    return cut.select("layout", "user", "label", "feature_size", "tokens")

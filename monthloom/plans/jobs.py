@@ -6,7 +6,7 @@ and can be combined freely.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassificationModel
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthloom.operators import boosting, evaluation, merge, model, rows, statistics, trees
-from monthloom.plans.encode import encode_layout
+from monthloom.plans.encode import encode_layout, encode_layouts
 from monthloom.plans.layouts import LAYOUTS, Catalogues
 from monthloom.schema import FIELD_GROUPS
 from monthloom.sources import sinks, tables
@@ -116,6 +116,30 @@ def encode(
     sinks.write_encoded(rows.to_sparse_rows(encoded), output, ordered)
 
 
+def encode_together(
+    spark: SparkSession,
+    profiles: str,
+    layouts: Sequence[str],
+    catalogues: CataloguePaths,
+    minmax: str,
+    output: str,
+    max_change: str | None = None,
+    excluded: str | None = None,
+) -> None:
+    """Profiles to encoded rows of several layouts, one folder each, from one pass."""
+    users, obs = _profiles(spark, profiles)
+    lists = catalogues.read(spark)
+    encoded = encode_layouts(
+        users,
+        obs,
+        tables.read_statistics(spark, minmax),
+        {name: LAYOUTS[name](lists) for name in layouts},
+        change_stats=None if max_change is None else tables.drop_constant(tables.read_statistics(spark, max_change)),
+        excluded=None if excluded is None else tables.read_users(spark, excluded),
+    )
+    sinks.write_layouts(rows.to_sparse_rows(encoded), output)
+
+
 def train_and_score(
     spark: SparkSession,
     train_rows: str,

@@ -38,6 +38,12 @@ def write_encoded(rows: DataFrame, path: str, ordered: bool = True) -> None:
     lines.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
+def write_layouts(rows: DataFrame, path: str) -> None:
+    """The lines of several layouts, one folder ``layout=<name>`` each, from one pass over ``rows``."""
+    text = F.concat_ws("\t", F.col("user").cast("string"), F.col("feature_size").cast("string"), "features")
+    rows.select(text.alias("value"), "layout").write.mode("overwrite").partitionBy("layout").text(path)
+
+
 def svm_lines(rows: DataFrame) -> DataFrame:
     """Feature line next to its user, in place of two files matched by position."""
     return rows.select("user", F.col("features").alias("line"))
