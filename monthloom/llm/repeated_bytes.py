@@ -9,7 +9,7 @@ the next pass, and the groups left after the last are exactly the repeated strin
   leftmost on ties; equal strings have it at the same place. Neighbouring suffixes share an anchor,
   so they travel as one *run*: a row per anchor instead of one per byte (about one in thirty).
 * *Context.* The second digit hashes all bytes of the run with its shape. A range partitioning and
-  sort by (anchor, context, document, start) brings equal runs together wherever they are, however
+  sort by (anchor, context, document, row, start) brings equal runs together wherever they are, however
   many: a hot passage spans as many partitions as it needs, and each partition is read as a
   stream. Runs behind the first of their context are repeated as a whole. A context that shares
   its anchor with another one stays *open*.
@@ -22,8 +22,10 @@ Partition borders need the outermost rows of each partition, at most two rows a
 driver. Digits are 64-bit hashes; two together decide, so 128 bits. Whole texts are read.
 
 Cases: null text has no bytes; texts under ``LENGTH`` bytes are kept whole; a null ``doc_id`` comes
-before all others; rows that repeat a ``doc_id`` count as starting at the same place, so a repeated
-row removes nothing from its twin; further columns are not looked at.
+before all others. Runs and ranges belong to a row, named by its ``doc_id`` and a 63-bit hash of its
+text: rows that share a ``doc_id`` (or have none) but not a text are documents of their own, in the
+order of these hashes; rows equal in both are one document written several times, so a repeated row
+removes nothing from its twin; further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -49,10 +51,10 @@ ROWS = 256  # documents handled at a time
 LOWEST = -(1 << 63)
 FACTOR = 0x9E3779B97F4A7C15 | 1
 
-RUN = "g bigint, c bigint, doc bigint, a bigint, shape int"
-RUN_NAMES = ["g", "c", "doc", "a", "shape"]
-CONTEXT = "g bigint, doc bigint, a bigint, shape int, context binary"
-RANGE = "doc bigint, start bigint, stop bigint"
+RUN = "g bigint, c bigint, doc bigint, row bigint, a bigint, shape int"
+RUN_NAMES = ["g", "c", "doc", "row", "a", "shape"]
+CONTEXT = "g bigint, doc bigint, row bigint, a bigint, shape int, context binary"
+RANGE = "doc bigint, row bigint, start bigint, stop bigint"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -133,19 +135,19 @@ def _bytes(column) -> list[bytes]:
 
 
 def runs(docs: DataFrame) -> DataFrame:
-    """A row per anchor: its digits, document, the run's first start, and the run's shape."""
+    """A row per anchor: its digits, document and row, the run's first start, and the run's shape."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [LOWEST if i is None else i for i in batch.column(0).to_pylist()]
+            ids, rows = (batch.column(i).to_numpy() for i in range(2))
             out = []
-            for group in parts(_bytes(batch.column(1))):
+            for group in parts(_bytes(batch.column(2))):
                 g, c, owner, a, shape = runs_of(group)
-                doc = np.array([ids[i] for i, _, _ in group])[owner]
+                member = np.array([i for i, _, _ in group])[owner]
                 offset = np.array([at for _, at, _ in group])[owner]
-                out.append((g, c, doc, a + offset, shape))
-            kinds = [np.int64] * 4 + [np.int32]
-            joined = [np.concatenate([np.zeros(0, k), *x]) for k, x in zip(kinds, zip(*out, strict=True) if out else [()] * 5, strict=True)]
+                out.append((g, c, ids[member], rows[member], a + offset, shape))
+            kinds = [np.int64] * 5 + [np.int32]
+            joined = [np.concatenate([np.zeros(0, k), *x]) for k, x in zip(kinds, zip(*out, strict=True) if out else [()] * 6, strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(x) for x in joined], RUN_NAMES)
 
         return work
@@ -179,10 +181,10 @@ def _scan(ordered: DataFrame) -> DataFrame:
             own = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if held is not None:
                 own = [np.concatenate([h, x]) for h, x in zip(held, own, strict=True)]
-            g, c, doc, a, _ = own
+            g, c, doc, row, a, _ = own
             head = np.append(True, (g[1:] != g[:-1]) | (c[1:] != c[:-1]))
             first = np.flatnonzero(head)[np.cumsum(head) - 1]
-            repeated = (doc != doc[first]) | (a != a[first])
+            repeated = (doc != doc[first]) | (row != row[first]) | (a != a[first])
             if repeated.any():
                 yield rows(DUPLICATE, [x[repeated] for x in own], place, False)
             heads = [x[head] for x in own]
@@ -227,39 +229,46 @@ def across_borders(edges: list) -> tuple[list[tuple], list[tuple]]:
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """``doc, data``: compressed bytes. All uses shuffle it by document alike, so Spark does that once."""
+    """``doc, row, data``: compressed bytes. All uses shuffle it by document and row alike, so Spark does that once."""
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             squeeze = zstandard.ZstdCompressor(level=3).compress
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array([squeeze(d) for d in _bytes(batch.column(1))], pa.binary())], ["doc", "data"])
+            data = pa.array([squeeze(d) for d in _bytes(batch.column(2))], pa.binary())
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), data], ["doc", "row", "data"])
 
         return work
 
-    return map_batches(docs, make, "doc bigint, data binary", ROWS)
+    return map_batches(docs, make, "doc bigint, row bigint, data binary", ROWS)
 
 
 def _contexts(packed: DataFrame, opened: DataFrame) -> DataFrame:
-    """``g, doc, a, shape, context``: the bytes of each open run."""
-    of_doc = opened.groupBy("doc").agg(F.collect_list(F.struct("g", "a", "shape")).alias("runs"))
+    """``g, doc, row, a, shape, context``: the bytes of each open run, of equal rows mostly once."""
+    of_row = opened.groupBy("doc", "row").agg(F.collect_list(F.struct("g", "a", "shape")).alias("runs"))
 
     def make():
+        last = None
+
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            nonlocal last
             expand = zstandard.ZstdDecompressor().decompress
-            out = [[], [], [], [], []]
-            for doc, packed_data, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            out = [[], [], [], [], [], []]
+            for doc, row, packed_data, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (doc, row) == last:
+                    continue
+                last = doc, row
                 data = expand(packed_data)
                 for r in own:
                     context = data[r["a"] : r["a"] + (r["shape"] & 255) + LENGTH]
-                    if len(context) == (r["shape"] & 255) + LENGTH:  # another row of this id may be shorter
-                        for column, x in zip(out, (r["g"], doc, r["a"], r["shape"], context), strict=True):
-                            column.append(x)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], ["g", "doc", "a", "shape", "context"])
+                    for column, x in zip(out, (r["g"], doc, row, r["a"], r["shape"], context), strict=True):
+                        column.append(x)
+            kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+            names = ["g", "doc", "row", "a", "shape", "context"]
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names)
 
         return work
 
-    return map_batches(packed.join(of_doc, "doc").select("doc", "data", "runs"), make, CONTEXT, ROWS)
+    return map_batches(packed.join(of_row, ["doc", "row"]).select("doc", "row", "data", "runs"), make, CONTEXT, ROWS)
 
 
 def strings_of(shape: np.ndarray, contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -275,29 +284,33 @@ def strings_of(shape: np.ndarray, contexts: list[bytes]) -> tuple[np.ndarray, np
 
 
 def _within_anchor(contexts: DataFrame) -> DataFrame:
-    """``doc, start, stop`` of strings that start earlier, for anchors with at most ``GROUP`` open runs."""
+    """``doc, row, start, stop`` of strings that start earlier, for anchors with at most ``GROUP`` open runs."""
 
-    def repeated(g: np.ndarray, doc: np.ndarray, a: np.ndarray, shape: np.ndarray, data: list[bytes]) -> pa.RecordBatch:
+    def repeated(g: np.ndarray, doc: np.ndarray, row: np.ndarray, a: np.ndarray, shape: np.ndarray, data: list[bytes]) -> pa.RecordBatch:
         run, step, h = strings_of(shape, data)
         order = np.lexsort((run, h, g[run]))  # runs are in the order of their starts
         new = np.append(True, (g[run[order]][1:] != g[run[order]][:-1]) | (h[order][1:] != h[order][:-1]))
         first = run[order][np.flatnonzero(new)[np.cumsum(new) - 1]]
         later = np.zeros(len(run), bool)
-        later[order] = (doc[run[order]] != doc[first]) | (a[run[order]] != a[first])
+        later[order] = (doc[run[order]] != doc[first]) | (row[run[order]] != row[first]) | (a[run[order]] != a[first])
         at = np.flatnonzero(later)
         begins = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (run[at][1:] != run[at][:-1]))) if len(at) else at
         ends = np.append(begins[1:], len(at)) - 1 if len(at) else at
         b, e = at[begins], at[ends]
-        return pa.RecordBatch.from_arrays([pa.array(doc[run[b]]), pa.array(a[run[b]] + step[b]), pa.array(a[run[e]] + step[e] + LENGTH)], ["doc", "start", "stop"])
+        columns = (doc[run[b]], row[run[b]], a[run[b]] + step[b], a[run[e]] + step[e] + LENGTH)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc", "row", "start", "stop"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             for at in range(0, batch.num_rows, GROUP):
                 part = batch.slice(at, GROUP)
-                own = [part.column(i).to_numpy(zero_copy_only=False) for i in range(4)] + [part.column(4).to_pylist()]
+                own = [part.column(i).to_numpy(zero_copy_only=False) for i in range(5)] + [part.column(5).to_pylist()]
                 if held is not None:
-                    own = [np.concatenate([h, x]) for h, x in zip(held[:4], own[:4], strict=True)] + [held[4] + own[4]]
+                    own = [np.concatenate([h, x]) for h, x in zip(held[:5], own[:5], strict=True)] + [held[5] + own[5]]
+                once = np.flatnonzero(np.append(True, np.logical_or.reduce([x[1:] != x[:-1] for x in own[:4]])))
+                if len(once) < len(own[0]):  # equal rows
+                    own = [x[once] for x in own[:5]] + [[own[5][i] for i in once.tolist()]]
                 last = int(np.searchsorted(own[0], own[0][-1]))  # the last anchor may go on
                 if last:
                     yield repeated(*(x[:last] for x in own))
@@ -306,7 +319,7 @@ def _within_anchor(contexts: DataFrame) -> DataFrame:
             yield repeated(*held)
 
     ready_workers(contexts.sparkSession)
-    return contexts.repartition("g").sortWithinPartitions("g", "doc", "a").mapInArrow(work, RANGE)
+    return contexts.repartition("g").sortWithinPartitions("g", "doc", "row", "a").mapInArrow(work, RANGE)
 
 
 def _across_tasks(contexts: DataFrame) -> DataFrame:
@@ -316,31 +329,34 @@ def _across_tasks(contexts: DataFrame) -> DataFrame:
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = []
             for part in slices(batch, GROUP):
-                g, doc, a, shape = (part.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-                run, step, h = strings_of(shape, part.column(4).to_pylist())
-                out.append((g[run], h.view(np.int64), doc[run], a[run] + step))
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["g", "h", "doc", "s"])
+                g, doc, row, a, shape = (part.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+                run, step, h = strings_of(shape, part.column(5).to_pylist())
+                out.append((g[run], h.view(np.int64), doc[run], row[run], a[run] + step))
+            columns = [np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*out, strict=True) if out else [()] * 5)]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["g", "h", "doc", "row", "s"])
 
         return work
 
-    strings = materialise(map_batches(contexts, make, "g bigint, h bigint, doc bigint, s bigint"))
-    first = strings.groupBy("g", "h").agg(F.min(F.struct("doc", "s")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    later = strings.join(first, ["g", "h"]).filter(F.struct("doc", "s") > F.col("first"))
-    return later.select("doc", F.col("s").alias("start"), (F.col("s") + LENGTH).alias("stop"))
+    strings = materialise(map_batches(contexts, make, "g bigint, h bigint, doc bigint, row bigint, s bigint"))
+    first = strings.groupBy("g", "h").agg(F.min(F.struct("doc", "row", "s")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    later = strings.join(first, ["g", "h"]).filter(F.struct("doc", "row", "s") > F.col("first"))
+    return later.select("doc", "row", F.col("s").alias("start"), (F.col("s") + LENGTH).alias("stop"))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """``doc, start, stop``: byte ranges to remove; they may overlap. A null id is the lowest number here."""
+    """``doc, row, start, stop``: byte ranges to remove; they may overlap. Document and row as ``_keyed`` names them."""
     return _ranges(_keyed(docs), _packed(_keyed(docs)))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LOWEST)).alias("doc_id"), "text")
+    """``doc, row, text``: a null id is the lowest number, and only its rows have a negative hash."""
+    doc, row = F.col("doc_id").cast("bigint"), F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND((1 << 63) - 1)
+    return docs.select(F.coalesce(doc, F.lit(LOWEST)).alias("doc"), F.when(doc.isNull(), row.bitwiseOR(LOWEST)).otherwise(row).alias("row"), "text")
 
 
 def _ranges(keyed: DataFrame, packed: DataFrame) -> DataFrame:
     spark = keyed.sparkSession
-    ordered = runs(keyed).repartitionByRange("g", "c", "doc", "a").sortWithinPartitions("g", "c", "doc", "a")
+    ordered = runs(keyed).repartitionByRange("g", "c", "doc", "row", "a").sortWithinPartitions("g", "c", "doc", "row", "a")
     found = materialise(_scan(ordered))
     by_place: dict[int, list] = {}
     for row in found.filter(F.col("kind") == EDGE).orderBy("place", "g", "c").collect():
@@ -349,7 +365,7 @@ def _ranges(keyed: DataFrame, packed: DataFrame) -> DataFrame:
             edges.append(row)
     duplicates, opened = across_borders(list(by_place.values()))
     whole = found.filter(F.col("kind") == DUPLICATE).select(RUN_NAMES).unionByName(spark.createDataFrame(duplicates, RUN))
-    whole = whole.select("doc", F.col("a").alias("start"), (F.col("a") + F.col("shape").bitwiseAND(255) + LENGTH).alias("stop"))
+    whole = whole.select("doc", "row", F.col("a").alias("start"), (F.col("a") + F.col("shape").bitwiseAND(255) + LENGTH).alias("stop"))
     still_open = found.filter(F.col("kind") == OPEN).select(RUN_NAMES).unionByName(spark.createDataFrame(opened, RUN))
     hot = materialise(still_open.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP).select("g"))
     ranges = whole.unionByName(_within_anchor(_contexts(packed, still_open.join(hot, "g", "left_anti"))))
@@ -361,14 +377,14 @@ def _ranges(keyed: DataFrame, packed: DataFrame) -> DataFrame:
 def remove(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) of every document."""
     packed = _packed(_keyed(docs))
-    own = _ranges(_keyed(docs), packed).groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
+    own = _ranges(_keyed(docs), packed).groupBy("doc", "row").agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             expand = zstandard.ZstdDecompressor().decompress
             ids, size, gone, spans, kept = [], [], [], [], []
-            for doc, packed, ranges in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                data = expand(packed)
+            for doc, row, packed_data, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                data = expand(packed_data)
                 out, last, runs_here = [], 0, 0
                 for r in sorted(ranges or (), key=lambda r: (r["start"], r["stop"])):
                     start, stop = r["start"], min(r["stop"], len(data))
@@ -379,7 +395,7 @@ def remove(docs: DataFrame) -> DataFrame:
                         runs_here += 1
                     last = max(last, stop)
                 rest = b"".join([*out, data[last:]])
-                ids.append(None if doc == LOWEST else doc)
+                ids.append(None if row < 0 else doc)
                 size.append(len(data))
                 gone.append(len(data) - len(rest))
                 spans.append(runs_here)
@@ -389,5 +405,5 @@ def remove(docs: DataFrame) -> DataFrame:
 
         return work
 
-    joined = packed.join(own, "doc", "left")
-    return map_batches(joined.select("doc", "data", "ranges"), make, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary", ROWS)
+    joined = packed.join(own, ["doc", "row"], "left")
+    return map_batches(joined.select("doc", "row", "data", "ranges"), make, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary", ROWS)

@@ -74,8 +74,26 @@ def test_empty_table_null_and_repeated_ids(docs):
     assert sorted((r["doc_id"] or -1, r["n_bytes"], r["n_removed"], r["n_spans"]) for r in out) == [(-1, 300, 0, 0), (3, 0, 0, 0), (3, 300, 300, 1), (3, 300, 300, 1)]
 
 
+def test_different_texts_under_one_id(docs, monkeypatch):
+    """Rows of one id, of none and of the lowest number are cut by their own repeats only."""
+    draw = random.Random(6)
+    prose = lambda n: "".join(draw.choices("abcdefgh ", k=n))
+    a, b, shared = prose(150), prose(400), prose(160)
+    lowest = -(1 << 63)
+    rows = [(None, a + a), (None, b[:300]), (lowest, b[100:]), (5, prose(180)), (5, shared + prose(90)), (6, shared), (6, prose(200))]
+    rows += [(7, shared[:130] + str(k % 3)) for k in range(12)]
+    for group in (4096, 3):
+        monkeypatch.setattr(repeated_bytes, "GROUP", group)
+        out = repeated_bytes.remove(docs(rows).repartition(5)).select("doc_id", "n_bytes", "n_removed", "n_spans").collect()
+        assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_bytes"], r["n_removed"], r["n_spans"]) for r in out) == sorted(
+            [(False, 0, 300, 150, 1), (False, 0, 300, 0, 0), (True, lowest, 300, 200, 1), (True, 5, 180, 0, 0), (True, 5, 250, 0, 0), (True, 6, 160, 160, 1)]
+            + [(True, 6, 200, 0, 0)]
+            + [(True, 7, 131, 130, 1)] * 12
+        )
+
+
 def edge(g, c, doc, is_open):
-    return {"g": g, "c": c, "doc": doc, "a": 0, "shape": 0, "open": is_open}
+    return {"g": g, "c": c, "doc": doc, "row": 0, "a": 0, "shape": 0, "open": is_open}
 
 
 def test_borders():
