@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 MIN_DIGITS = 9
 NUMBER = re.compile(r"[0-9](?:[\x20./()-]{0,2}[0-9]){8,}")
 RUN = re.compile(r"[0-9]{9,}")
-SPELT = re.compile(r"[A-Za-z0-9._%+-]+\x20?(?:[(\[]at[)\]]|@|\x20at\x20)\x20?[A-Za-z0-9-]+(?:\x20?(?:[(\[]dot[)\]]|\.|\x20dot\x20)\x20?[A-Za-z0-9-]+)+", re.I)
+#: An address from its "at" on.
+SPELT = re.compile(r"\x20?(?:[(\[]at[)\]]|@|\x20at\x20)\x20?[A-Z0-9-]+(?:\x20?(?:[(\[]dot[)\]]|\.|\x20dot\x20)\x20?[A-Z0-9-]+)+", re.I | re.A)
 AT, DOT = re.compile(r"[(\[]at[)\]]|\x20at\x20|@", re.I), re.compile(r"[(\[]dot[)\]]|\x20dot\x20", re.I)
 
 # Log potentials. "None" is label 0, kind k is label k + 1.
@@ -74,11 +76,26 @@ def emails(text: str) -> list[tuple[int, int]]:
     return found
 
 
+def spelt(text: str, begin: int, end: int) -> list[tuple[int, int]]:
+    """Leftmost non-overlapping addresses, also written with "at" or "dot": each "at" with what may stand before and after it."""
+    found, last, at = [], begin, begin
+    while m := SPELT.search(text, at, end):
+        start = m.start()
+        while start > last and text[start - 1] in LOCAL:
+            start -= 1
+        if start < m.start():
+            found.append((start, m.end()))
+            last = at = m.end()
+        else:
+            at = m.start() + 1
+    return found
+
+
 def base_spans(text: str) -> list[Span]:
     """Spans of the patterns, by kind and start."""
     found = [(0, a, b) for a, b in emails(text)] if "@" in text else []
     if DIGIT.search(text):
-        found += [(1, m.start(), m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        found += [(1, m.start(), m.end()) for m in IP.finditer(text) if all(len(q := p.lstrip("0")) <= 3 and int(q or 0) <= 255 for p in m[0].split("."))]
         for m in CARD.finditer(text):
             if m.end() - m.start() >= 13 and 13 <= len(digits := digits_of(m[0])) <= 19 and luhn(digits):
                 found.append((2, m.start(), m.end()))
@@ -97,15 +114,14 @@ def key_of(text: str, kind: int | None = None) -> str:
 
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int]]:
     """Further tokens outside the base spans; of overlapping ones the smaller come last."""
-    taken = sorted((a, b) for _, a, b in base)
+    taken, mails = sorted((a, b) for _, a, b in base), any(k == 0 for k, _, _ in base)
     gaps = zip([0, *(b for _, b in taken)], [*(a for a, _ in taken), len(text)], strict=True)
     found, seen = [], set()
     for a, b in gaps:
-        for pattern in (NUMBER, RUN, *([SPELT] if any(k == 0 for k, _, _ in base) else [])):
-            for m in pattern.finditer(text, a, max(a, b)):
-                if (span := m.span()) not in seen:
-                    seen.add(span)
-                    found.append(span)
+        for span in (*(m.span() for p in (NUMBER, RUN) for m in p.finditer(text, a, max(a, b))), *(spelt(text, a, max(a, b)) if mails else ())):
+            if span not in seen:
+                seen.add(span)
+                found.append(span)
     return found
 
 
@@ -164,10 +180,12 @@ def added_spans(text: str, base: list[Span]) -> list[Span]:
         return []
     left, right = np.array(list(edges)).T
     label = marginals(own, left, right, np.array(list(edges.values()))).argmax(1)
-    found: list[Span] = []
+    found: list[Span] = []  # by start
     for (a, b, k), best in zip(nodes, label.tolist(), strict=True):
-        if k is None and best and all(b <= c or d <= a for _, c, d in found):
-            found.append((best - 1, a, b))
+        if k is None and best:
+            at = bisect(found, a, key=lambda span: span[1])
+            if (not at or found[at - 1][2] <= a) and (at == len(found) or b <= found[at][1]):
+                found.insert(at, (best - 1, a, b))
     return found
 
 

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
+import time
 
+import numpy as np
 import pytest
 from monthloom.llm import pii
 from tests.llm.conftest import plain
@@ -85,3 +88,26 @@ def test_redact_keeps_rows_and_columns(docs):
     assert out.columns == frame.columns
     assert sorted((r["doc_id"], r["text"]) for r in out.collect() if r["text"]) == [(1, "mail <EMAIL>!"), (3, "plain"), (4, "<PHONE> = <PHONE>")]
     assert out.filter("doc_id = 2").first()["text"] is None
+
+
+def test_time_is_linear_in_broken_and_unbroken_texts():
+    texts = ["a@b.co " + "x" * 1_000_000, "a@b.co " + "x at " * 200_000, "a@b.co " + "dot at " * 150_000, "555-123-4567 " * 40_000 + "a@b.co", "+1 (136) 555-7479 " + "1365557479 " * 20_000]
+    for text in texts:
+        began = time.monotonic()
+        pii.added_spans(text, pii.base_spans(text))
+        assert time.monotonic() - began < 10
+    assert pii.base_spans("0" * 9000 + "1.1.1.1") == [(1, 0, 9007)]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_messages_against_enumeration(seed):
+    """On a tree, message passing gives the marginals of all labellings."""
+    rng = np.random.default_rng(seed)
+    own, left, right, agree = rng.normal(size=(5, 3)), np.array([0, 0, 1, 1]), np.array([1, 2, 3, 4]), rng.uniform(0.3, 4.0, 4)
+    weight = np.zeros((5, 3))
+    for labels in itertools.product(range(3), repeat=5):
+        score = sum(own[i, k] for i, k in enumerate(labels)) + sum(g for a, b, g in zip(left, right, agree, strict=True) if labels[a] == labels[b])
+        for i, k in enumerate(labels):
+            weight[i, k] += np.exp(score)
+    belief = np.exp(pii.marginals(own, left, right, agree))
+    assert np.allclose(belief / belief.sum(1, keepdims=True), weight / weight.sum(1, keepdims=True), atol=2e-3)
