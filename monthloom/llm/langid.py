@@ -1,15 +1,16 @@
 """Language identification with bit-sliced Bloom filters over character n-grams.
 
-One filter serves all languages: slot ``s`` holds a bit mask with a bit per language, so a lookup of
-an n-gram reads ``HASHES`` slots and the bitwise AND of their masks names every language that
-contains it. A language's score counts its bits over all n-grams of the text (a popcount per bit),
+One filter serves all languages: slot ``s`` holds a bit mask with a bit per language, in words of
+``WORD`` bits, so a lookup of an n-gram reads ``HASHES`` slots and the bitwise AND of their masks names
+every language that contains it. A language's score counts its bits over all n-grams of the text (a popcount per bit),
 less what its own filter's fill lets through by chance: with ``N`` n-grams, ``h`` hits and a chance
 ``p``, ``(h - p N) / (1 - p)``.
 
 An n-gram belongs to a language when at least ``MIN_SHARE`` of that language's training documents
 contain it. Training reads at most ``TRAIN_DOCS`` whole documents a language, those whose ids hash
-lowest; the filter has ``2 ** SLOT_BITS`` slots of 64 bits whatever the corpus, which bounds the
-broadcast at 8 MB and the languages at 64. Prediction reads every whole text.
+lowest; the filter has ``2 ** SLOT_BITS`` slots whatever the corpus, so the broadcast is 8 MB for each
+``WORD`` languages and does not grow with the documents. Prediction reads every whole text; texts over a segment come in
+parts, which share characters and are not padded at the cuts, so that they have the n-grams of the whole.
 
 Cases: null text and text without a letter give ``und`` with score 0; text too short or too odd for
 any known n-gram gives the language with most training documents, score 0; without any training row
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from monthloom.llm.common import map_batches, segments, texts
 
 GRAM, SLOT_BITS, HASHES = 4, 20, 3
-TRAIN_DOCS, MIN_SHARE, MAX_LANGUAGES = 2000, 0.01, 64
+TRAIN_DOCS, MIN_SHARE, WORD = 2000, 0.01, 64
 ENOUGH = 20
 UNDETERMINED = "und"
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -39,7 +40,7 @@ FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 class LanguageFilter:
     languages: list[str]  # by bit
     prior: str
-    slots: np.ndarray  # uint64 masks
+    slots: np.ndarray  # uint64 masks, a row per word
     chance: np.ndarray  # by bit, of a false hit
 
 
@@ -48,20 +49,25 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
+def padded(batch: list[str]) -> list[str]:
+    """Lower-cased texts with space around them."""
+    return [f"  {text.lower()}  " for text in batch]
+
+
 def grams(group: list[tuple[int, str]], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the n-grams of lower-cased text, the entry of ``group`` each comes from, and letters per entry.
+    """Hashes of the n-grams of ``padded`` texts or their parts, the entry of ``group`` each comes from, and letters per entry.
 
     Whatever is no letter counts as one space; n-grams with two spaces in a row or no letter are left out.
     """
-    parts = [f"  {text.lower()}  " for _, text in group]
+    parts = [text for _, text in group]
     codes = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32).astype(np.uint64)
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
     owner = np.repeat(np.arange(len(parts)), sizes)
     letter = letters[codes]
     codes[~letter] = 32
-    n = len(codes) - GRAM + 1
+    n = max(0, len(codes) - GRAM + 1)
     value = np.zeros(n, np.uint64)
-    gap = np.zeros(n, bool)
+    gap = owner[:n] != owner[GRAM - 1 : GRAM - 1 + n]  # from one entry into the next
     for k in range(GRAM):
         value *= np.uint64(0x100000001B3)
         value += codes[k : k + n]
@@ -80,26 +86,31 @@ def train(docs: DataFrame, learn_from) -> LanguageFilter:
     """Filter learnt from the rows of ``docs(doc_id, text, lang)`` that fulfil the condition ``learn_from``."""
     rows = docs.filter(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    sizes = rows.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = rows.groupBy("lang").count().orderBy("lang").collect()
     if not sizes:
-        return LanguageFilter([], UNDETERMINED, np.zeros(1 << SLOT_BITS, np.uint64), np.zeros(0))
+        return LanguageFilter([], UNDETERMINED, np.zeros((1, 1 << SLOT_BITS), np.uint64), np.zeros(0))
     languages = [r["lang"] for r in sizes]
     # A hash threshold keeps about TRAIN_DOCS of each language; small languages stay whole.
-    share = F.element_at(F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(TRAIN_DOCS / r["count"]))]), F.col("lang"))
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000
+    known = [(r["lang"], TRAIN_DOCS / r["count"], min(r["count"], TRAIN_DOCS) * MIN_SHARE, i) for i, r in enumerate(sizes)]
+    known = docs.sparkSession.createDataFrame(known, "lang string, share double, floor double, place int")
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("share") * 1_000_000
     letters = _letters()
 
     def make():
         def count(batch: pa.RecordBatch) -> pa.RecordBatch:
             langs = batch.column(1).to_pylist()
             found: dict[str, list[np.ndarray]] = {}
-            for group in segments(texts(batch, "text"), GRAM - 1):
+            before = None
+            for group in segments(padded(texts(batch, "text")), GRAM - 1):
                 value, owner, _ = grams(group, letters)
                 ends = np.searchsorted(owner, np.arange(len(group) + 1))
                 for k, (i, _) in enumerate(group):
-                    found.setdefault(langs[i], []).append(np.unique(value[ends[k] : ends[k + 1]]))
+                    own = np.unique(value[ends[k] : ends[k + 1]])
+                    if before == (i, langs[i]):  # another part of the same text
+                        found[langs[i]][-1] = np.union1d(found[langs[i]][-1], own)
+                    else:
+                        found.setdefault(langs[i], []).append(own)
+                    before = i, langs[i]
             out = []
             for lang, parts in found.items():
                 value, n = np.unique(np.concatenate(parts), return_counts=True)
@@ -115,19 +126,17 @@ def train(docs: DataFrame, learn_from) -> LanguageFilter:
 
         return count
 
-    counted = map_batches(rows.filter(drawn), make, "lang string, gram bigint, docs bigint")
-    floor = F.element_at(
-        F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(r["count"], TRAIN_DOCS) * MIN_SHARE))]), F.col("lang")
-    )
-    members = counted.groupBy("lang", "gram").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= floor)
-    bit = F.element_at(F.create_map(*[x for i, name in enumerate(languages) for x in (F.lit(name), F.lit(1 << i if i < 63 else -(1 << 63)))]), F.col("lang"))
-    masks = members.groupBy("gram").agg(F.bit_or(bit.cast("bigint")).alias("mask")).toArrow()
-    slots = np.zeros(1 << SLOT_BITS, np.uint64)
+    counted = map_batches(rows.join(known, "lang").filter(drawn).select("doc_id", "lang", "text"), make, "lang string, gram bigint, docs bigint")
+    members = counted.groupBy("lang", "gram").agg(F.sum("docs").alias("docs")).join(known, "lang").filter(F.col("docs") >= F.col("floor"))
+    word = F.floor(F.col("place") / WORD).cast("int").alias("word")
+    bit = F.expr(f"shiftleft(1L, place % {WORD})")
+    masks = members.groupBy("gram", word).agg(F.bit_or(bit).alias("mask")).toArrow()
+    slots = np.zeros((-(-len(languages) // WORD), 1 << SLOT_BITS), np.uint64)
     value = masks.column("gram").to_numpy().view(np.uint64)
-    mask = masks.column("mask").to_numpy().view(np.uint64)
+    mask, row = masks.column("mask").to_numpy().view(np.uint64), masks.column("word").to_numpy()
     for which in range(HASHES):
-        np.bitwise_or.at(slots, slots_of(value, which), mask)
-    fill = np.array([np.count_nonzero(slots >> np.uint64(i) & np.uint64(1)) for i in range(len(languages))]) / len(slots)
+        np.bitwise_or.at(slots, (row, slots_of(value, which)), mask)
+    fill = np.array([np.count_nonzero(slots[i // WORD] >> np.uint64(i % WORD) & np.uint64(1)) for i in range(len(languages))]) / slots.shape[1]
     prior = max(sizes, key=lambda r: (r["count"], [-ord(c) for c in r["lang"]]))["lang"]
     return LanguageFilter(languages, prior, slots, np.minimum(fill**HASHES, 0.99))
 
@@ -136,16 +145,16 @@ def labelled(rows: int, batch_texts: list[str], own: LanguageFilter, letters: np
     """Language, score and number of n-grams of each text."""
     bits = len(own.languages)
     hits, total, seen = np.zeros((rows, max(bits, 1))), np.zeros(rows), np.zeros(rows)
-    for group in segments(batch_texts, GRAM - 1):
+    for group in segments(padded(batch_texts), GRAM - 1):
         value, owner, n_letters = grams(group, letters)
         index = np.array([i for i, _ in group])
-        mask = own.slots[slots_of(value, 0)]
+        mask = own.slots[:, slots_of(value, 0)]
         for which in range(1, HASHES):
-            mask &= own.slots[slots_of(value, which)]
+            mask &= own.slots[:, slots_of(value, which)]
         np.add.at(seen, index, n_letters)
         np.add.at(total, index, np.bincount(owner, minlength=len(group)))
         for b in range(bits):
-            on = (mask >> np.uint64(b) & np.uint64(1)).astype(bool)
+            on = (mask[b // WORD] >> np.uint64(b % WORD) & np.uint64(1)).astype(bool)
             np.add.at(hits[:, b], index, np.bincount(owner[on], minlength=len(group)))
     if not bits:
         return [UNDETERMINED] * rows, np.zeros(rows), total

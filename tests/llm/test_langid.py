@@ -35,13 +35,13 @@ def test_filter_returns_exactly_the_languages_of_an_ngram(model):
         counts = {}
         for _, text, own in rows():
             if own == lang:
-                for value in np.unique(langid.grams([(0, text)], letters)[0]).tolist():
+                for value in np.unique(langid.grams([(0, langid.padded([text])[0])], letters)[0]).tolist():
                     counts[value] = counts.get(value, 0) + 1
         sets[lang] = {v for v, n in counts.items() if n >= 40 * langid.MIN_SHARE}
     values = np.array(sorted(set().union(*sets.values())), np.uint64)
     mask = np.full(len(values), ~np.uint64(0))
     for which in range(langid.HASHES):
-        mask &= model.slots[langid.slots_of(values, which)]
+        mask &= model.slots[0, langid.slots_of(values, which)]
     wrong = 0
     for value, bits in zip(values.tolist(), mask.tolist(), strict=True):
         for b, lang in enumerate(model.languages):
@@ -65,6 +65,25 @@ def test_predictions_and_odd_texts(spark, model):
     assert sorted(r["doc_id"] for r in left.collect()) == [1, 1, 2, 6, 7, 8, 9]
 
 
+def test_more_languages_than_bits_in_a_word(spark):
+    """Each of 200 languages has words of its own."""
+    rows = [(8 * k + i, " ".join(f"{chr(0x4E00 + 40 * k + j)}{chr(0x4E00 + 40 * k + j + 1)}abc" for j in range(i, i + 12)), f"l{k:03}") for k in range(200) for i in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.train(frame, F.col("doc_id") % 8 < 6)
+    assert len(model.languages) == 200 and model.slots.shape[0] == 4
+    out = langid.predict(frame, model).join(frame.select("doc_id", "lang"), "doc_id").filter("doc_id % 8 >= 6")
+    assert out.filter("lang = lang_pred").count() == 400
+
+
+def test_parts_of_a_long_text_have_the_ngrams_of_the_whole():
+    letters = langid._letters()
+    text = langid.padded(["".join(chr(97 + i * i % 26) + (" " if i % 7 == 3 else "") for i in range(900)) + "İΣ"])
+    whole = langid.grams([(0, text[0])], letters)[0]
+    parts = [langid.grams(group, letters)[0] for group in segments([*text, *langid.padded(["ab", ""])], langid.GRAM - 1, 100)]
+    short = langid.grams([(0, langid.padded(["ab"])[0])], letters)[0]
+    assert sorted(np.concatenate(parts).tolist()) == sorted([*whole.tolist(), *short.tolist()])
+
+
 def test_without_training_rows(spark):
     frame = spark.createDataFrame([(1, "abc", None)], "doc_id bigint, text string, lang string")
     model = langid.train(frame, F.lit(True))
