@@ -9,9 +9,10 @@ and the filled sketch is cut into ``BANDS`` bands. Two sets of similarity 0.8 ag
 with probability 0.8 ** 8, and in none of 64 with 8e-6. In each band bucket with several classes,
 one of them, drawn by hash, is the pivot the others are compared with; that is linear in the
 bucket. A pair is estimated from its sketches, corrected for registers that agree by chance, and what
-is not clearly below the threshold is confirmed on the full sets. Linked classes merge, and the
-buckets that still hold classes of different components are compared with ``MORE_DRAWS`` newly
-drawn pivots.
+is not clearly below the threshold is confirmed on the full sets. Linked classes merge, and only what
+is then still in a bucket with classes of another component meets the next drawn pivot, as long as
+draws find links and at most ``MORE_DRAWS`` times more. Pairs whose sizes rule the threshold out are
+never made.
 
 Pivots only make the rest small. What is still undecided then is compared pair by pair on the full
 sets: buckets that share classes form a cell, and a cell, or each of its buckets where that is less
@@ -170,7 +171,7 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose estimate does not rule the threshold out."""
     need, out_of = SIMILARITY
     side = lambda name: classes.select(F.col("id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"sketch_{name}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(F.least("n_a", "n_b") * out_of >= F.greatest("n_a", "n_b") * need)
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def make():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -225,23 +226,24 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _undecided(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``key, id, component`` of the buckets that hold several components."""
+    """``key, id, n_shingles, component`` of the buckets that hold several components."""
     placed = members.withColumn("component", F.col("id"))
     if labels is not None:
-        placed = members.join(labels, members["id"] == labels["node"], "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        placed = members.join(labels, members["id"] == labels["node"], "left").select("key", "id", "n_shingles", F.coalesce("component", "id").alias("component"))
     several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     return placed.join(several.select("key"), "key")
 
 
-def _star_pairs(members: DataFrame, draws: range) -> DataFrame:
-    """In each bucket, the members of other components paired with a drawn pivot, for every draw.
+def _star_pairs(members: DataFrame, draw: int) -> DataFrame:
+    """In each bucket, the members of other components, of a size near enough, paired with a drawn pivot.
 
     A draw ranks the classes alike in all buckets, so a class meets few different pivots in its 64.
     """
-    pivots = [F.min(F.struct(F.xxhash64("id", F.lit(draw)).alias("order"), F.col("id"), F.col("component"))) for draw in draws]
-    buckets = members.groupBy("key").agg(F.array_distinct(F.array(*pivots)).alias("pivots"))
-    pairs = members.join(buckets.select("key", F.explode("pivots").alias("pivot")), "key")
-    pairs = pairs.filter(F.col("component") != F.col("pivot.component"))
+    need, out_of = SIMILARITY
+    pivot = F.min(F.struct(F.xxhash64("id", F.lit(draw)).alias("order"), "id", "n_shingles", "component")).alias("pivot")
+    pairs = members.join(members.groupBy("key").agg(pivot), "key").filter(F.col("component") != F.col("pivot.component"))
+    sizes = F.col("n_shingles"), F.col("pivot.n_shingles")
+    pairs = pairs.filter(F.least(*sizes) * out_of >= F.greatest(*sizes) * need)
     return pairs.select(F.greatest("id", "pivot.id").alias("a"), F.least("id", "pivot.id").alias("b")).distinct()
 
 
@@ -354,23 +356,28 @@ def groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     by_set = materialise(some.groupBy("finger").agg(F.min("doc_id").alias("id")))
     classes = materialise(by_set.join(rows.withColumnRenamed("doc_id", "id"), ["finger", "id"]).dropDuplicates(["id"]))
     shared = _bands(classes).groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high")
-    members = materialise(_bands(classes).join(shared.select("key"), "key"))
+    members = _bands(classes).join(shared.select("key"), "key")
+    members = materialise(members.join(classes.select("id", "n_shingles"), "id").select("key", "id", "n_shingles"))
     classes = materialise(classes.join(members.select("id").distinct(), "id", "left_semi"))
     sets = materialise(_sets(docs, classes.select("id", "finger"), width))
 
     links = tried = labels = None
-    for draws in (range(1), range(1, 1 + MORE_DRAWS), None):
-        members = materialise(_undecided(members.select("key", "id"), labels))
-        if draws:
-            pairs = _star_pairs(members, draws)
-            pairs = materialise(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-            tried = pairs if tried is None else tried.unionByName(pairs)
-            new = materialise(_confirmed(_likely(pairs, classes), sets))
-        else:
-            new = materialise(_rest(members, sets))
-        if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            labels = components(links)
+    for draw in range(1 + MORE_DRAWS):
+        members = materialise(_undecided(members.select("key", "id", "n_shingles"), labels))
+        pairs = _star_pairs(members, draw)
+        pairs = materialise(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        new = materialise(_confirmed(_likely(pairs, classes), sets))
+        if new.isEmpty():
+            break
+        links = new if links is None else links.unionByName(new)
+        labels = components(links)
+    else:
+        members = materialise(_undecided(members.select("key", "id", "n_shingles"), labels))
+    new = materialise(_rest(members, sets))
+    if not new.isEmpty():
+        links = new if links is None else links.unionByName(new)
+        labels = components(links)
     found = rows.join(some.join(by_set, "finger").select("doc_id", "id"), "doc_id", "left")
     if labels is not None:
         found = found.join(labels, F.col("id") == labels["node"], "left").withColumn("id", F.coalesce("component", "id"))
