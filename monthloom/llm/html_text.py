@@ -1,8 +1,9 @@
 """Main text of web pages, with removal of each site's template.
 
-Two passes over the pages. The first parses a page into elements and hashes the subtree (tag and
-text) of every container that does not hold the article, and of the article; Spark counts, per host, the pages each hash
-occurs on. A hash on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of the host's pages is template.
+Two passes over the pages. The first parses a page into elements and hashes, from the leaves up, the subtree (tags and
+text) of every container that does not hold the article, and of the article. Containers outside the article whose text
+is all links also get a hash of their shape (tags and classes without text or repeated neighbours), so that
+navigation recurs though its links change. Spark counts, per host, the pages each hash occurs on. A hash on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of the host's pages is template.
 As a page has so many subtrees and each template hash takes a share of the pages, a host's list holds
 at most ``subtrees per page / MIN_SHARE`` hashes. The second pass joins a page with its host's list,
 deletes the recurring subtrees and what markup itself names as furniture (navigation, headers,
@@ -11,7 +12,7 @@ that remain in the article, else in the main part, else in the body.
 
 Paragraphs, headings and list items that recur are text, not template, and an article that recurs as a
 whole is a copy, inside which nothing counts as template. A text block's white space becomes single spaces; blocks are joined by an
-empty line.
+empty line. Class words do not remove ``html``, ``body``, the only article, or what would leave the page without text.
 
 Cases: null or empty html gives an empty text; broken markup never fails (an unclosed tag, comment
 or quote ends at its line's next ">" or the end); a null or odd url counts as the host ""; repeated
@@ -67,8 +68,13 @@ WORDS = frozenset(
     "skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 
+#: With one of these a class names a state of the page, not an element.
+STATES = frozenset("has no with without open closed on off enabled disabled".split())
+#: What "related" has to stand beside, or alone, to name furniture.
+RELATED = frozenset("article articles content items links news pages post posts products reading stories topics videos".split())
+
 TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
+    r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
 )
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -76,14 +82,16 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "depth", "dropped", "main")
+    __slots__ = ("tag", "parent", "children", "depth", "dropped", "named", "main", "classes", "holds", "heading", "subtree", "shape", "links", "other")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
         self.depth = parent.depth + 1 if parent is not None else 0
         self.main = tag in ("article", "main")
         self.dropped = tag in UNSEEN or tag in FURNITURE
-        if attributes and not self.dropped:
+        self.named = False  # as furniture, by class or id
+        self.classes = ""
+        if attributes and not self.dropped and tag not in ("html", "body"):
             self.read(attributes)
         if parent is not None:
             parent.children.append(self)
@@ -92,7 +100,8 @@ class Element:
         for m in ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), (m[2] or "").strip("\"'")
             if name in ("class", "id"):
-                self.dropped |= not WORDS.isdisjoint(re.split(r"[\s_-]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower()))
+                self.named |= any(map(names_furniture, value.split()))
+                self.classes += value if name == "class" else ""
             elif name == "role":
                 self.dropped |= value.lower() in ROLES
                 self.main |= value.lower() in ("main", "article")
@@ -102,6 +111,13 @@ class Element:
                 self.dropped |= name == "hidden" or value.lower() == "true"
 
 
+def names_furniture(token: str) -> bool:
+    words = set(re.split(r"[_-]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", token).lower()))
+    if len(words) > 1 and "related" in words and words.isdisjoint(RELATED):
+        words.discard("related")
+    return words.isdisjoint(STATES) and not words.isdisjoint(WORDS)
+
+
 def parse(html: str) -> Element:
     """Tree of elements and strings (character references not yet decoded)."""
     root = Element("#root", None)
@@ -157,54 +173,76 @@ def close(here: Element, names: set[str], stops: set[str]) -> Element:
     return found.parent if found else here
 
 
-def strings(node: Element) -> list[str]:
-    out: list[str] = []
-    for child in node.children:
-        if isinstance(child, str):
-            out.append(child)
-        else:
-            if child.tag not in UNSEEN:
-                out += strings(child) if child.tag not in BLOCK and child.tag != "br" else [" ", *strings(child), " "]
-    return out
-
-
-def subtree_hash(node: Element) -> int | None:
-    text = " ".join("".join(strings(node)).split())
-    return xxhash.xxh3_64_intdigest(f"{node.tag}\n{text}") - (1 << 63) if text else None
-
+def digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
-def holds_main(node: Element) -> bool:
-    return node.main or any(holds_main(c) for c in node.children if not isinstance(c, str))
 
-
-def holds_heading(node: Element) -> bool:
-    return node.tag == "h1" or any(holds_heading(c) for c in node.children if not isinstance(c, str))
-
-
-def containers(node: Element, out: list[Element]) -> list[Element]:
-    """Container elements, outer ones first, without those that hold the article; and the article itself."""
+def measure(node: Element, hashes: bool) -> Element:
+    """Sets, from the leaves up, whether an element holds the article or a main heading and, with ``hashes``, what it is and looks like."""
+    parts, shapes, links, other = [], [], 0, False
+    node.holds, node.heading = node.main, node.tag == "h1"
+    for child in node.children:
+        if isinstance(child, str):
+            if hashes and (text := " ".join(child.split())):
+                parts.append(text)
+                other = True
+            continue
+        measure(child, hashes)
+        node.holds |= child.holds
+        node.heading |= child.heading
+        if hashes and child.tag not in UNSEEN:
+            if child.subtree is not None:
+                parts.append(f"\0{child.subtree}")
+            if not shapes or shapes[-1] != child.shape:
+                shapes.append(child.shape)
+            links += child.links
+            other |= child.other
+    if hashes:
+        is_link = node.tag == "a" and bool(parts)
+        node.subtree = digest("\n".join([node.tag, *parts])) if parts else None
+        node.shape = digest("\n".join(["\0shape", node.tag, re.sub(r"[0-9]+", "", node.classes), *map(str, shapes)]))
+        node.links, node.other = (1, False) if is_link else (links, other)
+    return node
+
+
+def navigates(node: Element) -> bool:
+    return node.links > 1 and not node.other
+
+
+def subtrees(node: Element, found: set[int], inside: bool = False) -> set[int]:
+    """Hashes of the containers that do not hold the article, of the article itself, and of the shapes of navigation."""
     for child in node.children:
         if not isinstance(child, str):
-            if child.main or child.tag in CONTAINER and not holds_main(child):
-                out.append(child)
-            containers(child, out)
-    return out
+            if child.subtree is not None and (child.main or child.tag in CONTAINER and not child.holds):
+                found.add(child.subtree)
+                if not inside and not child.main and navigates(child):
+                    found.add(child.shape)
+            subtrees(child, found, inside or child.main)
+    return found
+
+
+def spare(node: Element) -> bool:
+    """Whether an article or main part stands here that nothing names as furniture."""
+    return any(not isinstance(c, str) and (c.main and not (c.dropped or c.named) or spare(c)) for c in node.children)
 
 
-def remove_furniture(node: Element, template: frozenset[int], inside: bool = False) -> None:
+def remove_furniture(node: Element, template: frozenset[int], words: bool, spared: bool, inside: bool = False) -> None:
+    """``words``: whether classes and ids count; ``spared``: whether an article is left that they do not name."""
     kept = []
     for child in node.children:
         if isinstance(child, str):
             kept.append(child)
             continue
-        holds = holds_main(child) or inside and holds_heading(child)
+        holds = child.holds or inside and child.heading
         header = child.tag == "header" and not inside
-        recurring = bool(template) and child.tag in CONTAINER and not holds and subtree_hash(child) in template
-        if (child.tag in UNSEEN or not holds and (child.dropped or header or recurring)) or (child.main and child.dropped):
+        recurring = bool(template) and child.tag in CONTAINER and not holds
+        recurring = recurring and (child.subtree in template or not inside and navigates(child) and child.shape in template)
+        named = words and child.named
+        if child.tag in UNSEEN or not holds and (child.dropped or named or header or recurring) or child.main and (child.dropped or named and spared):
             continue
         kept.append(child)
-        copied = child.main and bool(template) and subtree_hash(child) in template
-        remove_furniture(child, frozenset() if copied else template, inside or child.main)
+        copied = child.main and bool(template) and child.subtree in template
+        remove_furniture(child, frozenset() if copied else template, words, spared, inside or child.main)
     node.children = kept
 
 
@@ -246,9 +284,10 @@ def blocks(nodes: list[Element]) -> list[str]:
 
 
 def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
-    for own in dict.fromkeys((template, frozenset())):  # a page that is nothing but template keeps its text
-        root = parse(html)
-        remove_furniture(root, own)
+    nothing: frozenset[int] = frozenset()
+    for own, words in dict.fromkeys(((template, True), (nothing, True), (nothing, False))):  # a page that is nothing but template keeps its text
+        root = measure(parse(html), bool(own))
+        remove_furniture(root, own, words, spare(root))
         for nodes in (mains(root, "article"), mains(root, "main"), [root]):
             if found := blocks(nodes):
                 return "\n\n".join(found)
@@ -266,7 +305,7 @@ def templates(pages: DataFrame) -> DataFrame:
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             hosts, hashes = [], []
             for host, html in zip(batch.column(0).to_pylist(), texts(batch, "html"), strict=True):
-                own = {h for node in containers(parse(html), []) if (h := subtree_hash(node)) is not None} if html else set()
+                own = subtrees(measure(parse(html), True), set()) if html else set()
                 hosts += [host] * (len(own) + 1)
                 hashes += [None, *own]
             return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], ["host", "subtree"])
