@@ -173,17 +173,19 @@ def dedup(docs: DataFrame, capacity: int = BUCKET_CHAINS, prefix_bits: int = PRE
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all columns: of equal texts the one with the largest ``doc_id``."""
+    # Helper columns whose names no column of the input starts with.
+    mark = "_" * (1 + max(len(c) for c in docs.columns))
+    row_id, n_rows, is_kept, sha, kept_sha, at = (mark + name for name in ("id", "rows", "kept", "sha", "kept_sha", "at"))
     decided = materialise(dedup(docs).select("doc_id", "kept", "sha"))
-    ids = decided.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows"), F.max("kept").alias("__kept"))
-    ids = ids.withColumnRenamed("doc_id", "__id")
-    gone, often = ids.filter("__rows = 1 and not __kept"), ids.filter("__rows > 1")
-    same_id = F.col("doc_id").eqNullSafe(F.col("__id"))
+    ids = decided.groupBy(F.col("doc_id").alias(row_id)).agg(F.count(F.lit(1)).alias(n_rows), F.max("kept").alias(is_kept))
+    gone, often = ids.filter((F.col(n_rows) == 1) & ~F.col(is_kept)), ids.filter(F.col(n_rows) > 1)
+    same_id = F.col("doc_id").eqNullSafe(F.col(row_id))
     single = docs.join(gone.unionByName(often), same_id, "left_anti")
     # Several rows of one id: decided by id and text, and one of equal rows stays.
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     several = docs.join(often, same_id, "left_semi")
-    several = several.withColumn("__sha", F.sha2(F.translate(F.coalesce("text", F.lit("")), upper, lower).cast("binary"), 256))
-    several = several.withColumn("__at", F.row_number().over(Window.partitionBy("doc_id", "__sha").orderBy(F.lit(1))))
-    kept = decided.filter("kept").select(F.col("doc_id").alias("__id"), F.lower(F.hex("sha")).alias("__kept_sha"))
-    kept = several.join(kept, same_id & (F.col("__sha") == F.col("__kept_sha")), "left_semi").filter("__at = 1")
+    several = several.withColumn(sha, F.sha2(F.translate(F.coalesce("text", F.lit("")), upper, lower).cast("binary"), 256))
+    several = several.withColumn(at, F.row_number().over(Window.partitionBy("doc_id", sha).orderBy(F.lit(1))))
+    kept = decided.filter("kept").select(F.col("doc_id").alias(row_id), F.lower(F.hex("sha")).alias(kept_sha))
+    kept = several.join(kept, same_id & (F.col(sha) == F.col(kept_sha)), "left_semi").filter(F.col(at) == 1)
     return single.unionByName(kept.select(docs.columns))

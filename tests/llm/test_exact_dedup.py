@@ -40,6 +40,14 @@ def test_keep_one_keeps_columns_and_one_row_of_each_text(docs):
     assert found == sorted([(10, "Ab c"), (3, "ab  c"), (5, ""), (6, "É"), (7, "é"), (9, "XXXXX"), (None, "only")], key=repr)
 
 
+def test_keep_one_with_columns_named_like_helpers(spark):
+    rows = [(1, "a", 5, "x", 1), (2, "A", 6, "y", 2), (2, "b", 7, "z", 3), (2, "b", 7, "z", 3)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, __id int, ____sha string, `_at` int")
+    left = exact_dedup.keep_one(frame)
+    assert left.columns == frame.columns
+    assert sorted(map(tuple, left.collect())) == [(2, "A", 6, "y", 2), (2, "b", 7, "z", 3)]
+
+
 def test_directory_doubles_only_where_needed():
     directory, depth = exact_dedup.grow_directory({0: 9, 1: 1, 6: 2, 7: 2}, 4, 3)
     assert depth == 3
