@@ -82,9 +82,9 @@ class Remembered:
         if len(self.now) > self.most:
             self.old, self.now = self.now, {}
         missing = keys.difference(self.now)
-        for key in missing.intersection(self.old):
-            self.now[key] = self.old[key]
-        return missing.difference(self.old)
+        kept = [key for key in missing if key in self.old]
+        self.now.update((key, self.old[key]) for key in kept)
+        return missing.difference(kept)
 
 
 def segments(batch: list[str], overlap: int, limit: int = 1 << 18) -> Iterator[list[tuple[int, str]]]:
