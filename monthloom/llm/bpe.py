@@ -7,7 +7,7 @@ before, and the symbol that vanishes) and their ancestors. The loop ends when th
 
 Short pieces of a batch are merged in step, one row of a tree matrix each; long ones (a run without
 spaces can be a whole document) take ``n log n`` steps alone. Text is cut at white space, where no
-piece can cross, and what follows a cut is remembered per task up to ``CACHE`` entries.
+piece can cross; what follows a cut and the pieces in it are remembered per task, up to ``CACHE`` entries each.
 
 The vocabulary file is named by its path, which every executor must have. Cases: a null text has no
 tokens; the special token's own string becomes its id, as the file says; any text survives
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from monthloom.llm.common import WHITE, Remembered, map_batches, slices, texts
 
 CACHE = 150_000
+GATHER = 1 << 20  # characters of texts whose unseen pieces are merged together
 WIDEST = 64  # bytes of a piece that is merged in step with others
 NONE = np.int64(1 << 62)
 CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -72,7 +74,7 @@ class Codec:
         self.pattern = piece_pattern()
         self.special_ids = {s: np.array([i], "<u4").tobytes() for s, i in self.special.items()}
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.known = Remembered(CACHE)
+        self.known, self.pieces = Remembered(CACHE), Remembered(CACHE)
 
     def ranks(self, left: np.ndarray, right: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
         """Leaf values of pairs starting at ``at``; ``NONE`` where no merge exists or ``right`` is -1."""
@@ -175,9 +177,10 @@ class Codec:
 
     def learn(self, chunks: set[str]) -> None:
         """Adds the ids of unseen chunks."""
-        cut = {c: [p.encode() for p in self.pattern.findall(c)] for c in chunks}
-        pieces = list(dict.fromkeys(chain.from_iterable(cut.values())))
-        ids = dict(zip(pieces, self.merge(pieces), strict=True))
+        cut = {c: self.pattern.findall(c) for c in chunks}
+        fresh = list(self.pieces.unknown(set(chain.from_iterable(cut.values()))))
+        ids = self.pieces.now
+        ids.update(zip(fresh, self.merge([p.encode() for p in fresh]), strict=True))
         for c, own in cut.items():
             self.known.now[c] = ids[own[0]] if len(own) == 1 else b"".join([ids[p] for p in own])
         self.known.now.update(self.special_ids)
@@ -188,9 +191,13 @@ class Codec:
         for text in batch:
             parts = self.split_special.split(text) if self.special and any(s in text for s in self.special) else (text,)
             cut.append([c for part in parts for c in ([part] if part in self.special else CHUNK.findall(part))])
-        self.learn(self.known.unknown(set().union(*cut)).difference(self.special))
-        known = self.known.now
-        return [np.frombuffer(b"".join([known[c] for c in chunks]), "<u4") for chunks in cut]
+        found = [list(map(self.known.now.get, chunks)) for chunks in cut]
+        gaps = [[i for i, ids in enumerate(own) if ids is None] if None in own else [] for own in found]
+        self.learn(self.known.unknown({chunks[i] for chunks, own in zip(cut, gaps, strict=True) for i in own}).difference(self.special))
+        for chunks, own, ids in zip(cut, gaps, found, strict=True):
+            for i in own:
+                ids[i] = self.known.now[chunks[i]]
+        return [np.frombuffer(b"".join(ids), "<u4") for ids in found]
 
     def decode(self, ids: list[int]) -> str:
         """Text of token ids; bytes that are not UTF-8 become the replacement character."""
@@ -202,6 +209,19 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def gathered(batch: list[str]) -> Iterator[list[str]]:
+    """The texts in groups of about ``GATHER`` characters."""
+    group, size = [], 0
+    for text in batch:
+        group.append(text)
+        size += len(text)
+        if size >= GATHER:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids``: the token ids of each whole text."""
 
@@ -209,7 +229,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         own = codec(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [x for part in slices(batch) for x in own.encode(texts(part))]
+            ids = [x for group in gathered(texts(batch)) for x in own.encode(group)]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             values = np.concatenate([*ids, np.array([], "<u4")]).astype(np.int32)
             return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["doc_id", "ids"])
