@@ -8,21 +8,24 @@ from pyspark.sql import functions as F
 from monthloom.sources.scratch import materialise
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one edge, to a node that has none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.filter("up > 1 or up + down > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges(a, b)`` that is not the smallest of its component.
 
-    Alternates two steps until nothing changes: every node links its larger neighbours, then its
+    Alternates two steps until the edges are stars: every node links its larger neighbours, then its
     smaller ones and itself, to its smallest neighbour. Each is a minimum per node, combined before
     the shuffle, and a join; the number of edges never grows.
     """
     greater, less = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     edges = materialise(edges.filter("a <> b").select(greater, less).distinct())
-    state = _state(edges)
-    while True:
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         edges = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -30,6 +33,4 @@ def components(edges: DataFrame) -> DataFrame:
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         linked = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = materialise(linked.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        before, state = state, _state(edges)
-        if state == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -11,8 +11,8 @@ one of them, drawn by hash, is the pivot the others are compared with; that is l
 bucket. A pair is estimated from its sketches, corrected for registers that agree by chance, and what
 is not clearly below the threshold is confirmed on the full sets. Linked classes merge, and only what
 is then still in a bucket with classes of another component meets the next drawn pivot, as long as
-draws find links and at most ``MORE_DRAWS`` times more. Pairs whose sizes rule the threshold out are
-never made.
+at least one in ``WORTHWHILE`` pairs of a draw is a link and at most ``MORE_DRAWS`` times more. Pairs
+whose sizes rule the threshold out are never made.
 
 Pivots only make the rest small. What is still undecided then is compared pair by pair on the full
 sets: buckets that share classes form a cell, and a cell, or each of its buckets where that is less
@@ -45,7 +45,7 @@ BUCKET_BITS, MANTISSA, ROWS = 9, 10, 8
 REGISTERS = 1 << BUCKET_BITS
 BANDS = REGISTERS // ROWS
 SIGMAS = 6
-MORE_DRAWS = 8
+MORE_DRAWS, WORTHWHILE = 8, 50
 PART_ROWS, PART_BYTES = 512, 1 << 21
 
 SKETCH = "doc_id bigint, n_shingles bigint, finger binary, sketch binary"
@@ -368,15 +368,18 @@ def groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
         pairs = materialise(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         tried = pairs if tried is None else tried.unionByName(pairs)
         new = materialise(_confirmed(_likely(pairs, classes), sets))
-        if new.isEmpty():
-            break
-        links = new if links is None else links.unionByName(new)
+        n_new = new.count()
+        if n_new:
+            links = new if links is None else links.unionByName(new)
+        if n_new * WORTHWHILE < max(1, pairs.count()):
+            break  # the rest may meet these few links again
         labels = components(links)
     else:
         members = materialise(_undecided(members.select("key", "id", "n_shingles"), labels))
     new = materialise(_rest(members, sets))
     if not new.isEmpty():
         links = new if links is None else links.unionByName(new)
+    if links is not None:
         labels = components(links)
     found = rows.join(some.join(by_set, "finger").select("doc_id", "id"), "doc_id", "left")
     if labels is not None:
