@@ -362,3 +362,24 @@ def test_text_and_vector_forms(frame):
     assert vectors["a"].size == 6 and list(vectors["a"].indices) == [0, 2, 5]
     assert list(vectors["b"].indices) == []
     assert rows.to_triples(data).count() == 5
+
+
+EDGE = (42.0, 47.0, 92.0, 18.0, 14.0, 12.0, 64.0, 25.0)  # the third and the seventh are sums of three months
+
+
+def edge_users(frame):
+    """Users with the same values under different fields, the first one's 42 of 210 under field 131."""
+    rng, rows = random.Random(4), []
+    for user in range(300):
+        order = [0, *rng.sample(range(1, 8), 7)]
+        for field, at in enumerate(order, 131):
+            rows += [(str(user), m, field, EDGE[at] if m == 0 else 0.0) for m in range(3 if at in (2, 6) else 1)]
+    stats = frame([(f, 0.0, 1000.0) for f in range(131, 139)], RANGES)
+    return frame(rows, OBS), frame([(f, f - 131) for f in range(131, 139)], CATALOGUE), stats
+
+
+def test_a_share_on_the_edge_of_a_bin_is_the_same_for_any_order_of_the_fields(frame):
+    """42 of 210, which the same eight values sum to in one order and to 210.00000000000003 in another."""
+    obs, fields, stats = edge_users(frame)
+    hot = blocks.onehot_rate(obs, fields, stats).filter("idx < 5").groupBy("idx").count().collect()
+    assert [(r["idx"], r["count"]) for r in hot] == [(1, 300)]
