@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from monthloom.operators import blocks, missing, profile, rows
 from monthloom.plans.encode import encode_layout
-from monthloom.plans.layouts import LAYOUTS, Catalogues, Changes, LogPairs, Missing, Profile, Values
+from monthloom.plans.layouts import LAYOUTS, Catalogues, Changes, LogPairs, Missing, Profile, Shares, Values
 from monthloom.schema import FIELD_GROUPS
 from tests import plain
 
@@ -383,3 +383,10 @@ def test_a_share_on_the_edge_of_a_bin_is_the_same_for_any_order_of_the_fields(fr
     obs, fields, stats = edge_users(frame)
     hot = blocks.onehot_rate(obs, fields, stats).filter("idx < 5").groupBy("idx").count().collect()
     assert [(r["idx"], r["count"]) for r in hot] == [(1, 300)]
+
+
+def test_a_share_in_a_row_is_the_same_for_any_order_of_the_fields(frame):
+    obs, fields, stats = edge_users(frame)
+    users = obs.select("user").distinct().select("user", F.lit(0).alias("label"))
+    laid = encode_layout(users, obs, stats, [Shares(fields, 0)]).select(F.explode("tokens").alias("t"))
+    assert [r["value"] for r in laid.filter("t.idx = 1").select("t.value").distinct().collect()] == [0.2]
