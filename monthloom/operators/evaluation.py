@@ -6,12 +6,13 @@ distinct scores, so no task ever sorts all rows.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthloom.functions.scaling import required
@@ -23,6 +24,8 @@ WINDOW_WEIGHTS = (0.25, 0.25, 0.25, 0.25)
 MODEL_WEIGHTS = (0.2, 0.8)
 # Fixed value: equal-count parts per optimised bin between which cuts are tried.
 CLUMPS = 15
+# Cells of grids that a task holds at once.
+TASK_CELLS = 2_000_000
 GRIDS = "axis string, bins bigint, levels bigint, score double"
 CELLS = pa.schema(
     [("axis", pa.string()), *[(c, pa.int64()) for c in ("levels", "users", "most")], ("cells", pa.list_(pa.int64())), ("n", pa.list_(pa.int64()))]
@@ -82,47 +85,70 @@ def _below(pairs: DataFrame, axis: str) -> DataFrame:
     return ranked.select(axis, F.col("before_n").alias(f"{axis}_below"), F.col("all_n").alias("users"))
 
 
+def _grid_cells(placed: DataFrame, users: int, allowed: int, numbers: list[int], rows: int, x_first: bool) -> DataFrame:
+    """``(a, b, cells)``, the sum of ``n * ln(n)`` over the cells of every grid with fewer bins on the first axis, or as many.
+
+    The pairs are reduced to the bins of that axis first. A task then makes the grids of one number of bins there and a run of
+    numbers on the other axis, and holds at most some ``TASK_CELLS`` cells at once, however many users there are.
+    """
+    own, other, few, many = ("x_below", "y_below", "a", "b") if x_first else ("y_below", "x_below", "b", "a")
+    bin_of = lambda below, bins: F.floor(F.col(below) * F.col(bins) / users)
+    run = max(1, TASK_CELLS // min(allowed, rows))
+    plan = []  # runs of numbers on the second axis as places in the list; equal numbers belong to the first pass
+    for k in (k for k in numbers if k * k <= allowed):
+        start, end = (bisect_left if x_first else bisect_right)(numbers, k), bisect_right(numbers, allowed // k)
+        plan += [(k, i, i + 1, min(run, end - i)) for i in range(start, end, run)]
+    if not plan:
+        return placed.sparkSession.createDataFrame([], "a bigint, b bigint, cells double")
+    runs = materialise(placed.sparkSession.createDataFrame(plan, "few bigint, run int, start int, length int").coalesce(1))
+    each = placed.withColumn("few", F.explode(F.lit(sorted({few for few, *_ in plan})).cast("array<bigint>")))
+    narrow = each.groupBy("few", bin_of(own, "few").alias("bin"), other).agg(F.sum("n").alias("n"))
+    spread = narrow.join(runs, "few").repartition(len(plan), "few", "run")
+    some = F.slice(F.lit(numbers).cast("array<bigint>"), F.col("start"), F.col("length"))
+    grids = spread.select("few", "run", "bin", other, "n", F.explode(some).alias("many"))
+    cells = grids.groupBy("few", "run", "many", "bin", bin_of(other, "many").alias("cell")).agg(F.sum("n").alias("n"))
+    summed = cells.groupBy("few", "run", "many").agg(F.sum(_xlogx("n")).alias("cells"))
+    return summed.select(F.col("few").alias(few), F.col("many").alias(many), "cells").select("a", "b", "cells")
+
+
+def _xlogx(n: str) -> Column:
+    return F.col(n) * F.log(F.col(n).cast("double"))
+
+
+def _axis_bins(placed: DataFrame, users: int, numbers: list[int], below: str, name: str) -> DataFrame:
+    """Per number of bins of one axis, the sum of ``n * ln(n)`` over its bins."""
+    scores = placed.groupBy(below).agg(F.sum("n").alias("n"))
+    each = scores.withColumn(name, F.explode(F.lit(numbers).cast("array<bigint>")))
+    bins = each.groupBy(name, F.floor(F.col(below) * F.col(name) / users).alias("bin")).agg(F.sum("n").alias("n"))
+    return bins.groupBy(name).agg(F.sum(_xlogx("n")).alias(f"of_{name}"))
+
+
 def grid_scores(
     first: DataFrame, second: DataFrame, exponent: float = 0.6, axis: Sequence[int] | None = None
 ) -> DataFrame:
     """Normalised mutual information of two score columns on every equal-count grid.
 
     Grids have from 2 bins per axis on and at most ``users ** exponent`` cells. Bins come from the
-    number of lower scores, so tied users share a bin. The work is users times grids; ``axis`` names
-    the numbers of bins to try instead of all, for tables where that is too much.
+    number of lower scores, so tied users share a bin. The work is at most distinct pairs of scores times grids; ``axis`` names
+    the numbers of bins to try instead of all, for tables where that is too much. The sums over columns and rows belong to a
+    number of bins, not to a grid, so only the cells are counted per grid.
     """
     joined = first.select("user_id", F.col("ovd_rate").alias("x")).join(
         second.select("user_id", F.col("ovd_rate").alias("y")), "user_id"
     )
-    pairs = joined.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
-    placed = pairs.join(_below(pairs, "x"), "x").join(_below(pairs, "y").drop("users"), "y")
-    cells_allowed = F.floor(F.pow(F.col("users"), F.lit(exponent)))
-
-    def numbers(most):
-        if axis is None:
-            return F.sequence(F.lit(2).cast("bigint"), most)
-        return F.filter(F.lit([int(k) for k in axis]).cast("array<bigint>"), lambda k: (k >= 2) & (k <= most))
-
-    grids = (
-        placed.filter(cells_allowed >= 4)
-        .withColumn("a", F.explode(numbers(F.floor(cells_allowed / 2))))
-        .withColumn("b", F.explode(numbers(F.floor(cells_allowed / F.col("a")))))
-        .select("a", "b", "users", "x_below", "y_below", "n")
-    )
-    bin_x = F.floor(F.col("x_below") * F.col("a") / F.col("users")).alias("bx")
-    bin_y = F.floor(F.col("y_below") * F.col("b") / F.col("users")).alias("by")
-    cells = grids.groupBy("a", "b", "users", bin_x, bin_y).agg(F.sum("n").alias("n"))
-    in_column = F.sum("n").over(Window.partitionBy("a", "b", "bx"))
-    in_row = F.sum("n").over(Window.partitionBy("a", "b", "by"))
-    n, users = F.col("n"), F.col("users")
-    gain = n / users * F.log(n * users / (F.col("nx") * F.col("ny")))
+    pairs = materialise(joined.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")))
+    placed = materialise(pairs.join(_below(pairs, "x"), "x").join(_below(pairs, "y").drop("users"), "y").select("x_below", "y_below", "n"))
+    rows, users, allowed = placed.agg(  # three numbers
+        F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.floor(F.pow(F.coalesce(F.sum("n"), F.lit(0)).cast("double"), F.lit(exponent)))
+    ).head()
+    numbers = [k for k in (range(2, allowed // 2 + 1) if axis is None else sorted(set(axis))) if 2 <= k <= allowed // 2]
+    if not numbers:
+        return placed.sparkSession.createDataFrame([], "a bigint, b bigint, score double")
+    cells = reduce(DataFrame.unionByName, [_grid_cells(placed, users, allowed, numbers, rows, x_first) for x_first in (True, False)])
+    of_a, of_b = (materialise(_axis_bins(placed, users, numbers, below, name)) for below, name in (("x_below", "a"), ("y_below", "b")))
+    gain = (F.col("cells") - F.col("of_a") - F.col("of_b")) / users + F.log(F.lit(float(users)))
     smaller = F.log(F.least("a", "b").cast("double"))
-    return (
-        cells.withColumn("nx", in_column)
-        .withColumn("ny", in_row)
-        .groupBy("a", "b")
-        .agg((F.sum(gain) / smaller).alias("score"))
-    )
+    return cells.join(of_a, "a").join(of_b, "b").select("a", "b", (F.greatest(gain, F.lit(0.0)) / smaller).alias("score"))
 
 
 def best_cuts(cells: np.ndarray, most: int) -> np.ndarray:
