@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import checks.queries as queries
 from checks.queries import Inputs
-from monthloom.operators import evaluation, statistics
+from monthloom.operators import evaluation, model, statistics
 from monthloom.sources.retail import retail_obs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -52,3 +52,11 @@ def test_grids_are_spread_over_tasks_of_a_bounded_number_of_cells(spark, frame,
     assert {(r["a"], r["b"]): r["score"] for r in bounded.collect()} == pytest.approx(whole)
     allowed = int(400**0.6)
     assert set(whole) == {(a, b) for a in range(2, allowed // 2 + 1) for b in range(2, allowed // a + 1)}
+
+
+def test_training_tasks_get_a_bounded_number_of_rows(frame, monkeypatch):
+    monkeypatch.setattr(model, "TASK_ROWS", 10)
+    seen = []
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()))
+    model.train(frame([(str(i), i % 2) for i in range(200)], "user string, label int").coalesce(1), rounds=1)
+    assert seen == [21]
