@@ -8,6 +8,7 @@ before, and the symbol that vanishes) and their ancestors. The loop ends when th
 Short pieces of a batch are merged in step, one row of a tree matrix each; long ones (a run without
 spaces can be a whole document) take ``n log n`` steps alone. Text is cut at white space, where no
 piece can cross; what follows a cut and the pieces in it are remembered per task, up to ``CACHE`` entries each.
+Decoding gathers the bytes of all tokens of a batch at once.
 
 The vocabulary file is named by its path, which every executor must have. Cases: a null text has no
 tokens; the special token's own string becomes its id, as the file says; any text survives
@@ -24,12 +25,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthloom.llm.common import WHITE, Remembered, map_batches, slices, texts
+from monthloom.llm.common import WHITE, Remembered, map_batches, texts
 
 CACHE = 150_000
 GATHER = 1 << 20  # characters of texts whose unseen pieces are merged together
@@ -62,6 +64,7 @@ class Codec:
             self.token_bytes[i] = bytes(letters[c] for c in token)
         for token, i in self.special.items():
             self.token_bytes[i] = token.encode()
+        self.token_column = pa.array(self.token_bytes, pa.large_binary())
         self.byte_ids = np.zeros(256, np.int64)
         for letter, b in letters.items():
             self.byte_ids[b] = vocabulary[letter]
@@ -90,44 +93,46 @@ class Codec:
         inside = places < sizes[:, None]
         symbols = np.full((n, width + 1), -1, np.int64)
         symbols[:, :width][inside] = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
-        after = np.tile(np.arange(1, width + 2), (n, 1))
-        before = np.tile(np.arange(-1, width), (n, 1))
+        after = np.tile(np.arange(1, width + 2), n)
+        before = np.tile(np.arange(-1, width), n)
         tree = np.full((n, 2 * width), NONE)
-        tree[:, width:] = self.ranks(symbols[:, :width], symbols[:, 1:], width, places)
+        tree[:, width:][inside] = self.ranks(symbols[:, :width][inside], symbols[:, 1:][inside], width, np.broadcast_to(places, (n, width))[inside])
         level = width
         while level > 1:
             tree[:, level // 2 : level] = np.minimum(tree[:, level : 2 * level : 2], tree[:, level + 1 : 2 * level : 2])
             level //= 2
-        rows = np.arange(n)
+        # From here on all rows of a matrix lie in one line; ``trees`` and ``lines`` are where each row begins.
+        flat, tree = symbols.reshape(-1), tree.reshape(-1)
+        trees, lines = np.arange(n) * (2 * width), np.arange(n) * (width + 1)
         while True:
-            root = tree[rows, 1]
+            root = tree[trees + 1]
             going = root < NONE
-            rows, root = rows[going], root[going]
-            if not len(rows):
+            trees, lines, root = trees[going], lines[going], root[going]
+            if not len(root):
                 break
             at = root % width
-            gone = after[rows, at]
-            right = after[rows, gone]
+            gone = after[lines + at]
+            right = after[lines + gone]
             new = self.merged[root // width]
-            symbols[rows, at] = new
-            symbols[rows, gone] = -1
-            after[rows, at] = right
-            before[rows, np.minimum(right, width)] = at
-            left = before[rows, at]
-            first = left < 0
-            left = np.where(first, at, left)
-            tree[rows, width + gone] = NONE
-            tree[rows, width + left] = self.ranks(symbols[rows, left], new, width, left)
-            tree[rows, width + at] = self.ranks(new, symbols[rows, np.minimum(right, width)], width, at)
-            for leaf in (gone, left, at):
-                node = (width + leaf) >> 1
-                while node[0]:
-                    tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
-                    node = node >> 1
+            flat[lines + at] = new
+            flat[lines + gone] = -1
+            after[lines + at] = right
+            before[lines + right] = at
+            left = before[lines + at]
+            left = np.where(left < 0, at, left)
+            pairs = self.ranks(np.concatenate([flat[lines + left], new]), np.concatenate([new, flat[lines + right]]), width, np.concatenate([left, at]))
+            tree[trees + width + gone] = NONE
+            tree[trees + width + left] = pairs[: len(at)]
+            tree[trees + width + at] = pairs[len(at) :]
+            node, trees3 = (width + np.concatenate([gone, left, at])) >> 1, np.tile(trees, 3)
+            while node[0]:
+                below = trees3 + 2 * node
+                tree[trees3 + node] = np.minimum(tree[below], tree[below + 1])
+                node >>= 1
         live = symbols[:, :width] >= 0
-        flat = symbols[:, :width][live].astype("<u4").tobytes()
+        ids = symbols[:, :width][live].astype("<u4").tobytes()
         ends = (live.sum(1).cumsum() * 4).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def merge_alone(self, piece: bytes) -> bytes:
         """Ids of one piece of any length."""
@@ -177,7 +182,7 @@ class Codec:
 
     def learn(self, chunks: set[str]) -> None:
         """Adds the ids of unseen chunks."""
-        cut = {c: self.pattern.findall(c) for c in chunks}
+        cut = {c: [c] if c.isascii() and (c.isalpha() or c[0] == " " and c[1:].isalpha()) else self.pattern.findall(c) for c in chunks}
         fresh = list(self.pieces.unknown(set(chain.from_iterable(cut.values()))))
         ids = self.pieces.now
         ids.update(zip(fresh, self.merge([p.encode() for p in fresh]), strict=True))
@@ -203,6 +208,17 @@ class Codec:
         """Text of token ids; bytes that are not UTF-8 become the replacement character."""
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
 
+    def decode_lists(self, lists: pa.Array) -> pa.Array:
+        """The text of each list of ids, null as none: the bytes of all lists' tokens side by side, cut where a list ends."""
+        tokens = self.token_column.take(lists.flatten())
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        places = np.frombuffer(tokens.buffers()[1], np.int64)[np.concatenate([[0], ends])]
+        whole = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(places), tokens.buffers()[2] or pa.py_buffer(b"")])
+        try:
+            return whole.cast(pa.string())
+        except pa.ArrowInvalid:  # some text is not UTF-8
+            return pa.array([x.decode("utf-8", "replace") for x in whole.to_pylist()], pa.string())
+
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
@@ -247,8 +263,7 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
         own = codec(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            decoded = [own.decode(x or []) for part in slices(batch) for x in part.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(decoded, pa.string())], ["doc_id", "ids", "text"])
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), own.decode_lists(batch.column(1))], ["doc_id", "ids", "text"])
 
         return work
 

@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -56,6 +59,44 @@ def test_decode_of_broken_bytes(codec):
     assert codec.decode([]) == ""
 
 
+def test_lists_are_decoded_as_one_by_one(codec):
+    texts = ["", "a b", "é 日本 😀", "a<|endoftext|>b", "x" * 300]
+    lists = [None, *(ids.tolist() for ids in codec.encode(texts)), []]
+    column = pa.array(lists, pa.list_(pa.int32()))
+    assert codec.decode_lists(column).to_pylist() == ["", *texts, ""]
+    assert codec.decode_lists(column.slice(2, 3)).to_pylist() == texts[1:4]
+    assert codec.decode_lists(column.slice(0, 0)).to_pylist() == codec.decode_lists(column.slice(0, 1)).to_pylist()[1:] == []
+    broken = [codec.encode(["日"])[0].tolist()[:1], codec.encode(["é b"])[0].tolist(), codec.encode(["ü"])[0].tolist()[:1]]
+    assert codec.decode_lists(pa.array(broken, pa.list_(pa.int32()))).to_pylist() == [LIBRARY.decode(x, skip_special_tokens=False) for x in broken]
+
+
+def test_decoding_makes_no_object_for_each_id(spark, codec, monkeypatch):
+    """The operator's own work on a million ids takes less than the 8 MB of a list of them."""
+    made = []
+    monkeypatch.setattr(bpe, "map_batches", lambda df, make, schema: made.append(make()))
+    bpe.decode(spark.createDataFrame([], "doc_id bigint, ids array<int>"), PATH)
+    ids = np.tile(codec.encode(["the words of a text"])[0].astype(np.int32), 1 << 18)[: 1 << 20]
+    column = pa.ListArray.from_arrays(pa.array(np.arange(0, len(ids) + 1, 1 << 12, dtype=np.int32)), pa.array(ids))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(256), pa.int64()), column], ["doc_id", "ids"])
+    tracemalloc.start()
+    decoded = made[0](batch)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert decoded.column(2).to_pylist() == [codec.decode(x) for x in column.to_pylist()]
+    assert most < 1 << 20
+
+
+def test_plain_chunks_are_one_piece(codec):
+    same(codec, ["word", " word", "  word", " a'll", " Ab1", " ab,c", "\nab", " ", "  ", "' ab", " é", " aé", "don't re's", "\tab ab"])
+
+
+def test_rows_of_every_width_merge_together(codec):
+    draw = random.Random(3)
+    for width in (2, 4, 8, 16, 32, 64):
+        pieces = [bytes(draw.choice(b" thesaingroua\xc3\xa9") for _ in range(draw.randint(1, width))) for _ in range(200)]
+        assert codec.merge_together(pieces, width) == [codec.merge_alone(p) for p in pieces]
+
+
 def test_forgetting_changes_nothing(codec, monkeypatch):
     codec.known.most = 10
     same(codec, [f"word{i} other{i % 7} more" for i in range(200)])
