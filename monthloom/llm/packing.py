@@ -20,8 +20,9 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,10 @@ LONG_STRETCH, FORCED_STEP = 256, 32
 END_BYTES = array("I", [END]).tobytes()
 CACHE = 300_000
 SPECIAL, COMBINING = "<|", re.compile("[\u0300-\u036f]")
+LINE, WORD_END = 64, "</w>"
+# Letters that normalising leaves alone, and the signs of ASCII without "'" and "<", which begin what is cut by other rules.
+LETTERS, SIGNS = "a-z\u00df-\u00f6\u00f8-\u00ff\u03b1-\u03c9\u0430-\u045f", r"!-&(-/:;=-@\[-`{-~"
+SIMPLE, SIMPLE_PIECES = re.compile(f"[{LETTERS}0-9{SIGNS}]+"), re.compile(f"[{LETTERS}]+|[0-9]|[{SIGNS}]+")
 # White space, digits, and letters whose lower case and composed form are one letter.
 PLAIN = WHITE + "0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u0391-\u03a1\u03a3-\u03a9\u03b1-\u03c9\u0400-\u0481\u048a-\u04ff"
 SIGN_BEFORE_STOP = re.compile(f"[.,](?<=[^{PLAIN}].)")
@@ -60,35 +65,57 @@ def cut_words(text: str) -> list[str]:
 
 
 class Words:
-    """Ids of a text, 32 bits each. White space separates tokens, so what lies between spaces is encoded once a task."""
+    """Ids of a text, 32 bits each. White space separates tokens, so what lies between spaces is encoded once a task.
+
+    A call of the tokenizer costs more than a word's merges. Words that match ``SIMPLE`` go in lines of ``LINE``, their pieces
+    apart, through the same model without the steps that would not change them; of a piece only the last token has ``WORD_END``.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.lines = Tokenizer(self.tokenizer.model)
+        self.lines.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ends_word = self.tokens_that(lambda token: token.endswith(WORD_END))
         self.known = Remembered(CACHE)
 
+    def learn(self, unseen: set[str]) -> None:
+        """Adds the ids of unseen words."""
+        simple = list(filter(SIMPLE.fullmatch, unseen))
+        spaced = [word if word.isalpha() else " ".join(SIMPLE_PIECES.findall(word)) for word in simple]
+        lines = [" ".join(spaced[i : i + LINE]) for i in range(0, len(spaced), LINE)]
+        encoded = self.lines.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(x.ids for x in encoded), np.uint32)
+        pieces = np.cumsum(np.fromiter((word.count(" ") + 1 for word in spaced), np.int64, len(spaced)))
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != (pieces[-1] if len(pieces) else 0):
+            raise ValueError(f"the vocabulary does not mark the ends of words by {WORD_END}")
+        flat, stops = ids.tobytes(), (4 * ends[pieces - 1]).tolist()
+        self.known.now.update(zip(simple, [flat[a:b] for a, b in pairwise([0, *stops])], strict=True))
+        others = list(unseen.difference(simple))
+        for word, encoding in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            self.known.now[word] = array("I", encoding.ids).tobytes()
+
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         cut = [cut_words(text) for text in batch]
-        found = [list(map(self.known.now.get, words)) for words in cut]
-        gaps = [[i for i, ids in enumerate(own) if ids is None] if None in own else [] for own in found]
-        unseen = list(self.known.unknown({words[i] for words, own in zip(cut, gaps, strict=True) for i in own}))
-        for word, encoding in zip(unseen, self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False), strict=True):
-            self.known.now[word] = array("I", encoding.ids).tobytes()
-        for words, own, ids in zip(cut, gaps, found, strict=True):
-            for i in own:
-                ids[i] = self.known.now[words[i]]
-            ids.append(END_BYTES)
-        return [np.frombuffer(b"".join(ids), np.uint32) for ids in found]
+        self.learn(self.known.unknown(set(chain.from_iterable(cut))))
+        ids = self.known.now.__getitem__
+        return [np.frombuffer(b"".join(map(ids, words)) + END_BYTES, np.uint32) for words in cut]
+
+    def tokens_that(self, holds: Callable[[str], bool]) -> np.ndarray:
+        """For each id, whether it holds of its token."""
+        found = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            found[i] = holds(token)
+        return found
 
     def sentence_ends(self) -> np.ndarray:
         """For each id, whether its token ends a sentence."""
-        ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            ends[i] = token.removesuffix("</w>")[-1:] in (".", "!", "?")
-        return ends
+        return self.tokens_that(lambda token: token.removesuffix(WORD_END)[-1:] in (".", "!", "?"))
 
 
 @lru_cache(maxsize=1)

@@ -62,6 +62,42 @@ def test_cut_words_changes_no_id():
         assert ids.tolist() == ids_of(text), text
 
 
+def test_words_in_lines_have_their_own_ids():
+    words, letters = packing.Words(PATH), [chr(c) for c in range(0x500) if packing.SIMPLE.fullmatch(chr(c))]
+    draw = random.Random(6)
+    unseen = {"", "don't", "x<y", "</w>", "a</w>b", "1234", "a1_b%%%", "É", "straße", "ς", "i̇", "ﬁ", "日本", *letters}
+    unseen |= {"".join(draw.choices(letters, k=draw.randint(1, 12))) for _ in range(5000)}
+    unseen |= {"".join(draw.choice("thean'%.<ré1") for _ in range(draw.randint(1, 12))) for _ in range(2000)}
+    words.learn(unseen)
+    assert words.known.now.keys() == unseen
+    for word, ids in words.known.now.items():
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer().encode(word, add_special_tokens=False).ids, word
+    words.learn(set())
+    words.learn({"it's"})
+    words.learn({"", "plain"})
+    assert np.frombuffer(words.known.now["plain"], "<u4").tolist() == ids_of("plain")[:-1]
+
+
+def test_simple_words_share_calls():
+    words, calls = packing.Words(PATH), []
+
+    class Counted:
+        def __init__(self, own):
+            self.own = own
+
+        def encode_batch_fast(self, batch, **options):
+            calls.extend(batch)
+            return self.own.encode_batch_fast(batch, **options)
+
+    for name, own in list(vars(words).items()):
+        if hasattr(own, "encode_batch_fast"):
+            setattr(words, name, Counted(own))
+    texts = [" ".join(f"word{chr(97 + i % 26)}{chr(97 + j % 26)}{'%' * (j % 3)}" for j in range(200)) for i in range(26)]
+    for text, ids in zip(texts, words.encode(texts), strict=True):
+        assert ids.tolist() == ids_of(text)
+    assert len(calls) < 100  # of some two thousand words
+
+
 @pytest.mark.parametrize("block", [packing.BLOCK, 6000])
 def test_pieces_are_the_documents(docs, monkeypatch, block):
     draw = random.Random(9)
